@@ -113,29 +113,44 @@ def ip_player_counts(sessions: DataFrame) -> DataFrame:
     return pairs.groupBy("ip").agg(F.count(F.lit(1)).alias("player_count"))
 
 
+def session_behaviour(sessions: DataFrame) -> DataFrame:
+    """Per player: session_count, distinct_ip_count, last_session_at and
+    max_players_on_same_ip, all from the one (player, ip) pre-aggregate.
+
+    Distinct players per IP are counted on the pre-aggregate (one row per
+    (player, ip)), then joined back on ``ip``. A hot IP makes one join
+    partition large on the pairs side; AQE's skew join splits it (the per-IP
+    side is one row per IP). NULL IPs keep their sessions but never match.
+    """
+    pairs = player_ip_pairs(sessions)
+    per_ip = (pairs.where(F.col("ip").isNotNull()).groupBy("ip")
+              .agg(F.count(F.lit(1)).alias("player_count")))
+    return (pairs.join(per_ip, "ip", "left").groupBy("player_id").agg(
+        F.sum("sessions").alias("session_count"),
+        F.count("ip").alias("distinct_ip_count"),            # NULL ip is not an IP
+        F.max("last_session_at").alias("last_session_at"),
+        F.max("player_count").alias("max_players_on_same_ip"),
+    ))
+
+
 def ip_risk(sessions: DataFrame) -> DataFrame:
-    """Per player: the largest number of distinct players seen on one of its IPs.
+    """Per player with at least one IP: the largest number of distinct players
+    seen on one of its IPs."""
+    return (session_behaviour(sessions).where(F.col("max_players_on_same_ip").isNotNull())
+            .select("player_id", "max_players_on_same_ip"))
 
-    The join is pairs x per-IP counts on ``ip``; a hot IP makes one join
-    partition large on the pairs side, which AQE's skew-join splits (the
-    per-IP side is one row per IP, replicated to the split tasks).
-    """
-    pairs = player_ip_pairs(sessions).where(F.col("ip").isNotNull()).select("player_id", "ip")
-    counts = pairs.groupBy("ip").agg(F.count(F.lit(1)).alias("player_count"))
-    return (pairs.join(counts, "ip", "inner")
-            .groupBy("player_id").agg(F.max("player_count").alias("max_players_on_same_ip")))
+
+def device_counts(sessions: DataFrame) -> DataFrame:
+    """Distinct non-null device types per player (distinct pairs first, so a
+    player with a third of all sessions is reduced map-side)."""
+    return (sessions.where(F.col("device").isNotNull()).select("player_id", "device").distinct()
+            .groupBy("player_id").agg(F.count(F.lit(1)).alias("distinct_device_count")))
 
 
 def session_features(sessions: DataFrame) -> DataFrame:
     """session_count, distinct_ip_count, distinct_device_count, last_session_at."""
-    per_ip = player_ip_pairs(sessions).groupBy("player_id").agg(
-        F.sum("sessions").alias("session_count"),
-        F.count("ip").alias("distinct_ip_count"),          # NULL ip is not an IP
-        F.max("last_session_at").alias("last_session_at"),
-    )
-    devices = (sessions.where(F.col("device").isNotNull()).select("player_id", "device").distinct()
-               .groupBy("player_id").agg(F.count(F.lit(1)).alias("distinct_device_count")))
-    return per_ip.join(devices, "player_id", "left").select(
+    b = session_behaviour(sessions)
+    return b.join(device_counts(sessions), "player_id", "left").select(
         "player_id", "session_count", "distinct_ip_count",
         F.coalesce(F.col("distinct_device_count"), F.lit(0).cast("bigint")).alias("distinct_device_count"),
         "last_session_at",
@@ -150,8 +165,8 @@ def gold_fraud_overview(players: DataFrame, sessions: DataFrame, financial: Data
     Activity of players absent from ``players`` is dropped. Unmatched sides
     become 0 / FALSE; ratios coalesce to 0 while flags keep their own value.
     """
-    sf = session_features(sessions)
-    ir = ip_risk(sessions)
+    behaviour = session_behaviour(sessions)
+    device_df = device_counts(sessions)
     ar = affiliate_risk(aff)
     fin = financial.select("player_id", "transaction_count", "total_deposit_amount",
                            "total_withdraw_amount", "total_bet_amount",
@@ -159,8 +174,8 @@ def gold_fraud_overview(players: DataFrame, sessions: DataFrame, financial: Data
                            "has_high_withdraw_signal", "has_high_bet_velocity_signal",
                            "last_transaction_at")
     j = (players.select("player_id", "email_domain", "city", "created_at")
-         .join(sf, "player_id", "left")
-         .join(ir, "player_id", "left")
+         .join(behaviour, "player_id", "left")
+         .join(device_df, "player_id", "left")
          .join(fin, "player_id", "left")
          .join(ar, "player_id", "left"))
     zero = F.lit(0).cast("bigint")

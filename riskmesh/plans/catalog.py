@@ -52,7 +52,7 @@ def query(name: str):
     def register(fn: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return comparable(fn(Layers.from_benchmark(spark, sf_dir)))
+            return comparable(fn(Layers.shared_benchmark(spark, sf_dir)))
         run.__name__ = f"q_{name}"
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

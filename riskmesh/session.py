@@ -24,7 +24,9 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    # never broadcast by a static estimate; AQE decides on measured sizes
+    # never broadcast on a static size estimate (estimates are not bounds);
+    # AQE turns a join into a broadcast only after measuring the small side
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",

@@ -23,6 +23,9 @@ GOLD_MODELS = ("gold_financial_signals", "gold_affiliate_metrics", "gold_fraud_o
 MODEL_ORDER = SILVER_MODELS + GOLD_MODELS
 
 
+_SHARED: dict = {}
+
+
 class Layers:
     def __init__(self, spark: SparkSession, bronze_loader: Callable[[str], DataFrame],
                  model_loader: Callable[[str], DataFrame | None] | None = None,
@@ -40,6 +43,16 @@ class Layers:
         from riskmesh.sources import testdata
         return cls(spark, lambda feed: testdata.bronze_feed(spark, sf_dir, feed), **kw)
 
+    @classmethod
+    def shared_benchmark(cls, spark: SparkSession, sf_dir: str) -> "Layers":
+        """One memoised ``Layers`` per (session, directory): the lazily built
+        plans of the feeds and models are shared by every query of a session
+        (DataFrames are immutable, so sharing is safe)."""
+        key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
+        if key not in _SHARED:
+            _SHARED[key] = cls.from_benchmark(spark, sf_dir)
+        return _SHARED[key]
+
     @classmethod
     def from_warehouse(cls, spark: SparkSession, root: str, as_of=None, lo="1900-01-01",
                        **kw) -> "Layers":

@@ -40,7 +40,15 @@ AFFILIATE_INGEST_DATE = "2024-02-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one benchmark table. A scan with fewer splits than the cluster has
+    cores (a small file with a single row group) is spread round-robin so the
+    per-row derivation below runs on every core; a large table (many files /
+    row groups) is left as scanned, without an extra shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores and name not in ("nation", "region"):
+        df = df.repartition(cores)
+    return df
 
 
 def _s(c: Column) -> Column:
