@@ -51,6 +51,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _write(df: DataFrame, path: str, date_column: str, dynamic: bool) -> None:
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -87,6 +93,12 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
     _write(merged, stage, date_col, dynamic=False)
     staged = spark.read.parquet(stage)
     _write(staged, target_path, date_col, dynamic=not schema_changed)
+    if not schema_changed:
+        # dynamic overwrite only replaces partitions present in the output: a
+        # touched partition whose last row moved away must be removed explicitly
+        kept_dates = {r[0] for r in staged.select(date_col).distinct().collect()}
+        for day in set(dates) - kept_dates:
+            _delete(spark, f"{target_path.rstrip('/')}/{date_col}={day}")
     return UpsertResult(target_path, "incremental", -1, len(dates))
 
 
