@@ -123,59 +123,118 @@ class Check:
     meta: dict = field(default_factory=dict, compare=False)
 
 
+def _scope(c: Check) -> Column:
+    return F.lit(True) if c.where is None else F.expr(c.where)
+
+
 def _row_level_failure(c: Check) -> Column:
     """Predicate that is TRUE on a failing row of a row-level check."""
-    scope = F.lit(True) if c.where is None else F.expr(c.where)
     if c.kind == "not_null":
         bad = F.col(c.column).isNull()
-    elif c.kind == "accepted_values":
-        bad = F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values)
     elif c.kind == "row_filter":
         bad = F.expr(c.predicate)
     else:
         raise ValueError(c.kind)
-    return scope & bad
+    return _scope(c) & bad
 
 
-def summary(checks: Sequence[Check], relation) -> DataFrame:
-    """(check_name, table_name, failing_rows) for every check.
+def _group_columns(c: Check) -> tuple[str, ...]:
+    return (c.column,) if c.kind in ("unique", "accepted_values") else tuple(c.columns)
+
+
+def _candidate(c: Check) -> Column:
+    """Rows that take part in a group check (the others can never fail it)."""
+    if c.kind == "unique":
+        return _scope(c) & F.col(c.column).isNotNull()
+    if c.kind == "accepted_values":
+        return _scope(c) & F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values)
+    return _scope(c)
+
+
+def _as_rows(counts: DataFrame, named: list[tuple[str, str]]) -> DataFrame:
+    """One-row frame with columns c0..cN -> (check_name, table_name, failing_rows)."""
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
+                 F.col(f"c{i}").cast("bigint").alias("failing_rows"))
+        for i, (name, table) in enumerate(named)]))
+    return counts.select(stack.alias("r")).select("r.*")
+
+
+_KEY = "array<string>"
+
 
-    Row-level checks on the same table are evaluated together: one scan, one
-    global aggregate of ``count_if`` columns. ``accepted_values`` counts
-    distinct bad values (one failing row per value), the group checks count
-    failing groups, relationships count orphan child rows. ``relation`` maps a
-    table name to its DataFrame.
+def summary(checks: Sequence[Check], relation) -> DataFrame:
+    """(check_name, table_name, failing_rows) for every check of a suite.
+
+    Row and group checks (not_null, row_filter, unique, accepted_values,
+    unique_combination) of *all* tables share one aggregate: every table is
+    scanned once and each row emits one ``(check, key)`` record per check it
+    takes part in (a failing row of a row-level check with an empty key, or a
+    candidate key of a group check); the records are counted per
+    ``(check, key)`` with partial aggregation first, so a hot key is combined
+    map-side, and every count is read from that aggregate.
+    Relationships checks are grouped by parent: the children's keys are
+    pre-aggregated to ``(check, key, rows)`` and anti-joined once with the
+    parent's distinct keys. Counts follow the checks' own queries: NULL / bad
+    rows, bad distinct values, duplicated keys or groups, orphan child rows.
+    ``relation`` maps a table name to its DataFrame.
     """
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ("not_null", "row_filter"):
-            by_table.setdefault(c.table, []).append(c)
-    for table_name, group in by_table.items():
-        df = relation(table_name)
-        agg = df.agg(*[F.count_if(_row_level_failure(c)).alias(f"c{i}") for i, c in enumerate(group)])
-        stack = F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.lit(table_name).alias("table_name"),
-                     F.col(f"c{i}").alias("failing_rows")) for i, c in enumerate(group)]))
-        parts.append(agg.select(stack.alias("r")).select("r.*"))
+    known = ("not_null", "row_filter", "unique", "accepted_values", "unique_combination",
+             "relationships")
     for c in checks:
+        if c.kind not in known:
+            raise ValueError(f"unknown check kind {c.kind}")
+    parts: list[DataFrame] = []
+    empty_key = F.array().cast(_KEY)
+
+    def rec(i: int, cond: Column, key: Column) -> Column:
+        return F.when(cond, F.struct(F.lit(i).alias("check"), key.alias("key")))
+
+    local = [(i, c) for i, c in enumerate(checks) if c.kind != "relationships"]
+    per_table: dict[str, list[Column]] = {}
+    for i, c in local:
         if c.kind in ("not_null", "row_filter"):
-            continue
-        df = relation(c.table)
-        if c.where is not None:
-            df = df.where(c.where)
-        if c.kind == "accepted_values":
-            failing = accepted_values(df, c.column, c.values)
-        elif c.kind == "unique":
-            failing = unique(df, c.column)
-        elif c.kind == "unique_combination":
-            failing = unique_combination(df, c.columns)
-        elif c.kind == "relationships":
-            failing = relationships(df, c.column, relation(c.parent), c.parent_column)
+            r = rec(i, _row_level_failure(c), empty_key)
         else:
-            raise ValueError(f"unknown check kind {c.kind}")
-        parts.append(failing.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"), "failing_rows"))
+            r = rec(i, _candidate(c), F.array(*[F.col(x).cast("string") for x in _group_columns(c)]))
+        per_table.setdefault(c.table, []).append(r)
+    if per_table:
+        records = None
+        for table_name, recs in per_table.items():
+            stream = (relation(table_name)
+                      .select(F.explode(F.filter(F.array(*recs), lambda r: r.isNotNull())).alias("r"))
+                      .select(F.col("r.check").alias("check"), F.col("r.key").alias("key")))
+            records = stream if records is None else records.unionByName(stream)
+        groups = records.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+        aggs = []
+        for i, c in local:
+            mine = F.col("check") == i
+            if c.kind in ("not_null", "row_filter"):
+                a = F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
+            elif c.kind == "accepted_values":
+                a = F.count_if(mine)
+            else:
+                a = F.count_if(mine & (F.col("n") > 1))
+            aggs.append(a.alias(f"c{len(aggs)}"))
+        parts.append(_as_rows(groups.agg(*aggs), [(c.name, c.table) for _, c in local]))
+
+    by_parent: dict[tuple[str, str], list[Check]] = {}
+    for c in checks:
+        if c.kind == "relationships":
+            by_parent.setdefault((c.parent, c.parent_column or c.column), []).append(c)
+    for (parent, pcol), group in by_parent.items():
+        keys = (relation(parent).where(F.col(pcol).isNotNull())
+                .select(F.col(pcol).cast("string").alias("key")).distinct())
+        children = None
+        for i, c in enumerate(group):
+            part = (relation(c.table).where(_scope(c) & F.col(c.column).isNotNull())
+                    .select(F.lit(i).alias("check"), F.col(c.column).cast("string").alias("key")))
+            children = part if children is None else children.unionByName(part)
+        per_key = children.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+        orphans = per_key.join(keys, "key", "left_anti")
+        agg = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("check") == i, F.col("n"))), F.lit(0))
+                            .alias(f"c{i}") for i in range(len(group))])
+        parts.append(_as_rows(agg, [(c.name, c.table) for c in group]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

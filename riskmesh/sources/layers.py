@@ -29,8 +29,10 @@ _SHARED: dict = {}
 class Layers:
     def __init__(self, spark: SparkSession, bronze_loader: Callable[[str], DataFrame],
                  model_loader: Callable[[str], DataFrame | None] | None = None,
-                 as_of=None, thresholds: SignalThresholds = THRESHOLDS):
+                 as_of=None, thresholds: SignalThresholds = THRESHOLDS,
+                 materialize: bool = False):
         self.spark = spark
+        self.materialize = materialize
         self._bronze_loader = bronze_loader
         self._model_loader = model_loader or (lambda name: None)
         self.as_of = as_of
@@ -77,15 +79,31 @@ class Layers:
             raise KeyError(f"unknown feed {feed!r}")
         key = f"bronze.{feed}"
         if key not in self._memo:
-            self._memo[key] = self._bronze_loader(feed)
+            self._memo[key] = self._persisted(self._bronze_loader(feed))
         return self._memo[key]
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._memo:
             df = self._model_loader(name)
-            self._memo[name] = df if df is not None else self.build(name)
+            self._memo[name] = df if df is not None else self._persisted(self.build(name))
         return self._memo[name]
 
+    def _persisted(self, df: DataFrame) -> DataFrame:
+        """With ``materialize``, every relation is computed once and written
+        to the shared checkpoint folder before a consumer reads it, like a
+        pipeline that writes each layer before the next reads it (the lineage
+        is cut and lost executors do not force a recomputation)."""
+        if not self.materialize:
+            return df
+        from riskmesh.session import checkpoint_dir
+        checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
+    def materialized(self) -> "Layers":
+        """A copy of these layers that checkpoints every relation it builds."""
+        return Layers(self.spark, self._bronze_loader, self._model_loader, self.as_of,
+                      self.thresholds, materialize=True)
+
     def build(self, name: str) -> DataFrame:
         """Compute a model from its inputs (ignores a materialised copy)."""
         t, as_of = self.thresholds, self.as_of
