@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed parameters of the catalog queries.
 RANGE_AS_OF = "1999-12-31"          # partition_range_filter upper bound
+SCAN_AS_OF = "2024-01-31"           # bronze_scan upper bound (players feed)
 FIRST_LOAD_BEFORE = "2000-01-01"    # incremental queries: first load = earlier partitions
 FRESHNESS_AS_OF = "2024-02-15"
 FRESHNESS_MAX_AGE_DAYS = 30
@@ -98,30 +99,31 @@ def _(L):
 
 @query("bronze_scan")
 def _(L):
-    """Bronze transactions written as a dt-partitioned dataset and read back
-    through the bounded bronze scan."""
+    """Bronze players written as a dt-partitioned dataset (in the shared
+    checkpoint folder) and read back through the bounded bronze scan."""
     from riskmesh.sources.ingest import write_bronze
     from riskmesh.sources.bronze import read_bronze
     from riskmesh.session import checkpoint_dir
     import uuid
-    path = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-bronze-{uuid.uuid4().hex}/transactions"
-    write_bronze(L.source("transactions"), path, "transactions")
-    return read_bronze(L.spark, path, "transactions", "1900-01-01", RANGE_AS_OF)
+    path = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-bronze-{uuid.uuid4().hex}/players"
+    write_bronze(L.source("players"), path, "players")
+    return read_bronze(L.spark, path, "players", "1900-01-01", SCAN_AS_OF)
 
 
 @query("load_report")
 def _(L):
-    """Landing-job report for the transactions feed: rows, partitions, files."""
+    """Landing-job report for the players feed: rows and partitions written,
+    counted on the written dataset."""
     from riskmesh.sources.ingest import write_bronze
     from riskmesh.session import checkpoint_dir
     import uuid
-    path = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-load-{uuid.uuid4().hex}/transactions"
-    spec = FEEDS["transactions"]
-    write_bronze(L.source("transactions"), path, "transactions", rows_per_file=1000)
+    path = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-load-{uuid.uuid4().hex}/players"
+    spec = FEEDS["players"]
+    write_bronze(L.source("players"), path, "players", rows_per_file=1000)
     written = L.spark.read.schema(spec.bronze_schema).parquet(path)
     return written.agg(F.count(F.lit(1)).alias("rows_written"),
                        F.count_distinct("dt").alias("partitions_written")).select(
-        F.lit("transactions").alias("table_name"), "rows_written", "partitions_written")
+        F.lit("players").alias("table_name"), "rows_written", "partitions_written")
 
 
 # ------------------------------------------------------------ PRJ / FLT

@@ -118,3 +118,43 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
     final = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
     check("gold", quality.gold_checks(), final.relation)
     return rep
+
+
+def seed_bronze_from_benchmark(spark: SparkSession, sf_dir: str, root: str) -> dict[str, LoadReport]:
+    """Write the four feeds derived from the benchmark tables as bronze
+    datasets under ``root/bronze`` (what the landing job would produce)."""
+    from riskmesh.sources import testdata
+    from riskmesh.sources.ingest import write_bronze
+    configure(spark)
+    return {feed: write_bronze(testdata.bronze_feed(spark, sf_dir, feed),
+                               os.path.join(root, "bronze", feed), feed,
+                               rows_per_file=1_000_000)
+            for feed in ("players", "sessions", "transactions", "affiliate_cpa_ftd")}
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m riskmesh.plans.pipeline ROOT [--landing feed=path ...]
+    [--from-benchmark SF_DIR] [--as-of DATE] [--full-refresh] [--no-gate]"""
+    import argparse
+    import json
+    from riskmesh.session import build_session
+    ap = argparse.ArgumentParser(description="run the risk-signal pipeline")
+    ap.add_argument("root")
+    ap.add_argument("--landing", nargs="*", default=[], help="feed=path")
+    ap.add_argument("--from-benchmark")
+    ap.add_argument("--as-of")
+    ap.add_argument("--full-refresh", action="store_true")
+    ap.add_argument("--no-gate", action="store_true")
+    a = ap.parse_args(argv)
+    spark = build_session()
+    if a.from_benchmark:
+        seed_bronze_from_benchmark(spark, a.from_benchmark, a.root)
+    landing = dict(x.split("=", 1) for x in a.landing)
+    rep = run(spark, a.root, landing or None, as_of=a.as_of, full_refresh=a.full_refresh,
+              gate=not a.no_gate)
+    print(json.dumps({"models": rep.models, "checks": rep.checks,
+                      "loads": {k: v.rows_written for k, v in rep.loads.items()}}, default=str))
+
+
+if __name__ == "__main__":
+    main()

@@ -58,7 +58,9 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def _write(df: DataFrame, path: str, date_column: str, dynamic: bool) -> None:
-    (df.write.mode("overwrite")
+    """Date-partitioned write, rebalanced by the date (see ``rebalanced_by``)."""
+    from riskmesh.sources.ingest import rebalanced_by
+    (rebalanced_by(df, date_column).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(date_column).parquet(path))
 

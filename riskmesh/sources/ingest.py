@@ -171,30 +171,39 @@ def validate(landing: LandingFrame, ingest_date: _dt.date | None = None) -> tupl
     return bronze, int(r["rows"])
 
 
+def rebalanced_by(df: DataFrame, partition_column: str) -> DataFrame:
+    """Shuffle for a partitioned write: rows of one partition value go to the
+    same task (one file per day instead of one per input split and day), AQE
+    coalesces small days into shared tasks and splits a skewed day (a third of
+    all rows) into several tasks (``REBALANCE``)."""
+    return df.hint("rebalance", partition_column)
+
+
 def write_bronze(df: DataFrame, destination: str, feed: str,
                  rows_per_file: int = DEFAULT_ROWS_PER_FILE, rows: int | None = None,
                  source_uri: str = "") -> LoadReport:
     """Replace the bronze table at ``destination`` with ``df`` (bronze layout).
 
     Static overwrite: the whole table prefix is replaced at job commit, so a
-    reload is idempotent. No shuffle: every input split writes its own rows
-    into its partitions' folders, files capped at ``rows_per_file`` rows, so a
-    date holding a third of all rows is written by all tasks in parallel
-    rather than by one. An empty input writes nothing (old data stays).
+    reload is idempotent. The write is rebalanced by the partition column
+    (see ``rebalanced_by``) and files hold at most ``rows_per_file`` rows.
+    An empty input writes nothing (old data stays).
     """
     spec = FEEDS[feed]
     spark = df.sparkSession
+    p = spec.partition_column
+    df = df.select(*[F.col(c) for c in spec.columns], p)
     if rows is None:
         rows = df.count()
     if rows == 0:
         return LoadReport(feed, source_uri, destination, 0, 0, 0, [])
-    (df.select(*[F.col(c) for c in spec.columns], spec.partition_column)
-     .sortWithinPartitions(spec.partition_column)
+    (rebalanced_by(df, p)
+     .sortWithinPartitions(p)
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "static")
      .option("maxRecordsPerFile", int(rows_per_file))
      .option("compression", "snappy")
-     .partitionBy(spec.partition_column)
+     .partitionBy(p)
      .parquet(destination))
     written = spark.read.schema(spec.bronze_schema).parquet(destination)
     # the written file list comes from the dataset's listing (one path per
