@@ -50,7 +50,11 @@ class Layers:
         """One memoised ``Layers`` per (session, directory): the lazily built
         plans of the feeds and models are shared by every query of a session
         (DataFrames are immutable, so sharing is safe)."""
-        key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
+        try:
+            ident = spark._jsparkSession.hashCode()
+        except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect)
+            ident = id(spark)
+        key = (ident, sf_dir.rstrip("/"))
         if key not in _SHARED:
             _SHARED[key] = cls.from_benchmark(spark, sf_dir)
         return _SHARED[key]

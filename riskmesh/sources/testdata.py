@@ -45,10 +45,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     per-row derivation below runs on every core; a large table (many files /
     row groups) is left as scanned, without an extra shuffle."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and name not in ("nation", "region"):
-        df = df.repartition(cores)
-    return df
+    if name in ("nation", "region"):
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _s(c: Column) -> Column:

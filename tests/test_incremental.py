@@ -140,3 +140,14 @@ def test_pipeline_end_to_end(spark, workdir):
     # second run with no new landing data: incremental, nothing changes
     rep2 = run(spark, root, None, as_of=AS_OF)
     assert rep2.models["slv_transactions"] == "incremental"
+
+
+def test_lookback_admits_late_rows(spark, workdir):
+    path = os.path.join(workdir, "lb")
+    first = [("t1", "p", "bet", "1", "2026-01-21 10:00:00")]
+    build(spark, path, first)
+    late = first + [("t0", "p", "bet", "9", "2026-01-21 08:00:00")]   # 2 hours before the max
+    build(spark, path, late)
+    assert {r[0] for r in table(spark, path)} == {"t1"}                # default: ignored
+    build(spark, path, late, lookback=dt.timedelta(hours=3))
+    assert {r[0] for r in table(spark, path)} == {"t0", "t1"}
