@@ -92,6 +92,17 @@ def negative_amounts(tx: DataFrame) -> DataFrame:
     return tx.where(F.col("amount") < 0)
 
 
+def cast_failures(bronze: DataFrame, feed: str) -> DataFrame:
+    """Quarantine view: bronze rows with a value that does not convert to its
+    silver type, with the names of the failing columns (the rows a non-strict
+    silver build sets aside)."""
+    from riskmesh.specs import TYPED_COLUMNS
+    bad = [F.when(F.col(n).isNotNull() & F.col(n).try_cast(k).isNull(), F.lit(n))
+           for n, k in TYPED_COLUMNS[feed].items()]
+    failed = F.filter(F.array(*bad), lambda x: x.isNotNull())
+    return bronze.withColumn("failed_columns", failed).where(F.size("failed_columns") > 0)
+
+
 def freshness(df: DataFrame, event_column: str, as_of: _dt.date | str,
               max_age_days: int, table_name: str) -> DataFrame:
     """One row: the newest event, its age in days at ``as_of``, and whether it

@@ -14,16 +14,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmesh.functions import (
-    as_bigint, count_ratio, email_domain, event_date, money, money_product,
-    normalize_email, normalize_lower, partition_range, strip_ws, surrogate_key,
-    to_instant, word_initcap,
+    count_ratio, email_domain, event_date, money, money_product, normalize_email,
+    normalize_lower, partition_range, strip_ws, surrogate_key, word_initcap,
 )
 from riskmesh.operators.dedup import dedup_latest
-from riskmesh.specs import ACCEPTED_TRANSACTION_TYPES
+from riskmesh.specs import ACCEPTED_TRANSACTION_TYPES, TYPED_COLUMNS
 
 Since = _dt.date | _dt.datetime | str | None
 
 
+def castable(feed: str) -> Column:
+    """TRUE when every typed column of the row is NULL or converts."""
+    cond = F.lit(True)
+    for name, kind in TYPED_COLUMNS[feed].items():
+        cond = cond & (F.col(name).isNull() | F.col(name).try_cast(kind).isNotNull())
+    return cond
+
+
+def _typed(c: Column, kind: str, strict: bool) -> Column:
+    """``strict``: a bad value fails the job (ANSI cast, the default).
+    Otherwise the value becomes NULL and the row is set aside by ``castable``
+    (see ``quality.cast_failures`` for the quarantined rows)."""
+    return c.cast(kind) if strict else c.try_cast(kind)
+
+
 def _since_filter(event: Column, dt: Column, since: Since, kind: str) -> Column:
     """event >= since (inclusive), plus a coarse bound on the partition column.
 
@@ -44,14 +58,17 @@ def required(*names: str) -> Column:
     return cond
 
 
-def slv_players(bronze: DataFrame, *, as_of=None, since: Since = None) -> DataFrame:
+def slv_players(bronze: DataFrame, *, as_of=None, since: Since = None,
+                strict: bool = True) -> DataFrame:
     email = normalize_email(F.col("email"))
+    if not strict:
+        bronze = bronze.where(castable("players"))
     src = bronze.where(required("player_id") & partition_range(F.col("dt"), as_of)).select(
         F.col("player_id").cast("string").alias("player_id"),
         email.alias("email"),
         email_domain(email).alias("email_domain"),
         word_initcap(strip_ws(F.col("city"))).alias("city"),
-        F.col("created_at").cast("date").alias("created_at"),
+        _typed(F.col("created_at"), "date", strict).alias("created_at"),
         F.col("dt"),
     )
     if since is not None:
@@ -59,8 +76,11 @@ def slv_players(bronze: DataFrame, *, as_of=None, since: Since = None) -> DataFr
     return dedup_latest(src, "player_id", ["created_at", "dt"]).drop("dt")
 
 
-def slv_sessions(bronze: DataFrame, *, as_of=None, since: Since = None) -> DataFrame:
-    at = to_instant(F.col("timestamp"))
+def slv_sessions(bronze: DataFrame, *, as_of=None, since: Since = None,
+                 strict: bool = True) -> DataFrame:
+    at = _typed(F.col("timestamp"), "timestamp", strict)
+    if not strict:
+        bronze = bronze.where(castable("sessions"))
     src = bronze.where(required("session_id", "player_id", "timestamp")
                        & partition_range(F.col("dt"), as_of)).select(
         F.col("session_id").cast("string").alias("session_id"),
@@ -87,23 +107,27 @@ def transaction_measures(df: DataFrame) -> DataFrame:
     return out
 
 
-def valid_transaction(type_col: Column, amount_col: Column) -> Column:
+def valid_transaction(type_col: Column, amount_col: Column, strict: bool = True) -> Column:
     """Accepted type after lower-casing (no trim) and a non-negative amount
     (a NULL amount is dropped too)."""
-    return F.lower(type_col).isin(*ACCEPTED_TRANSACTION_TYPES) & (money(amount_col) >= 0)
+    amount = money(amount_col) if strict else amount_col.try_cast("decimal(38,9)")
+    return F.lower(type_col).isin(*ACCEPTED_TRANSACTION_TYPES) & (amount >= 0)
 
 
-def slv_transactions(bronze: DataFrame, *, as_of=None, since: Since = None) -> DataFrame:
+def slv_transactions(bronze: DataFrame, *, as_of=None, since: Since = None,
+                     strict: bool = True) -> DataFrame:
     """Filters run *before* the dedup: an invalid newer duplicate does not hide
     an older valid row."""
-    at = to_instant(F.col("timestamp"))
+    at = _typed(F.col("timestamp"), "timestamp", strict)
+    if not strict:
+        bronze = bronze.where(castable("transactions"))
     src = bronze.where(required("transaction_id", "player_id", "timestamp")
-                       & valid_transaction(F.col("type"), F.col("amount"))
+                       & valid_transaction(F.col("type"), F.col("amount"), strict)
                        & partition_range(F.col("dt"), as_of)).select(
         F.col("transaction_id").cast("string").alias("transaction_id"),
         F.col("player_id").cast("string").alias("player_id"),
         F.lower(F.col("type")).alias("transaction_type"),
-        money(F.col("amount")).alias("amount"),
+        _typed(F.col("amount"), "decimal(38,9)", strict).alias("amount"),
         at.alias("transaction_at"),
         event_date(at).alias("transaction_date"),
         F.col("dt"),
@@ -114,7 +138,7 @@ def slv_transactions(bronze: DataFrame, *, as_of=None, since: Since = None) -> D
     return transaction_measures(latest)
 
 
-def slv_affiliate_cpa_ftd(bronze: DataFrame, *, as_of=None) -> DataFrame:
+def slv_affiliate_cpa_ftd(bronze: DataFrame, *, as_of=None, strict: bool = True) -> DataFrame:
     """Full rebuild at affiliate x player x raw-country grain.
 
     The surrogate key hashes the *raw* country while the output shows it
@@ -123,10 +147,12 @@ def slv_affiliate_cpa_ftd(bronze: DataFrame, *, as_of=None) -> DataFrame:
     by (key, affiliate, player, upper(country)); the key is computed once per
     group after the aggregation instead of once per input row.
     """
-    clicks = as_bigint(F.col("clicks"))
-    regs = as_bigint(F.col("registrations"))
-    ftd = as_bigint(F.col("ftd"))
-    cpa = money(F.col("cpa_value"))
+    clicks = _typed(F.col("clicks"), "bigint", strict)
+    regs = _typed(F.col("registrations"), "bigint", strict)
+    ftd = _typed(F.col("ftd"), "bigint", strict)
+    cpa = _typed(F.col("cpa_value"), "decimal(38,9)", strict)
+    if not strict:
+        bronze = bronze.where(castable("affiliate_cpa_ftd"))
     src = bronze.where(required("affiliate_id", "player_id", "country")
                        & partition_range(F.col("ingest_date"), as_of))
     g = src.groupBy(

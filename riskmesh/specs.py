@@ -132,3 +132,12 @@ SILVER: dict[str, SilverSpec] = {
 
 # Decimal type used for every NUMERIC value (amounts, CPA, costs, ratios).
 NUMERIC = T.DecimalType(38, 9)
+
+# Typed casts the silver models apply to each feed's string columns.
+TYPED_COLUMNS: dict[str, dict[str, str]] = {
+    "players": {"created_at": "date"},
+    "sessions": {"timestamp": "timestamp"},
+    "transactions": {"amount": "decimal(38,9)", "timestamp": "timestamp"},
+    "affiliate_cpa_ftd": {"clicks": "bigint", "registrations": "bigint", "ftd": "bigint",
+                          "cpa_value": "decimal(38,9)"},
+}

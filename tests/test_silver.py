@@ -100,3 +100,19 @@ def test_incremental_watermark_is_inclusive_and_prunes(spark):
     ])
     out = silver.slv_transactions(b, as_of=AS_OF, since="2026-01-21 10:00:00")
     assert [r[0] for r in rows(out, "transaction_id")] == ["t2", "t3"]
+
+
+def test_bad_values_fail_strict_and_are_quarantined_otherwise(spark):
+    import pytest
+    from riskmesh.operators import quality
+    b = bronze(spark, "transactions", [
+        ("t1", "p1", "bet", "1.5", "2026-01-20 10:00:00", "2026-01-20"),
+        ("t2", "p1", "bet", "abc", "2026-01-20 10:00:00", "2026-01-20"),
+        ("t3", "p1", "bet", "2", "not a time", "2026-01-20"),
+    ])
+    with pytest.raises(Exception):
+        silver.slv_transactions(b, as_of=AS_OF).collect()
+    kept = silver.slv_transactions(b, as_of=AS_OF, strict=False)
+    assert [r[0] for r in rows(kept, "transaction_id")] == ["t1"]
+    q = {r.transaction_id: r.failed_columns for r in quality.cast_failures(b, "transactions").collect()}
+    assert q == {"t2": ["amount"], "t3": ["timestamp"]}
