@@ -18,7 +18,7 @@ from riskmesh.functions import (
 )
 from riskmesh.operators import gold, quality, reports
 from riskmesh.operators.dedup import dedup_latest
-from riskmesh.operators.silver import required, transaction_measures, valid_transaction
+from riskmesh.operators.silver import required
 from riskmesh.plans.upsert import merge_partition_local, watermark_of
 from riskmesh.session import configure
 from riskmesh.sources.layers import Layers

@@ -103,11 +103,6 @@ class Layers:
         checkpoint_dir(self.spark)
         return df.checkpoint(eager=True)
 
-    def materialized(self) -> "Layers":
-        """A copy of these layers that checkpoints every relation it builds."""
-        return Layers(self.spark, self._bronze_loader, self._model_loader, self.as_of,
-                      self.thresholds, materialize=True)
-
     def build(self, name: str) -> DataFrame:
         """Compute a model from its inputs (ignores a materialised copy)."""
         t, as_of = self.thresholds, self.as_of
