@@ -98,22 +98,19 @@ def read_csv(spark: SparkSession, path: str, spec: FeedSpec) -> LandingFrame:
 
 
 def read_json(spark: SparkSession, path: str, spec: FeedSpec, lines: bool = False) -> LandingFrame:
-    """A top-level array of flat objects (one task per file: the format is not
-    splittable), or JSON Lines (splits freely). Key presence is checked per
-    object; numbers keep their numeric text (``1.50`` -> ``1.5``), nested values
-    become JSON text, booleans ``true`` / ``false``."""
-    if lines:
-        text = spark.read.text(path)
-        objs = text.where(F.trim(F.col("value")) != "").select(
-            F.from_json("value", "map<string,string>").alias("m"))
-    else:
-        text = spark.read.option("wholetext", True).text(path)
-        objs = text.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("m"))
+    """A top-level array of flat objects (multiLine: parsed as a stream, one
+    task per file since the format is not splittable), or JSON Lines (splits
+    freely). Every field is read as a VARIANT: a missing key is SQL NULL while
+    an explicit ``null`` is a variant null, so key presence is checked per
+    object. Values become text: numbers keep their numeric text (``1.50`` ->
+    ``1.5``), nested values JSON text, booleans ``true`` / ``false``."""
+    schema = ", ".join(f"`{c}` variant" for c in spec.columns)
+    raw = spark.read.option("multiLine", not lines).schema(schema).json(path)
     cols = []
     for c in spec.columns:
-        cols.append(F.col("m")[c].alias(c))
-        cols.append(F.coalesce(F.map_contains_key("m", F.lit(c)), F.lit(False)).alias(f"_has_{c}"))
-    return LandingFrame(objs.select(*cols), spec)
+        cols.append(F.col(f"`{c}`").cast("string").alias(c))
+        cols.append(F.col(f"`{c}`").isNotNull().alias(f"_has_{c}"))
+    return LandingFrame(raw.select(*cols), spec)
 
 
 def read_landing(spark: SparkSession, path: str, feed: str,

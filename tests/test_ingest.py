@@ -159,3 +159,12 @@ def test_bronze_scan_prunes_partitions(spark, workdir):
     df = read_bronze(spark, dest, "transactions", "2026-01-21", "2026-01-21")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and df.count() == 1
+
+
+def test_json_lines_feed(spark, workdir):
+    src = write(os.path.join(workdir, "p.jsonl"),
+                '{"player_id": "p1", "email": "a@b.c", "city": "x", "created_at": "2026-01-20"}\n'
+                '\n'
+                '{"player_id": "p2", "email": null, "city": "y", "created_at": "2026-01-21"}\n')
+    bronze, n = ingest.validate(ingest.read_landing(spark, src, "players", "jsonl"))
+    assert n == 2 and {r.email for r in bronze.collect()} == {"a@b.c", None}
