@@ -3,6 +3,7 @@ schema sync and full refresh on Parquet datasets partitioned by date."""
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
@@ -13,13 +14,40 @@ from riskmesh.session import checkpoint_dir
 from riskmesh.specs import WATERMARK_FLOOR, SilverSpec
 
 
-def watermark_of(target: DataFrame, event_column: str):
+def watermark_of(target: DataFrame, event_column: str, recent_from=None,
+                 date_column: str | None = None):
     """``COALESCE(MAX(event), floor)`` of the target: one scalar (a single
-    global aggregate row), used as a literal so it prunes the next scan."""
+    global aggregate row), used as a literal so it prunes the next scan.
+    With ``recent_from`` (a day) only partitions from that day on are read."""
+    if recent_from is not None and date_column:
+        target = target.where(F.col(date_column) >= F.lit(str(recent_from)).cast("date"))
     value = target.agg(F.max(event_column).alias("m")).first()["m"]
     return value if value is not None else WATERMARK_FLOOR
 
 
+def latest_partition(spark: SparkSession, path: str, date_column: str):
+    """Newest ``date_column=YYYY-MM-DD`` folder of a dataset, from the
+    directory listing alone (no data read; bounded by the number of days)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{date_column}="
+    days = [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+    days = [d for d in days if d and d != "__HIVE_DEFAULT_PARTITION__"]
+    return _dt.date.fromisoformat(max(days)) if days else None
+
+
+def target_watermark(spark: SparkSession, target_path: str, spec: SilverSpec):
+    """Watermark of a silver target partitioned by the event's UTC date: the
+    max event lies in the newest partition, so only the newest two days are
+    scanned (one extra day of margin)."""
+    target = spark.read.parquet(target_path)
+    newest = latest_partition(spark, target_path, spec.date_column)
+    start = newest - _dt.timedelta(days=1) if newest else None
+    return watermark_of(target, spec.event_column, start, spec.date_column)
+
+
 def merge_partition_local(target: DataFrame, batch: DataFrame, key: str, date_column: str,
                           partition_local: bool = True) -> DataFrame:
     """MERGE semantics as a relational expression.
@@ -118,8 +146,7 @@ def incremental_build(spark: SparkSession, target_path: str, bronze: DataFrame,
         df = model(bronze, as_of=as_of)
         _write(df, target_path, spec.date_column, dynamic=False)
         return UpsertResult(target_path, "full", -1, -1)
-    target = spark.read.parquet(target_path)
-    since = watermark_of(target, spec.event_column)
+    since = target_watermark(spark, target_path, spec)
     if lookback is not None and since != WATERMARK_FLOOR:
         since = since - lookback
     batch = model(bronze, as_of=as_of, since=since)

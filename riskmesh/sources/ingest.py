@@ -69,18 +69,23 @@ class LandingFrame:
     spec: FeedSpec
 
 
-def read_csv(spark: SparkSession, path: str, spec: FeedSpec) -> LandingFrame:
+def read_csv(spark: SparkSession, path: str, spec: FeedSpec,
+             multi_line: bool = True) -> LandingFrame:
     """Header row, UTF-8, comma, RFC quotes incl. embedded newlines.
 
+    ``multi_line`` (default, parity) allows newlines inside quoted fields,
+    which makes every file a single task; a large feed known to have none can
+    pass ``multi_line=False`` so each file splits into many tasks.
+
     The header alone decides which columns exist. An empty field of a complete
     row is ``''`` (Spark reads unquoted empties as NULL, so they are restored);
     a short row's missing tail stays NULL. Known gap: an empty field *inside*
     a short or long row cannot be told from a missing one and stays NULL.
     Extra columns are dropped.
     """
-    header = spark.read.option("header", True).option("multiLine", True).csv(path).columns
+    header = spark.read.option("header", True).option("multiLine", multi_line).csv(path).columns
     schema = ", ".join(f"`{c}` string" for c in header) + f", `{_CORRUPT}` string"
-    raw = (spark.read.options(header=True, multiLine=True, escape='"', emptyValue="",
+    raw = (spark.read.options(header=True, multiLine=multi_line, escape='"', emptyValue="",
                               encoding="UTF-8", mode="PERMISSIVE",
                               columnNameOfCorruptRecord=_CORRUPT)
            .schema(schema).csv(path))
@@ -114,11 +119,11 @@ def read_json(spark: SparkSession, path: str, spec: FeedSpec, lines: bool = Fals
 
 
 def read_landing(spark: SparkSession, path: str, feed: str,
-                 source_format: str | None = None) -> LandingFrame:
+                 source_format: str | None = None, multi_line: bool = True) -> LandingFrame:
     spec = FEEDS[feed]
     fmt = normalize_format(source_format or spec.default_format)
     if fmt == "csv":
-        return read_csv(spark, path, spec)
+        return read_csv(spark, path, spec, multi_line)
     return read_json(spark, path, spec, lines=(fmt == "jsonl"))
 
 
@@ -212,9 +217,9 @@ def write_bronze(df: DataFrame, destination: str, feed: str,
 
 def ingest(spark: SparkSession, feed: str, source_uri: str, destination_uri: str,
            source_format: str | None = None, rows_per_file: int = DEFAULT_ROWS_PER_FILE,
-           ingest_date: _dt.date | None = None) -> LoadReport:
+           ingest_date: _dt.date | None = None, multi_line: bool = True) -> LoadReport:
     """Landing file -> bronze dataset; returns the load report."""
-    landing = read_landing(spark, source_uri, feed, source_format)
+    landing = read_landing(spark, source_uri, feed, source_format, multi_line)
     bronze, rows = validate(landing, ingest_date)
     return write_bronze(bronze, destination_uri, feed, rows_per_file, rows, source_uri)
 
@@ -232,12 +237,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format")
     ap.add_argument("--rows-per-file", type=int, default=DEFAULT_ROWS_PER_FILE)
     ap.add_argument("--ingest-date")
+    ap.add_argument("--splittable", action="store_true",
+                    help="CSV without newlines inside quoted fields: split files into many tasks")
     a = ap.parse_args(argv)
     spark = build_session()
     report = ingest(spark, a.table, landing_uri(a.table, a.landing_prefix, source_uri=a.source_uri),
                     staging_uri(a.table, a.staging_prefix, a.destination_uri), a.format,
                     a.rows_per_file,
-                    _dt.date.fromisoformat(a.ingest_date) if a.ingest_date else None)
+                    _dt.date.fromisoformat(a.ingest_date) if a.ingest_date else None,
+                    multi_line=not a.splittable)
     print(report.to_json())
 
 

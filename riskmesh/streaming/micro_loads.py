@@ -19,7 +19,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmesh.operators import silver
-from riskmesh.plans.upsert import _exists, upsert, watermark_of
+from riskmesh.plans.upsert import _exists, target_watermark, upsert
 from riskmesh.session import checkpoint_dir
 from riskmesh.sources.ingest import normalize_format, with_partition
 from riskmesh.specs import FEEDS, SILVER
@@ -55,7 +55,7 @@ def micro_load(spark: SparkSession, landing_dir: str, feed: str, target_path: st
         bronze = with_partition(batch, FEEDS[feed])
         since = None
         if _exists(spark, target_path):
-            since = watermark_of(spark.read.parquet(target_path), spec.event_column)
+            since = target_watermark(spark, target_path, spec)
         out = model(bronze, as_of=as_of, since=since)
         upsert(spark, target_path, out, spec, partition_local)
         batches.append(batch_id)

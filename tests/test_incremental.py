@@ -151,3 +151,12 @@ def test_lookback_admits_late_rows(spark, workdir):
     assert {r[0] for r in table(spark, path)} == {"t1"}                # default: ignored
     build(spark, path, late, lookback=dt.timedelta(hours=3))
     assert {r[0] for r in table(spark, path)} == {"t0", "t1"}
+
+
+def test_watermark_reads_only_the_newest_partitions(spark, workdir):
+    from riskmesh.plans.upsert import latest_partition, target_watermark
+    path = os.path.join(workdir, "wm")
+    build(spark, path, [("t1", "p", "bet", "1", "2026-01-20 10:00:00"),
+                        ("t2", "p", "bet", "1", "2026-01-25 23:30:00")])
+    assert latest_partition(spark, path, "transaction_date") == dt.date(2026, 1, 25)
+    assert str(target_watermark(spark, path, SPEC)) == "2026-01-25 23:30:00"

@@ -168,3 +168,9 @@ def test_json_lines_feed(spark, workdir):
                 '{"player_id": "p2", "email": null, "city": "y", "created_at": "2026-01-21"}\n')
     bronze, n = ingest.validate(ingest.read_landing(spark, src, "players", "jsonl"))
     assert n == 2 and {r.email for r in bronze.collect()} == {"a@b.c", None}
+
+
+def test_csv_splittable_mode(spark, workdir):
+    src = write(os.path.join(workdir, "t.csv"), TX_CSV)
+    bronze, n = ingest.validate(ingest.read_landing(spark, src, "transactions", multi_line=False))
+    assert n == 2 and {r.amount for r in bronze.collect()} == {"10.25", "5.00"}
