@@ -63,6 +63,17 @@ def _dt(text: Column) -> Column:
     return F.substring(text, 1, 10).cast("date")
 
 
+def _versions(df: DataFrame, versions, names: list[str]) -> DataFrame:
+    """Emit, per input row, one output row per version whose condition holds
+    (``None`` = always): a single scan instead of a union of filtered copies."""
+    structs = []
+    for cond, cols in versions:
+        st = F.struct(*[c.alias(n) for c, n in zip(cols, names)])
+        structs.append(st if cond is None else F.when(cond, st))
+    out = df.select(F.explode(F.filter(F.array(*structs), lambda r: r.isNotNull())).alias("r"))
+    return out.select(*[F.col(f"r.{n}").alias(n) for n in names])
+
+
 def _bronze(df: DataFrame, feed: str) -> DataFrame:
     spec = FEEDS[feed]
     return df.select(*[F.col(c).cast("string").alias(c) for c in spec.columns],
@@ -83,13 +94,12 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     city = F.when(key % 5 == 0, F.concat(F.lower(F.col("n_name")), F.lit("-do sul/norte"))) \
             .otherwise(F.concat(F.lit(" "), F.col("n_name")))
     created = F.date_add(F.lit("2024-01-01").cast("date"), (key % 60).cast("int"))
-    base = j.select(_s(key).alias("player_id"), email.alias("email"), city.alias("city"),
-                    _s(created).alias("created_at"), created.alias("dt"), key.alias("_k"))
-    older = F.date_sub(F.col("dt"), 1)
-    dup = base.where(F.col("_k") % 7 == 0).select(
-        "player_id", "email", F.lit(" OLD TOWN").alias("city"),
-        _s(older).alias("created_at"), older.alias("dt"), "_k")
-    return _bronze(base.unionByName(dup), "players")
+    older = F.date_sub(created, 1)
+    rows = _versions(j, [
+        (None, [_s(key), email, city, _s(created), created]),
+        (key % 7 == 0, [_s(key), email, F.lit(" OLD TOWN"), _s(older), older]),
+    ], ["player_id", "email", "city", "created_at", "dt"])
+    return _bronze(rows, "players")
 
 
 def _k(props: Column) -> Column:
@@ -109,15 +119,14 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.lit("mobile"))
     device = F.concat(F.lit(" "), F.upper(kind), F.lit(" "))
     player = F.when(F.col("event_id") % 83 == 0, F.lit(None).cast("string")).otherwise(_s(user))
-    base = e.select(_s(F.col("event_id")).alias("session_id"), player.alias("player_id"),
-                    ip.alias("ip"), device.alias("device"), F.col("ts").alias("_ts"),
-                    F.col("event_id").alias("_k"))
-    dup = base.where(F.col("_k") % 7 == 0).select(
-        "session_id", "player_id", "ip", F.lit(" TABLET ").alias("device"),
-        (F.col("_ts") - F.expr("INTERVAL 1 HOUR")).alias("_ts"), "_k")
-    both = base.unionByName(dup)
+    sid = _s(F.col("event_id"))
+    rows = _versions(e, [
+        (None, [sid, player, ip, device, F.col("ts")]),
+        (F.col("event_id") % 7 == 0,
+         [sid, player, ip, F.lit(" TABLET "), F.col("ts") - F.expr("INTERVAL 1 HOUR")]),
+    ], ["session_id", "player_id", "ip", "device", "_ts"])
     ts = _s(F.col("_ts"))
-    return _bronze(both.withColumn("timestamp", ts).withColumn("dt", _dt(ts)), "sessions")
+    return _bronze(rows.withColumn("timestamp", ts).withColumn("dt", _dt(ts)), "sessions")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,18 +144,15 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(key % 61 == 0, _s(price * F.lit(-0.001).cast("decimal(3,3)")))
               .otherwise(_s(price * F.lit(0.001).cast("decimal(3,3)"))))
     player = F.when(key % 73 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey")))
-    base = o.select(_s(key).alias("transaction_id"), player.alias("player_id"),
-                    kind.alias("type"), amount.alias("amount"), ts.alias("_ts"), key.alias("_k"))
-    dups = base.where(F.col("_k") % 7 == 0)
-    newer_invalid = dups.where(F.col("_k") % 2 == 0).select(
-        "transaction_id", "player_id", F.lit("bonus").alias("type"), "amount",
-        (F.col("_ts") + F.expr("INTERVAL 1 HOUR")).alias("_ts"), "_k")
-    older_valid = dups.where(F.col("_k") % 2 == 1).select(
-        "transaction_id", "player_id", F.lit("bet").alias("type"), F.lit("1.5").alias("amount"),
-        (F.col("_ts") - F.expr("INTERVAL 1 HOUR")).alias("_ts"), "_k")
-    both = base.unionByName(newer_invalid).unionByName(older_valid)
+    tid = _s(key)
+    hour = F.expr("INTERVAL 1 HOUR")
+    rows = _versions(o, [
+        (None, [tid, player, kind, amount, ts]),
+        ((key % 7 == 0) & (key % 2 == 0), [tid, player, F.lit("bonus"), amount, ts + hour]),
+        ((key % 7 == 0) & (key % 2 == 1), [tid, player, F.lit("bet"), F.lit("1.5"), ts - hour]),
+    ], ["transaction_id", "player_id", "type", "amount", "_ts"])
     text = _s(F.col("_ts"))
-    return _bronze(both.withColumn("timestamp", text).withColumn("dt", _dt(text)), "transactions")
+    return _bronze(rows.withColumn("timestamp", text).withColumn("dt", _dt(text)), "transactions")
 
 
 def affiliate_cpa_ftd(spark: SparkSession, sf_dir: str) -> DataFrame:
