@@ -228,6 +228,31 @@ def _(L):
     return merge_partition_local(first, batch, "transaction_id", "transaction_date")
 
 
+STREAM_SPLIT = "2024-02-01"          # streaming_micro_loads: day the second landing starts
+
+
+@query("streaming_micro_loads")
+def _(L):
+    """Players feed landed as two batches of JSON Lines files; after each,
+    one ``availableNow`` micro-load (watermark + partition-local upsert) into
+    slv_players. A player whose creation day moved between the batches keeps
+    its old row and gains a new one (the partition-local merge)."""
+    import uuid
+    from riskmesh.session import checkpoint_dir
+    from riskmesh.streaming import micro_load
+    base = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-stream-{uuid.uuid4().hex}"
+    bronze = L.source("players")
+    split = F.lit(STREAM_SPLIT).cast("date")
+    target = f"{base}/slv_players"
+    for i, part in enumerate((bronze.where(F.col("dt") < split), bronze.where(F.col("dt") >= split))):
+        (part.drop("dt").write.mode("overwrite")
+         .option("ignoreNullFields", False).json(f"{base}/landing/batch{i}"))
+        micro_load(L.spark, f"{base}/landing/*/*.json", "players", target,
+                   f"{base}/stream-checkpoint", source_format="jsonl")
+    return L.spark.read.parquet(target).select(
+        "player_id", "email", "email_domain", "city", "created_at")
+
+
 @query("duplicate_keys")
 def _(L):
     """Transaction ids with several valid typed rows before the dedup."""
