@@ -174,3 +174,21 @@ def test_csv_splittable_mode(spark, workdir):
     src = write(os.path.join(workdir, "t.csv"), TX_CSV)
     bronze, n = ingest.validate(ingest.read_landing(spark, src, "transactions", multi_line=False))
     assert n == 2 and {r.amount for r in bronze.collect()} == {"10.25", "5.00"}
+
+
+def test_csv_long_row_keeps_declared_columns(spark, workdir):
+    src = write(os.path.join(workdir, "t.csv"),
+                "transaction_id,player_id,type,amount,timestamp\n"
+                "t1,p1,bet,2,2026-01-20 10:00:00,extra1,extra2\n")
+    bronze, n = ingest.validate(ingest.read_landing(spark, src, "transactions"))
+    r = bronze.first()
+    assert n == 1 and (r.transaction_id, r.amount, r.timestamp) == ("t1", "2", "2026-01-20 10:00:00")
+
+
+def test_header_only_csv_keeps_old_data(spark, workdir):
+    dest = os.path.join(workdir, "transactions")
+    ingest.ingest(spark, "transactions", write(os.path.join(workdir, "a.csv"), TX_CSV), dest)
+    empty = write(os.path.join(workdir, "b.csv"), "transaction_id,player_id,type,amount,timestamp\n")
+    rep = ingest.ingest(spark, "transactions", empty, dest)
+    assert rep.rows_written == 0
+    assert read_bronze(spark, dest, "transactions", "1900-01-01", "2100-01-01").count() == 2
