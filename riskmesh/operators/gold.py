@@ -15,15 +15,6 @@ from riskmesh.specs import THRESHOLDS, SignalThresholds
 
 
 # ---------------------------------------------------------------- financial
-def transaction_type_counts(tx: DataFrame) -> DataFrame:
-    return tx.groupBy("player_id").agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.count_if(F.col("transaction_type") == "deposit").alias("deposit_count"),
-        F.count_if(F.col("transaction_type") == "withdraw").alias("withdraw_count"),
-        F.count_if(F.col("transaction_type") == "bet").alias("bet_count"),
-    )
-
-
 def financial_aggregates(tx: DataFrame) -> DataFrame:
     """Per-player counts, totals and last transaction, one partial+final aggregate."""
     return tx.groupBy("player_id").agg(
@@ -38,6 +29,12 @@ def financial_aggregates(tx: DataFrame) -> DataFrame:
     )
 
 
+def transaction_type_counts(tx: DataFrame) -> DataFrame:
+    """Per-player transaction counts by type (the unused sums are pruned)."""
+    return financial_aggregates(tx).select("player_id", "transaction_count", "deposit_count",
+                                           "withdraw_count", "bet_count")
+
+
 def high_withdraw(withdraw, deposit, t: SignalThresholds = THRESHOLDS):
     return (withdraw > scaled(deposit, t.withdraw_to_deposit)) & (withdraw >= F.lit(t.min_withdraw))
 
