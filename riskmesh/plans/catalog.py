@@ -233,8 +233,9 @@ STREAM_SPLIT = "2024-02-01"          # streaming_micro_loads: day the second lan
 
 @query("streaming_micro_loads")
 def _(L):
-    """Players feed landed as two batches of JSON Lines files; after each,
-    one ``availableNow`` micro-load (watermark + partition-local upsert) into
+    """Players feed landed as two batches of JSON Lines files; after each, one
+    micro-load: an ``availableNow`` stream appends the new files to bronze,
+    then the incremental build (watermark + partition-local upsert) updates
     slv_players. A player whose creation day moved between the batches keeps
     its old row and gains a new one (the partition-local merge)."""
     import uuid

@@ -1,14 +1,19 @@
-"""Repeated micro-loads (hourly sessions / transactions, daily players) as a
-file-source Structured Streaming query.
+"""Repeated micro-loads (hourly sessions / transactions, daily players) with
+a file-source Structured Streaming query.
 
-Each run is ``trigger(availableNow=True)``: it processes every landing file
-not yet recorded in the query's checkpoint, then stops. Each micro-batch goes
-through the same steps as a batch run: partition value, silver model (with the
-target's watermark), partition-local upsert. A rerun without new files does
-nothing; a replayed batch (after a failure) upserts the same rows again, so
-the result is the same (idempotent sink).
+One run = two steps:
+  1. ``trigger(availableNow=True)``: every landing file not yet recorded in
+     the query's checkpoint is parsed, given its partition value and appended
+     to the bronze dataset through Spark's Parquet file sink (exactly-once:
+     readers only see files committed in the sink's log). A row without a
+     valid partition value fails the query, like the batch ingest.
+  2. the incremental silver build: bronze rows at or after the target's
+     watermark (pruned to recent day partitions) are deduplicated and merged
+     partition-locally into the silver table (idempotent on replay).
+A rerun without new files appends nothing and merges nothing new.
 
-Streaming dedup operators are not used on purpose: ``dropDuplicates*`` keeps
+No Python callback runs inside the stream (no ``foreachBatch``), and the
+streaming dedup operators are not used on purpose: ``dropDuplicates*`` keeps
 the *first* row of a key, while the silver models keep the *latest*.
 """
 
@@ -17,10 +22,12 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskmesh.operators import silver
-from riskmesh.plans.upsert import _exists, target_watermark, upsert
+from riskmesh.plans.upsert import incremental_build
 from riskmesh.session import checkpoint_dir
+from riskmesh.sources.bronze import read_bronze
 from riskmesh.sources.ingest import normalize_format, with_partition
 from riskmesh.specs import FEEDS, SILVER
 
@@ -41,29 +48,36 @@ def _stream(spark: SparkSession, landing_dir: str, feed: str, source_format: str
     return reader.option("multiLine", fmt == "json").json(landing_dir)
 
 
+def land(spark: SparkSession, landing_dir: str, feed: str, bronze_path: str,
+         checkpoint_location: str, source_format: str | None = None) -> int:
+    """Append every new landing file to the bronze dataset; returns the number
+    of rows appended by this run."""
+    spec = FEEDS[feed]
+    p = spec.partition_column
+    rows = with_partition(_stream(spark, landing_dir, feed, source_format), spec)
+    checked = rows.withColumn(p, F.when(F.col(p).isNotNull(), F.col(p)).otherwise(
+        F.raise_error(F.lit(f"Partition field {spec.partition_source} is missing or invalid"))
+        .cast("date")))
+    query = (checked.writeStream.format("parquet")
+             .partitionBy(p)
+             .option("checkpointLocation", checkpoint_location)
+             .trigger(availableNow=True)
+             .start(bronze_path))
+    query.awaitTermination()
+    return sum(int(pr.get("numInputRows", 0)) for pr in query.recentProgress)
+
+
 def micro_load(spark: SparkSession, landing_dir: str, feed: str, target_path: str,
                checkpoint_location: str | None = None, source_format: str | None = None,
-               as_of=None, partition_local: bool = True) -> int:
-    """Process all new landing files of ``feed`` into the silver table at
-    ``target_path``. Returns the number of micro-batches run."""
+               as_of=None, partition_local: bool = True, bronze_path: str | None = None) -> int:
+    """Land the new files of ``feed`` and merge them into the silver table at
+    ``target_path``. Returns the number of landed rows."""
     name, model = MODELS[feed]
-    spec = SILVER[name]
-    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", feed)
-    batches = []
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        bronze = with_partition(batch, FEEDS[feed])
-        since = None
-        if _exists(spark, target_path):
-            since = target_watermark(spark, target_path, spec)
-        out = model(bronze, as_of=as_of, since=since)
-        upsert(spark, target_path, out, spec, partition_local)
-        batches.append(batch_id)
-
-    query = (_stream(spark, landing_dir, feed, source_format)
-             .writeStream.trigger(availableNow=True)
-             .option("checkpointLocation", ckpt)
-             .foreachBatch(apply)
-             .start())
-    query.awaitTermination()
-    return len(batches)
+    base = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", feed)
+    bronze_path = bronze_path or os.path.join(base, "bronze")
+    landed = land(spark, landing_dir, feed, bronze_path, os.path.join(base, "checkpoint"),
+                  source_format)
+    bronze = read_bronze(spark, bronze_path, feed, "1900-01-01", as_of or "9999-12-31")
+    incremental_build(spark, target_path, bronze, SILVER[name], model, as_of=as_of,
+                      partition_local=partition_local)
+    return landed

@@ -95,11 +95,13 @@ def test_streaming_micro_loads_process_only_new_files(spark, workdir):
     header = "transaction_id,player_id,type,amount,timestamp\n"
     with open(os.path.join(landing, "h1.csv"), "w") as f:
         f.write(header + "t1,p,bet,1,2026-01-20 10:00:00\nt2,p,bet,2,2026-01-20 11:00:00\n")
-    assert micro_load(spark, landing, "transactions", target, ckpt, as_of=AS_OF) >= 1
+    assert micro_load(spark, landing, "transactions", target, ckpt, as_of=AS_OF) == 2
     assert len(table(spark, target)) == 2
+    before = table(spark, target)
     assert micro_load(spark, landing, "transactions", target, ckpt, as_of=AS_OF) == 0  # no new files
+    assert table(spark, target) == before
     with open(os.path.join(landing, "h2.csv"), "w") as f:
-        f.write(header + "t2,p,withdraw,5,2026-01-20 11:00:00\nt3,p,bet,3,2026-01-21 09:00:00\n")
+        f.write(header + "t2,p,withdraw,5,2026-01-20 11:30:00\nt3,p,bet,3,2026-01-21 09:00:00\n")
     micro_load(spark, landing, "transactions", target, ckpt, as_of=AS_OF)
     got = {r[0]: r for r in table(spark, target)}
     assert set(got) == {"t1", "t2", "t3"} and got["t2"][1] == "withdraw"
