@@ -24,6 +24,10 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # tiny shuffles (a small load) still keep a few tasks, so a partitioned
+    # write of many small days is not serialised into one task; large
+    # shuffles are sized by the advisory size above
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # never broadcast on a static size estimate (estimates are not bounds);
     # AQE turns a join into a broadcast only after measuring the small side
     "spark.sql.autoBroadcastJoinThreshold": "-1",
