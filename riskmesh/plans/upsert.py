@@ -87,10 +87,12 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def _write(df: DataFrame, path: str, date_column: str, dynamic: bool) -> None:
     """Date-partitioned write, rebalanced by the date (see ``rebalanced_by``)."""
+    from riskmesh.session import partitioned_write
     from riskmesh.sources.ingest import rebalanced_by
-    (rebalanced_by(df, date_column).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-     .partitionBy(date_column).parquet(path))
+    with partitioned_write(df.sparkSession):
+        (rebalanced_by(df, date_column).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+         .partitionBy(date_column).parquet(path))
 
 
 def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: SilverSpec,

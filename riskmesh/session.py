@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 
@@ -24,10 +25,6 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    # tiny shuffles (a small load) still keep a few tasks, so a partitioned
-    # write of many small days is not serialised into one task; large
-    # shuffles are sized by the advisory size above
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # never broadcast on a static size estimate (estimates are not bounds);
     # AQE turns a join into a broadcast only after measuring the small side
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -49,6 +46,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def partitioned_write(spark: SparkSession):
+    """Settings for the duration of a partitioned write: a small load still
+    keeps a few write tasks (a write of many small days is not serialised
+    into one task); large writes are sized by the advisory partition size."""
+    key, value = "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield spark
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def build_session(master: str = "local[*]", app: str = "riskmesh",
                   shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """Local session for tests and the bench; clusters pass their own builder."""

@@ -199,14 +199,16 @@ def write_bronze(df: DataFrame, destination: str, feed: str,
         rows = df.count()
     if rows == 0:
         return LoadReport(feed, source_uri, destination, 0, 0, 0, [])
-    (rebalanced_by(df, p)
-     .sortWithinPartitions(p)
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "static")
-     .option("maxRecordsPerFile", int(rows_per_file))
-     .option("compression", "snappy")
-     .partitionBy(p)
-     .parquet(destination))
+    from riskmesh.session import partitioned_write
+    with partitioned_write(spark):
+        (rebalanced_by(df, p)
+         .sortWithinPartitions(p)
+         .write.mode("overwrite")
+         .option("partitionOverwriteMode", "static")
+         .option("maxRecordsPerFile", int(rows_per_file))
+         .option("compression", "snappy")
+         .partitionBy(p)
+         .parquet(destination))
     written = spark.read.schema(spec.bronze_schema).parquet(destination)
     # counts come from the dataset's file listing (no data is read); the
     # report names the written partition folders (one per day) rather than
