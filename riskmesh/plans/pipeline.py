@@ -17,6 +17,7 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmesh.operators import gold, quality, silver
@@ -67,9 +68,12 @@ class RunReport:
 def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
         as_of: _dt.date | str | None = None, full_refresh: bool = False,
         thresholds: SignalThresholds = THRESHOLDS, ingest_date: _dt.date | None = None,
-        partition_local: bool = True, gate: bool = True) -> RunReport:
+        partition_local: bool = True, gate: bool = True,
+        freshness_max_age_days: int | None = None) -> RunReport:
     """One pipeline run over the warehouse folder ``root``
-    (``bronze/``, ``silver/``, ``gold/``)."""
+    (``bronze/``, ``silver/``, ``gold/``). ``freshness_max_age_days`` turns on
+    the source-freshness check of the incremental silver tables (off by
+    default: no threshold is declared); a stale table fails the gate."""
     configure(spark)
     rep = RunReport()
     as_of_s = str(as_of) if as_of else _dt.datetime.now(_dt.timezone.utc).date().isoformat()
@@ -100,6 +104,19 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
 
     silver_layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
     check("silver", quality.silver_checks(), silver_layers.relation)
+    if freshness_max_age_days is not None:
+        parts = [quality.freshness(silver_layers.ref(name), SILVER[name].event_column, as_of_s,
+                                   freshness_max_age_days, name)
+                 .select("table_name", F.col("is_stale").cast("bigint").alias("failing_rows"))
+                 for name in INCREMENTAL_MODELS]
+        fresh = parts[0]
+        for p in parts[1:]:
+            fresh = fresh.unionByName(p)
+        fresh = fresh.select(F.concat(F.lit("freshness_"), F.col("table_name")).alias("check_name"),
+                             "table_name", "failing_rows")
+        rep.checks["freshness"] = [tuple(r) for r in fresh.collect()]
+        if gate:
+            quality.gate(fresh)
 
     def write_gold(name: str, df: DataFrame) -> None:
         with_comments(df, GOLD_COMMENTS.get(name, {})).write.mode("overwrite") \

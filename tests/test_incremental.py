@@ -142,6 +142,11 @@ def test_pipeline_end_to_end(spark, workdir):
     # second run with no new landing data: incremental, nothing changes
     rep2 = run(spark, root, None, as_of=AS_OF)
     assert rep2.models["slv_transactions"] == "incremental"
+    # optional freshness gate: data from January is stale by June
+    import pytest
+    from riskmesh.operators.quality import QualityGateError
+    with pytest.raises(QualityGateError, match="freshness"):
+        run(spark, root, None, as_of=AS_OF, freshness_max_age_days=30)
 
 
 def test_lookback_admits_late_rows(spark, workdir):
