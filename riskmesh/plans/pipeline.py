@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmesh.operators import gold, quality, silver
-from riskmesh.plans.upsert import incremental_build
+from riskmesh.plans.upsert import _exists, incremental_build
 from riskmesh.session import configure
 from riskmesh.sources.ingest import LoadReport, ingest
 from riskmesh.sources.layers import Layers
@@ -82,33 +82,50 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
                                  ingest_date=ingest_date)
     layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
 
-    def check(suite: str, checks: list[quality.Check], rel) -> None:
-        s = quality.summary(checks, rel)
+    def available(layer: str, names) -> set[str]:
+        return {n for n in names if _exists(spark, os.path.join(root, layer, n))}
+
+    def check(suite: str, checks: list[quality.Check], rel, present: set[str]) -> None:
+        usable = [c for c in checks if c.table in present and (c.parent is None or c.parent in present)]
+        if not usable:
+            return
+        s = quality.summary(usable, rel)
         rep.checks[suite] = [tuple(r) for r in s.collect()]
         if gate:
             quality.gate(s)
 
-    check("bronze", quality.bronze_checks(), layers.source)
+    # a feed never landed has no bronze yet: its models (and the marts that
+    # need them) are skipped and reported as such instead of failing the run
+    feeds = available("bronze", ("players", "sessions", "transactions", "affiliate_cpa_ftd"))
+    check("bronze", quality.bronze_checks(), layers.source, feeds)
 
     for name, (feed, model) in INCREMENTAL_MODELS.items():
+        if feed not in feeds:
+            rep.models[name] = "skipped: no bronze"
+            continue
         path = os.path.join(root, "silver", name)
         res = incremental_build(spark, path, layers.source(feed), SILVER[name],
-                                lambda b, **kw: with_comments(model(b, **kw), SILVER[name].comments),
+                                lambda b, m=model, n=name, **kw: with_comments(m(b, **kw),
+                                                                               SILVER[n].comments),
                                 full_refresh=full_refresh, as_of=as_of_s,
                                 partition_local=partition_local)
         rep.models[name] = res.mode
-    aff = silver.slv_affiliate_cpa_ftd(layers.source("affiliate_cpa_ftd"), as_of=as_of_s)
-    with_comments(aff, SILVER["slv_affiliate_cpa_ftd"].comments).write.mode("overwrite") \
-        .parquet(os.path.join(root, "silver", "slv_affiliate_cpa_ftd"))
-    rep.models["slv_affiliate_cpa_ftd"] = "full"
-
+    if "affiliate_cpa_ftd" in feeds:
+        aff = silver.slv_affiliate_cpa_ftd(layers.source("affiliate_cpa_ftd"), as_of=as_of_s)
+        with_comments(aff, SILVER["slv_affiliate_cpa_ftd"].comments).write.mode("overwrite") \
+            .parquet(os.path.join(root, "silver", "slv_affiliate_cpa_ftd"))
+        rep.models["slv_affiliate_cpa_ftd"] = "full"
+    else:
+        rep.models["slv_affiliate_cpa_ftd"] = "skipped: no bronze"
+
+    silver_present = available("silver", SILVER)
     silver_layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
-    check("silver", quality.silver_checks(), silver_layers.relation)
+    check("silver", quality.silver_checks(), silver_layers.relation, silver_present)
     if freshness_max_age_days is not None:
         parts = [quality.freshness(silver_layers.ref(name), SILVER[name].event_column, as_of_s,
                                    freshness_max_age_days, name)
                  .select("table_name", F.col("is_stale").cast("bigint").alias("failing_rows"))
-                 for name in INCREMENTAL_MODELS]
+                 for name in INCREMENTAL_MODELS if name in silver_present]
         fresh = parts[0]
         for p in parts[1:]:
             fresh = fresh.unionByName(p)
@@ -123,17 +140,31 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
             .parquet(os.path.join(root, "gold", name))
         rep.models[name] = "full"
 
-    write_gold("gold_financial_signals",
-               gold.gold_financial_signals(silver_layers.ref("slv_transactions"), thresholds))
-    write_gold("gold_affiliate_metrics",
-               gold.gold_affiliate_metrics(silver_layers.ref("slv_affiliate_cpa_ftd")))
-    gold_layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
-    write_gold("gold_fraud_overview", gold.gold_fraud_overview(
-        gold_layers.ref("slv_players"), gold_layers.ref("slv_sessions"),
-        gold_layers.ref("gold_financial_signals"), gold_layers.ref("slv_affiliate_cpa_ftd"),
-        thresholds))
+    def skip(name: str) -> None:
+        rep.models[name] = "skipped: missing input"
+
+    if "slv_transactions" in silver_present:
+        write_gold("gold_financial_signals",
+                   gold.gold_financial_signals(silver_layers.ref("slv_transactions"), thresholds))
+    else:
+        skip("gold_financial_signals")
+    if "slv_affiliate_cpa_ftd" in silver_present:
+        write_gold("gold_affiliate_metrics",
+                   gold.gold_affiliate_metrics(silver_layers.ref("slv_affiliate_cpa_ftd")))
+    else:
+        skip("gold_affiliate_metrics")
+    if silver_present >= set(SILVER) and rep.models.get("gold_financial_signals") == "full":
+        gold_layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
+        write_gold("gold_fraud_overview", gold.gold_fraud_overview(
+            gold_layers.ref("slv_players"), gold_layers.ref("slv_sessions"),
+            gold_layers.ref("gold_financial_signals"), gold_layers.ref("slv_affiliate_cpa_ftd"),
+            thresholds))
+    else:
+        skip("gold_fraud_overview")
     final = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
-    check("gold", quality.gold_checks(), final.relation)
+    gold_present = available("gold", ("gold_financial_signals", "gold_affiliate_metrics",
+                                      "gold_fraud_overview"))
+    check("gold", quality.gold_checks(), final.relation, gold_present)
     return rep
 
 
@@ -162,13 +193,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of")
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--no-gate", action="store_true")
+    ap.add_argument("--freshness-max-age-days", type=int)
     a = ap.parse_args(argv)
     spark = build_session()
     if a.from_benchmark:
         seed_bronze_from_benchmark(spark, a.from_benchmark, a.root)
     landing = dict(x.split("=", 1) for x in a.landing)
     rep = run(spark, a.root, landing or None, as_of=a.as_of, full_refresh=a.full_refresh,
-              gate=not a.no_gate)
+              gate=not a.no_gate, freshness_max_age_days=a.freshness_max_age_days)
     print(json.dumps({"models": rep.models, "checks": rep.checks,
                       "loads": {k: v.rows_written for k, v in rep.loads.items()}}, default=str))
 

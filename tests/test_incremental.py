@@ -167,3 +167,16 @@ def test_watermark_reads_only_the_newest_partitions(spark, workdir):
                         ("t2", "p", "bet", "1", "2026-01-25 23:30:00")])
     assert latest_partition(spark, path, "transaction_date") == dt.date(2026, 1, 25)
     assert str(target_watermark(spark, path, SPEC)) == "2026-01-25 23:30:00"
+
+
+def test_pipeline_skips_feeds_never_landed(spark, workdir):
+    from riskmesh.plans.pipeline import run
+    p = os.path.join(workdir, "t.csv")
+    with open(p, "w") as f:
+        f.write("transaction_id,player_id,type,amount,timestamp\nt1,p1,deposit,100,2026-01-20 10:00:00\n")
+    root = os.path.join(workdir, "wh")
+    rep = run(spark, root, {"transactions": p}, as_of=AS_OF)
+    assert rep.models["slv_transactions"] == "full"
+    assert rep.models["gold_financial_signals"] == "full"
+    assert rep.models["slv_players"].startswith("skipped")
+    assert rep.models["gold_fraud_overview"].startswith("skipped")
