@@ -88,9 +88,9 @@ def test_format_dispatch(spark):
     assert ingest.normalize_format("Csv") == "csv"
     with pytest.raises(ValueError, match="Unsupported source format"):
         ingest.normalize_format("xml")
-    assert ingest.landing_uri("players", "gs://b/landing/") == "gs://b/landing/players.json"
+    assert ingest.landing_uri("players", "s3a://b/landing/") == "s3a://b/landing/players.json"
     assert ingest.landing_uri("players", "x", source_uri="s3://y/p.json") == "s3://y/p.json"
-    assert ingest.staging_uri("players", "gs://b/staging") == "gs://b/staging/players"
+    assert ingest.staging_uri("players", "s3a://b/staging") == "s3a://b/staging/players"
 
 
 def test_csv_edge_cases(spark, workdir):
