@@ -18,7 +18,7 @@ import json
 import os
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskmesh.functions import partition_date_text
@@ -195,9 +195,15 @@ def write_bronze(df: DataFrame, destination: str, feed: str,
     spark = df.sparkSession
     p = spec.partition_column
     df = df.select(*[F.col(c) for c in spec.columns], p)
+    observation = None
     if rows is None:
-        rows = df.count()
-    if rows == 0:
+        # an empty input must not replace the table: probe one row, and count
+        # the rows while they are written instead of in a separate pass
+        if df.isEmpty():
+            return LoadReport(feed, source_uri, destination, 0, 0, 0, [])
+        observation = Observation("bronze_load")
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    elif rows == 0:
         return LoadReport(feed, source_uri, destination, 0, 0, 0, [])
     from riskmesh.session import partitioned_write
     with partitioned_write(spark):
@@ -209,6 +215,8 @@ def write_bronze(df: DataFrame, destination: str, feed: str,
          .option("compression", "snappy")
          .partitionBy(p)
          .parquet(destination))
+    if observation is not None:
+        rows = int(observation.get["rows"])
     written = spark.read.schema(spec.bronze_schema).parquet(destination)
     # counts come from the dataset's file listing (no data is read); the
     # report names the written partition folders (one per day) rather than

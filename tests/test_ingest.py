@@ -192,3 +192,14 @@ def test_header_only_csv_keeps_old_data(spark, workdir):
     rep = ingest.ingest(spark, "transactions", empty, dest)
     assert rep.rows_written == 0
     assert read_bronze(spark, dest, "transactions", "1900-01-01", "2100-01-01").count() == 2
+
+
+def test_write_bronze_counts_while_writing(spark, workdir):
+    from tests.fixtures import bronze
+    df = bronze(spark, "players", [("p1", "e", "c", "2026-01-20", "2026-01-20"),
+                                   ("p2", "e", "c", "2026-01-21", "2026-01-21")])
+    rep = ingest.write_bronze(df, os.path.join(workdir, "p"), "players")
+    assert (rep.rows_written, rep.partitions_written) == (2, 2)
+    empty = ingest.write_bronze(df.limit(0), os.path.join(workdir, "p"), "players")
+    assert empty.rows_written == 0
+    assert read_bronze(spark, os.path.join(workdir, "p"), "players", "1900-01-01", "2100-01-01").count() == 2
