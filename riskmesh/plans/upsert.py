@@ -7,6 +7,7 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,27 +111,33 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
     if not _exists(spark, target_path):
         _write(batch, target_path, date_col, dynamic=False)
         return UpsertResult(target_path, "full", -1, -1)
-    target = spark.read.parquet(target_path)
-    schema_changed = set(target.columns) != set(batch.columns)
-    # touched dates: bounded by the number of calendar days in one batch
-    dates = [r[0] for r in batch.select(date_col).distinct().collect()]
-    if not dates and not schema_changed:
-        return UpsertResult(target_path, "noop", 0, 0)
-    if not partition_local and not schema_changed:
-        moved = target.join(batch.select(key).distinct(), key, "left_semi")
-        dates = sorted(set(dates) | {r[0] for r in moved.select(date_col).distinct().collect()})
-    scope = target if schema_changed else target.where(F.col(date_col).isin(dates))
-    merged = merge_partition_local(scope, batch, key, date_col, partition_local)
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/riskmesh-upsert-{uuid.uuid4().hex}"
-    _write(merged, stage, date_col, dynamic=False)
-    staged = spark.read.parquet(stage)
-    _write(staged, target_path, date_col, dynamic=not schema_changed)
-    if not schema_changed:
-        # dynamic overwrite only replaces partitions present in the output: a
-        # touched partition whose last row moved away must be removed explicitly
-        kept_dates = {r[0] for r in staged.select(date_col).distinct().collect()}
-        for day in set(dates) - kept_dates:
-            _delete(spark, f"{target_path.rstrip('/')}/{date_col}={day}")
+    # the batch (one load) is read twice: for the touched days and for the
+    # merge; keep it for the duration of the upsert (lost blocks recompute)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        target = spark.read.parquet(target_path)
+        schema_changed = set(target.columns) != set(batch.columns)
+        # touched dates: bounded by the number of calendar days in one batch
+        dates = [r[0] for r in batch.select(date_col).distinct().collect()]
+        if not dates and not schema_changed:
+            return UpsertResult(target_path, "noop", 0, 0)
+        if not partition_local and not schema_changed:
+            moved = target.join(batch.select(key).distinct(), key, "left_semi")
+            dates = sorted(set(dates) | {r[0] for r in moved.select(date_col).distinct().collect()})
+        scope = target if schema_changed else target.where(F.col(date_col).isin(dates))
+        merged = merge_partition_local(scope, batch, key, date_col, partition_local)
+        stage = f"{checkpoint_dir(spark).rstrip('/')}/riskmesh-upsert-{uuid.uuid4().hex}"
+        _write(merged, stage, date_col, dynamic=False)
+        staged = spark.read.parquet(stage)
+        _write(staged, target_path, date_col, dynamic=not schema_changed)
+        if not schema_changed:
+            # dynamic overwrite only replaces partitions present in the output: a
+            # touched partition whose last row moved away must be removed explicitly
+            kept_dates = {r[0] for r in staged.select(date_col).distinct().collect()}
+            for day in set(dates) - kept_dates:
+                _delete(spark, f"{target_path.rstrip('/')}/{date_col}={day}")
+    finally:
+        batch.unpersist()
     return UpsertResult(target_path, "incremental", -1, len(dates))
 
 
