@@ -24,10 +24,20 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.ngram_join import similar
+    return similar(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskmesh.llm.sharding import shard
     return shard(table(spark, sf_dir, "documents"), shards=8)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op7_mixing, op9_sharding)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.substring_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
