@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskmesh.llm.shared import ship
 
@@ -18,6 +19,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs, language_references(docs))
 
 
+def bucket(of: int) -> Column:
+    """crc32 of doc_id as text, modulo ``of`` (a null id counts as empty text)."""
+    return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % of
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.language_id import identify, learn_dictionaries
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, learn_dictionaries(docs.where(bucket(5) != 0)))
+    return found.select("doc_id", (bucket(5) == 0).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.html_text import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskmesh.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2.0) \
@@ -39,5 +57,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), window=35)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_language_id, op6_html_text, op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
