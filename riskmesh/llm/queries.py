@@ -24,6 +24,21 @@ def bucket(of: int) -> Column:
     return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % of
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.lm_scoring import score
+    return score(table(spark, sf_dir, "documents"), held_out=bucket(5) == 1)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.line_dedup import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.decontamination import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskmesh.llm.language_id import identify, learn_dictionaries
     docs = table(spark, sf_dir, "documents")
@@ -57,5 +72,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), window=35)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_language_id, op6_html_text, op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_line_dedup, op4_decontamination, op5_language_id, op6_html_text, op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}

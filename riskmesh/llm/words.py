@@ -58,9 +58,9 @@ class Texts:
     the rows, and the words: byte ``starts`` / ``ends``, ``row`` and ``first``
     (index of each row's first word, plus the total)."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE):
         self.raw, self.offsets, self.n = raw, offsets, len(offsets) - 1
-        space = SPACE[raw]
+        space = separators[raw]
         edge = np.zeros(len(raw) + 1, dtype=bool)
         edge[offsets] = True
         before = np.ones(len(raw), dtype=bool)
@@ -99,8 +99,8 @@ def grams(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return at, _spans(hashes, at, at + k)
 
 
-def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False,
-          slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, Texts]]:
+def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False, slice_bytes: int = SLICE_BYTES,
+          separators: np.ndarray = SPACE) -> Iterator[tuple[int, Texts]]:
     """(index of the first row, Texts) over a string column, whole rows, about
     ``slice_bytes`` at a time. Null rows count as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -116,7 +116,7 @@ def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False,
         end = int(np.searchsorted(offsets, offsets[begin] + slice_bytes, side="right")) - 1
         end = min(max(end, begin + 1), len(column))
         raw = data[offsets[begin]: offsets[end]]
-        yield begin, Texts(LOWER[raw] if lower else raw, offsets[begin: end + 1] - offsets[begin])
+        yield begin, Texts(LOWER[raw] if lower else raw, offsets[begin: end + 1] - offsets[begin], separators)
         begin = end
 
 
