@@ -232,15 +232,8 @@ def expected_recall(embedding: Embedding, n: int = 40, edits: int = 4, trials: i
     return found / trials
 
 
-def contaminated(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, min_words: int = 6, id_column: str = "doc_id", item_column: str = "item_id",
-                 block_items: int = 5000, embedding: Embedding | None = None) -> DataFrame:
-    """(``id_column``, ``item_column``, distance, item_words, first_word) for
-    every row of ``docs`` (``id_column``, text) and item of ``items``
-    (``item_column``, text) that it contains."""
-    embedding = embedding or Embedding()
-    id_type = docs.schema[id_column].dataType.simpleString()
-    item_type = items.schema[item_column].dataType.simpleString()
-    out = None
+def _blocks(items: DataFrame, item_column: str, min_words: int, block_items: int):
+    """(ids, word hashes, word lengths) of the items, ``block_items`` at a time."""
     rows = items.where("text is not null").select(item_column, "text").orderBy(item_column, "text").toLocalIterator()
     while block := list(islice(rows, block_items)):
         ids, words, lengths = [], [], []
@@ -252,24 +245,60 @@ def contaminated(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, min_
                     ids.append(block[begin + i][item_column])
                     words.append(hashes[own])
                     lengths.append((t.ends - t.starts)[own])
-        if not ids:
-            continue
+        if ids:
+            yield ids, words, lengths
+
+
+def _searcher(words, lengths, max_edits: float, embedding: Embedding, column: int):
+    """Function of a batch: (row of the batch, item, distance, first word) of its matches."""
+    index = Index(words, lengths, max_edits, embedding)
+
+    def search(batch: pa.RecordBatch) -> list[tuple[int, int, int, int]]:
+        return [(begin + r, i, d, at) for begin, t in texts(batch.column(column), lower=True, separators=SEPARATORS)
+                for r, i, d, at in index.search(t.hashes(), t.row, t.first)]
+    return search
+
+
+def contaminated(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, min_words: int = 6, id_column: str = "doc_id", item_column: str = "item_id",
+                 block_items: int = 5000, embedding: Embedding | None = None) -> DataFrame:
+    """(``id_column``, ``item_column``, distance, item_words, first_word) for
+    every row of ``docs`` (``id_column``, text) and item of ``items``
+    (``item_column``, text) that it contains."""
+    embedding = embedding or Embedding()
+    schema = (f"{id_column} {docs.schema[id_column].dataType.simpleString()}, {item_column} {items.schema[item_column].dataType.simpleString()}, "
+              "distance long, item_words long, first_word long")
+    out = None
+    for ids, words, lengths in _blocks(items, item_column, min_words, block_items):
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, words=words, lengths=lengths) -> Iterator[pa.RecordBatch]:
-            index = Index(words, lengths, max_edits, embedding)
+            search = _searcher(words, lengths, max_edits, embedding, 1)
             for batch in batches:
-                for begin, t in texts(batch.column(1), lower=True, separators=SEPARATORS):
-                    found = index.search(t.hashes(), t.row, t.first)
-                    if found:
-                        r, i, d, at = zip(*found)
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(pa.array([x + begin for x in r])), pa.array([ids[x] for x in i]),
-                             pa.array(d, pa.int64()), pa.array([len(words[x]) for x in i], pa.int64()), pa.array(at, pa.int64())],
-                            [id_column, item_column, "distance", "item_words", "first_word"])
-
-        part = docs.select(id_column, "text").mapInArrow(
-            run, f"{id_column} {id_type}, {item_column} {item_type}, distance long, item_words long, first_word long")
+                found = search(batch)
+                if found:
+                    r, i, d, at = zip(*found)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(r)), pa.array([ids[x] for x in i]), pa.array(d, pa.int64()),
+                         pa.array([len(words[x]) for x in i], pa.int64()), pa.array(at, pa.int64())],
+                        [id_column, item_column, "distance", "item_words", "first_word"])
+
+        part = docs.select(id_column, "text").mapInArrow(run, schema)
         out = part if out is None else out.unionAll(part)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], f"{id_column} {id_type}, {item_column} {item_type}, distance long, item_words long, first_word long")
-    return out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def clean(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, min_words: int = 6, item_column: str = "item_id",
+          block_items: int = 5000, embedding: Embedding | None = None) -> DataFrame:
+    """The rows of ``docs`` (any columns, with text) that contain no item."""
+    embedding = embedding or Embedding()
+    at = docs.columns.index("text")
+    for _, words, lengths in _blocks(items, item_column, min_words, block_items):
+
+        def run(batches: Iterator[pa.RecordBatch], words=words, lengths=lengths) -> Iterator[pa.RecordBatch]:
+            search = _searcher(words, lengths, max_edits, embedding, at)
+            for batch in batches:
+                stay = np.ones(batch.num_rows, dtype=bool)
+                stay[[r for r, *_ in search(batch)]] = False
+                yield batch.filter(pa.array(stay))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -66,13 +66,14 @@ def with_targets(sources: DataFrame, weights: list[float], share: float, most: f
     return table.withColumn("target", F.least(F.col("cap"), F.lit(rate) * F.col("weight")))
 
 
-def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
-        id_column: str = "doc_id") -> DataFrame:
-    """Per row of ``docs`` (``id_column``, source, text): size, source_size,
-    target and ``taken`` (0, 1 or 2 times size)."""
-    sized = docs.select(F.col(id_column), "source", word_count(F.col("text")).alias("size"),
-                        F.shiftrightunsigned(F.xxhash64(F.lit(7), id_column), 1).alias("hash"))
-    sized = written(sized, "sizes")
+def _hash(id_column: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit(7), id_column), 1)
+
+
+def thresholds(sized: DataFrame, weights: list[float], share: float, most: float) -> DataFrame:
+    """Per source of ``sized`` (source, size, hash; a written table): source_size,
+    target, ``whole`` (1: every document once) and ``prefix``, the bound below
+    which a document is taken (once more)."""
     sources = with_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     # the budget of the threshold: what exceeds taking everything once, or all of it
     whole = F.when(F.col("target") >= F.col("source_size"), 1).otherwise(0)
@@ -102,13 +103,37 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
             prefix = prefix + F.when(2 * left >= F.col("edge.tokens"), 1).otherwise(0)
         state = cut.select("source", "source_size", "target", "whole", left.alias("left"), prefix.alias("prefix"))
     state = written(state, "thresholds")
-    last = F.shiftright("hash", 63 - BITS * LEVELS)
-    marks = state.withColumnRenamed("source", "s").withColumnRenamed("source_size", "of_source")
-    marks = F.broadcast(marks) if _few(state) else marks
-    taken = F.col("whole") + F.when(last < F.col("prefix"), 1).otherwise(0)
-    return sized.join(marks, F.col("source").eqNullSafe(F.col("s"))) \
-        .select(id_column, "source", "size", F.col("of_source").alias("source_size"), "target",
-                (taken * F.col("size")).cast("long").alias("taken"))
+    return state.select("source", "source_size", "target", "whole", "prefix")
+
+
+def _copies(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``docs`` (source, _hash) with the marks of its source and ``_copies``."""
+    marks = marks.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
+                         F.col("target").alias("_target"), F.col("whole").alias("_whole"), F.col("prefix").alias("_prefix"))
+    marks = F.broadcast(marks) if _few(marks) else marks
+    below = F.when(F.shiftright("_hash", 63 - BITS * LEVELS) < F.col("_prefix"), 1).otherwise(0)
+    return docs.join(marks, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_copies", F.col("_whole") + below)
+
+
+def _sized(docs: DataFrame, id_column: str) -> DataFrame:
+    return written(docs.select(F.col(id_column), "source", word_count(F.col("text")).alias("size"), _hash(id_column).alias("hash")), "sizes")
+
+
+def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, id_column: str = "doc_id") -> DataFrame:
+    """Per row of ``docs`` (``id_column``, source, text): size, source_size,
+    target and ``taken`` (0, 1 or 2 times size)."""
+    sized = _sized(docs, id_column)
+    marked = _copies(sized.withColumnRenamed("hash", "_hash"), thresholds(sized, weights, share, most))
+    return marked.select(id_column, "source", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+                         (F.col("_copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def take(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, id_column: str = "doc_id") -> DataFrame:
+    """The mix itself: the rows of ``docs`` (all columns), each as often as it is taken."""
+    marks = thresholds(_sized(docs, id_column), weights, share, most)
+    marked = _copies(docs.withColumn("_hash", _hash(id_column)), marks)
+    return marked.where((F.col("_copies") > 0) & (word_count(F.col("text")) > 0)) \
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def _few(state: DataFrame, most: int = 200_000) -> bool:

@@ -193,25 +193,47 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
           "base_failed boolean, kept boolean, class_distance double, word_distance double")
 
 
-def quality(docs: DataFrame, references: list[Reference], id_column: str = "doc_id",
-            max_class: float = 0.28, max_word: float = 0.48, min_words: int = 50, min_chars: int = 200) -> DataFrame:
-    """Counts, distances and verdicts of every row of ``docs`` (``id_column``, text)."""
+@dataclass
+class Rules:
+    """Greatest distances from the nearest language that pass, and the guards
+    below which a text is too short for the method to judge."""
+    max_class: float = 0.28
+    max_word: float = 0.48
+    min_words: int = 50
+    min_chars: int = 200
+
+
+def verdicts(t: Texts, references: list[Reference], rules: Rules) -> dict[str, np.ndarray]:
+    hashes = t.hashes()
+    out = base_counts(t, hashes)
+    failed = (out["n_words"] < 50) | (100 * out["n_repeat_words"] > 50 * out["n_words"])
+    c, w = divergence(t, hashes, references) if references else (np.zeros(t.n), np.zeros(t.n))
+    judged = (out["n_words"] >= rules.min_words) & (t.count((t.raw & 0xC0) != 0x80) >= rules.min_chars)
+    out = {k: v.astype(np.int64) for k, v in out.items()}
+    return out | {"base_failed": failed, "kept": ~failed & ~(judged & ((c > rules.max_class) | (w > rules.max_word))),
+                  "class_distance": c, "word_distance": w}
+
+
+def quality(docs: DataFrame, references: list[Reference], rules: Rules = Rules(), id_column: str = "doc_id") -> DataFrame:
+    """Counts, verdict and distances of every row of ``docs`` (``id_column``, text)."""
     id_type = docs.schema[id_column].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, t in texts(batch.column(1)):
-                hashes = t.hashes()
-                base = base_counts(t, hashes)
-                failed = (base["n_words"] < 50) | (100 * base["n_repeat_words"] > 50 * base["n_words"])
-                c = w = np.zeros(t.n)
-                if references:
-                    c, w = divergence(t, hashes, references)
-                judged = (base["n_words"] >= min_words) & (t.count((t.raw & 0xC0) != 0x80) >= min_chars)
-                kept = ~failed & ~(judged & ((c > max_class) | (w > max_word)))
-                cols = [pa.array(x.astype(np.int64)) for x in base.values()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, t.n), *cols, pa.array(failed), pa.array(kept), pa.array(c), pa.array(w)],
-                    [id_column, *base, "base_failed", "kept", "class_distance", "word_distance"])
+                found = verdicts(t, references, rules)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, t.n), *map(pa.array, found.values())], [id_column, *found])
 
     return docs.select(id_column, "text").mapInArrow(judge, f"{id_column} {id_type}, {SCHEMA}")
+
+
+def keep(docs: DataFrame, references: list[Reference], rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` (any columns, with text) that pass."""
+    at = docs.columns.index("text")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, t in texts(batch.column(at)):
+                yield batch.slice(begin, t.n).filter(pa.array(verdicts(t, references, rules)["kept"]))
+
+    return docs.mapInArrow(judge, docs.schema)

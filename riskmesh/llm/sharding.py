@@ -2,11 +2,13 @@
 neighbours while shard sizes stay even (DataFrame operations only).
 
 Shards start exactly even (row counts differ by one at most). In each round a
-linked document whose neighbours mostly sit in another shard asks to move there
-(by coin, half of the documents a round, so that two neighbours don't just
-trade places). Moves are granted under quotas: for each pair of shards as many
+linked document whose neighbours mostly sit in another shard asks to move there.
+So that two neighbours don't just trade places, documents that come before all
+their neighbours stay put in the first rounds, and later a coin lets half of the
+documents ask. Moves are granted under quotas: for each pair of shards as many
 documents go one way as come back, counting documents without links as willing
-fillers, so every round keeps the counts exact. Rounds end when nobody asks.
+fillers, so every round keeps the counts exact. Rounds end when nobody asks or
+no request can be granted.
 
 Exact counts need ranks; a rank is a row number within one written partition
 plus the counts of the partitions before it, so no task holds a whole shard.
@@ -46,7 +48,7 @@ def _coin(round_: int, of: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(round_), "uid"), F.lit(of)).cast("int")
 
 
-def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 12) -> DataFrame:
+def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8, settled: int = 3) -> DataFrame:
     """``nodes`` (uid, part; a written table) with ``shard``, counts even to one.
     ``edges`` (u, v) are undirected. ``part`` numbers at most some ten thousand
     written partitions; (part, shard) counts are what is broadcast."""
@@ -56,9 +58,9 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 12)
     both = both.join(known.withColumnRenamed("uid", "v"), "v", "left_semi") \
         .join(known.withColumnRenamed("uid", "u"), "u", "left_semi")
     both = written(both.select("u", "v"), "links")
-    linked = both.select(F.col("u").alias("uid")).distinct().withColumn("linked", F.lit(True))
+    linked = both.groupBy(F.col("u").alias("uid")).agg(F.lit(True).alias("linked"), (F.min("v") > F.col("u")).alias("leads"))
     labels = _rank(nodes.join(linked, "uid", "left")).select(
-        "uid", "part", F.coalesce("linked", F.lit(False)).alias("linked"), F.pmod("rank", F.lit(shards)).cast("int").alias("shard"))
+        "uid", "part", F.coalesce("linked", F.lit(False)).alias("linked"), "leads", F.pmod("rank", F.lit(shards)).cast("int").alias("shard"))
     labels = written(labels, "labels")
     if shards < 2 or both.limit(1).count() == 0:
         return labels
@@ -67,15 +69,12 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 12)
         votes = both.join(at, "v").groupBy("u", "shard").count()
         best = votes.groupBy("u").agg(F.max(F.struct("count", (-F.col("shard")).alias("shard"))).alias("best"),
                                       F.collect_list(F.struct("shard", "count")).alias("all"))  # one entry a shard
-        asks = labels.where("linked").join(best.withColumnRenamed("u", "uid"), "uid") \
+        free = ~F.col("leads") if round_ < settled else _coin(round_, 2) == 0
+        asks = labels.where(F.col("linked") & free).join(best.withColumnRenamed("u", "uid"), "uid") \
             .withColumn("here", F.aggregate(F.filter("all", lambda x: x["shard"] == F.col("shard")), F.lit(0).cast("long"),
                                             lambda a, x: a + x["count"])) \
             .where(F.col("best.count") > F.col("here")) \
             .select("uid", "part", "shard", (-F.col("best.shard")).alias("to"), F.lit(1).alias("asks"))
-        open_ = asks.count()
-        if not open_:
-            break
-        asks = asks.where(_coin(round_, 2) == 0)
         fill = labels.where(~F.col("linked")).select(
             "uid", "part", "shard", F.pmod(F.col("shard") + 1 + _coin(round_ + 1000, shards - 1), F.lit(shards)).alias("to"), F.lit(0).alias("asks"))
         wishes = written(asks.union(fill), "wishes")
@@ -87,6 +86,10 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 12)
                 m = min(max(there, back), there + n.get((a, b, 0), 0), back + n.get((b, a, 0), 0))
                 for x, y, k in ((a, b, there), (b, a, back)):
                     quota += [(x, y, 1, min(m, k)), (x, y, 0, m - min(m, k))]
+        if not any(q for _, _, asked, q in quota if asked):
+            if round_ < settled:
+                continue
+            break
         spark = nodes.sparkSession
         limits = spark.createDataFrame(quota, "q_shard int, q_to int, q_asks int, q long").where("q > 0")
         wanted = wishes.join(F.broadcast(limits), (F.col("shard") == F.col("q_shard")) & (F.col("to") == F.col("q_to")) & (F.col("asks") == F.col("q_asks")))
@@ -103,7 +106,7 @@ def equal_text_edges(rows: DataFrame) -> DataFrame:
     return rows.join(groups, ["h1", "h2", "size"]).where("uid <> v").select(F.col("uid").alias("u"), "v")
 
 
-def shard(docs: DataFrame, shards: int = 8, rounds: int = 12, id_column: str = "doc_id",
+def shard(docs: DataFrame, shards: int = 8, rounds: int = 8, id_column: str = "doc_id",
           edges: DataFrame | None = None) -> DataFrame:
     """Places every row of ``docs`` (``id_column``, text) into a shard; the law
     is ``rows`` (counts at most one apart). Links are equal texts, plus
