@@ -34,6 +34,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskmesh.llm.words import mix, texts
 
@@ -265,23 +266,25 @@ def contaminated(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, min_
     every row of ``docs`` (``id_column``, text) and item of ``items``
     (``item_column``, text) that it contains."""
     embedding = embedding or Embedding()
-    schema = (f"{id_column} {docs.schema[id_column].dataType.simpleString()}, {item_column} {items.schema[item_column].dataType.simpleString()}, "
-              "distance long, item_words long, first_word long")
+    id_type, item_type = docs.schema[id_column].dataType.simpleString(), items.schema[item_column].dataType.simpleString()
+    schema = f"{id_column} {id_type}, {item_column} {item_type}, distance long, item_words long, first_word long"
     out = None
     for ids, words, lengths in _blocks(items, item_column, min_words, block_items):
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, words=words, lengths=lengths) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], words=words, lengths=lengths) -> Iterator[pa.RecordBatch]:
             search = _searcher(words, lengths, max_edits, embedding, 1)
             for batch in batches:
                 found = search(batch)
                 if found:
                     r, i, d, at = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(r)), pa.array([ids[x] for x in i]), pa.array(d, pa.int64()),
+                        [batch.column(0).take(pa.array(r)), pa.array(i, pa.int64()), pa.array(d, pa.int64()),
                          pa.array([len(words[x]) for x in i], pa.int64()), pa.array(at, pa.int64())],
-                        [id_column, item_column, "distance", "item_words", "first_word"])
+                        [id_column, "_item", "distance", "item_words", "first_word"])
 
-        part = docs.select(id_column, "text").mapInArrow(run, schema)
+        found = docs.select(id_column, "text").mapInArrow(run, f"{id_column} {id_type}, _item long, distance long, item_words long, first_word long")
+        names = docs.sparkSession.createDataFrame(list(enumerate(ids)), f"_item long, {item_column} {item_type}")  # block_items rows
+        part = found.join(F.broadcast(names), "_item").select(id_column, item_column, "distance", "item_words", "first_word")
         out = part if out is None else out.unionAll(part)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 

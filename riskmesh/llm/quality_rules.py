@@ -156,10 +156,9 @@ def base_counts(t: Texts, hashes: np.ndarray) -> dict[str, np.ndarray]:
     # lines: pieces between line feeds and row borders; a line counts if it has a word
     feeds = np.flatnonzero(t.raw == 10)
     begin = np.union1d(t.offsets[:-1], feeds + 1)
-    begin = begin[begin <= len(t.raw)]
-    cut = np.union1d(feeds, t.offsets[1:])
-    end = cut[np.searchsorted(cut, begin)] if len(cut) else begin
+    begin = begin[begin < len(t.raw)]
     row = np.searchsorted(t.offsets, begin, side="right") - 1
+    end = np.minimum(np.append(feeds, len(t.raw))[np.searchsorted(feeds, begin)], t.offsets[row + 1])
     letters = np.zeros(len(t.raw) + 1, dtype=np.int64)
     np.cumsum(~t.space, out=letters[1:])
     full = (letters[end] - letters[begin]) > 0
