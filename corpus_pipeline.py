@@ -31,7 +31,8 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stay = written(groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")), "stay")
     once = stay.where("_id is not null").groupBy("_id").count()
     repeated = once.where("count > 1").limit(1).count() > 0
-    kept = docs.join(bounded_broadcast(stay.distinct(), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    names = stay.distinct()
+    kept = docs.join(bounded_broadcast(names, BROADCAST_ROWS), docs["doc_id"].eqNullSafe(names["_id"]), "left_semi")
     if repeated:  # rows that share an id are one document here
         kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionAll(kept.where("doc_id is null"))
     return kept

@@ -37,9 +37,8 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
     them all. (Spark compares strings by UTF-8 bytes, which is code-point order.)"""
     dealt = written(sources.repartitionByRange(F.col("source").asc_nulls_last())
                     .withColumn("part", F.spark_partition_id()), "sources")
-    counts = dealt.groupBy("part").count()
-    before = counts.alias("x").join(counts.alias("y"), F.col("y.part") < F.col("x.part"), "left") \
-        .groupBy(F.col("x.part").alias("part")).agg(F.coalesce(F.sum("y.count"), F.lit(0)).alias("before"))
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a partition
+    before = dealt.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("before"))
     own = Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())
     return dealt.withColumn("own", F.row_number().over(own)).join(before, "part") \
         .select("source", "source_size", (F.col("own") - 1 + F.col("before")).alias("rank"))
@@ -107,12 +106,12 @@ def thresholds(sized: DataFrame, weights: list[float], share: float, most: float
 
 
 def _copies(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """``docs`` (source, _hash) with the marks of its source and ``_copies``."""
-    marks = marks.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
-                         F.col("target").alias("_target"), F.col("whole").alias("_whole"), F.col("prefix").alias("_prefix"))
+    """``docs`` (source, hash) with the marks of its source and how often it is taken."""
+    marks = marks.select(F.col("source").alias("__mix_source"), F.col("source_size").alias("__mix_source_size"),
+                         F.col("target").alias("__mix_target"), F.col("whole").alias("__mix_whole"), F.col("prefix").alias("__mix_prefix"))
     marks = F.broadcast(marks) if _few(marks) else marks
-    below = F.when(F.shiftright("_hash", 63 - BITS * LEVELS) < F.col("_prefix"), 1).otherwise(0)
-    return docs.join(marks, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_copies", F.col("_whole") + below)
+    below = F.when(F.shiftright("__mix_hash", 63 - BITS * LEVELS) < F.col("__mix_prefix"), 1).otherwise(0)
+    return docs.join(marks, F.col("source").eqNullSafe(F.col("__mix_source"))).withColumn("__mix_copies", F.col("__mix_whole") + below)
 
 
 def _sized(docs: DataFrame, id_column: str) -> DataFrame:
@@ -123,17 +122,17 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
     """Per row of ``docs`` (``id_column``, source, text): size, source_size,
     target and ``taken`` (0, 1 or 2 times size)."""
     sized = _sized(docs, id_column)
-    marked = _copies(sized.withColumnRenamed("hash", "_hash"), thresholds(sized, weights, share, most))
-    return marked.select(id_column, "source", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-                         (F.col("_copies") * F.col("size")).cast("long").alias("taken"))
+    marked = _copies(sized.withColumnRenamed("hash", "__mix_hash"), thresholds(sized, weights, share, most))
+    return marked.select(id_column, "source", "size", F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"),
+                         (F.col("__mix_copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def take(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, id_column: str = "doc_id") -> DataFrame:
     """The mix itself: the rows of ``docs`` (all columns), each as often as it is taken."""
     marks = thresholds(_sized(docs, id_column), weights, share, most)
-    marked = _copies(docs.withColumn("_hash", _hash(id_column)), marks)
-    return marked.where((F.col("_copies") > 0) & (word_count(F.col("text")) > 0)) \
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    marked = _copies(docs.withColumn("__mix_hash", _hash(id_column)), marks)
+    return marked.where((F.col("__mix_copies") > 0) & (word_count(F.col("text")) > 0)) \
+        .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))).select(*docs.columns)
 
 
 def _few(state: DataFrame, most: int = 200_000) -> bool:

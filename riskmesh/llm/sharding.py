@@ -39,7 +39,7 @@ def _rank(df: DataFrame, *keys: str) -> DataFrame:
     for k in keys:
         on = on & (F.col(k) == F.col(f"_{k}"))
     own = F.row_number().over(Window.partitionBy(*keys, "part").orderBy("uid"))
-    return df.withColumn("_own", own).join(F.broadcast(counts), on) \
+    return df.withColumn("_own", own).join(counts, on) \
         .withColumn("rank", F.col("_own") - 1 + F.col("_before")) \
         .drop("_own", "_before", "_part", *[f"_{k}" for k in keys])
 
@@ -50,8 +50,7 @@ def _coin(round_: int, of: int) -> Column:
 
 def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8, settled: int = 3) -> DataFrame:
     """``nodes`` (uid, part; a written table) with ``shard``, counts even to one.
-    ``edges`` (u, v) are undirected. ``part`` numbers at most some ten thousand
-    written partitions; (part, shard) counts are what is broadcast."""
+    ``edges`` (u, v) are undirected; ``part`` numbers the written partitions."""
     known = nodes.select("uid")
     both = edges.select("u", "v").where("u <> v")
     both = both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
