@@ -39,23 +39,9 @@ from riskmesh.specs import ACCEPTED_COUNTRIES, FEEDS
 AFFILIATE_INGEST_DATE = "2024-02-01"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """Scan one benchmark table. A scan with fewer splits than the cluster has
-    cores (a small file with a single row group) is spread so the per-row
-    derivation below runs on every core (hashed by ``key`` when the table is
-    about to be joined on it, so the join reuses that partitioning); a large
-    table (many files / row groups) is left as scanned, without a shuffle."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in ("nation", "region"):
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, key) if key else df.repartition(cores)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One benchmark table, as it is scanned."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -86,7 +72,7 @@ def _bronze(df: DataFrame, feed: str) -> DataFrame:
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner")  # 25-row dimension
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     key = F.col("c_custkey")
     name = F.upper(F.col("c_name"))
     email = (F.when(key % 97 == 0, F.concat(F.lit("  "), name, F.lit(" ")))
@@ -159,9 +145,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def affiliate_cpa_ftd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", key="l_orderkey").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    o = table(spark, sf_dir, "orders", key="o_orderkey").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     okey, pkey, skey, line = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
                               F.col("l_linenumber"))

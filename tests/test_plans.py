@@ -55,3 +55,10 @@ def test_bronze_scan_prunes_partitions_and_columns(spark, workdir):
     assert "2026-01-21" in p                          # watermark - 1 day on the partition column
     counts = plan(b.groupBy("dt").count())
     assert "ReadSchema: struct<>" in counts           # no data column read for a count per day
+
+
+def test_catalog_plans_do_not_depend_on_table_size(spark):
+    from riskmesh.plans.catalog import QUERIES
+    for name in ("slv_sessions", "slv_affiliate_cpa_ftd", "gold_fraud_overview", "bronze_partition_date"):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert "REPARTITION_BY_NUM" not in plan(df)
