@@ -45,9 +45,18 @@ def _since_filter(event: Column, dt: Column, since: Since, kind: str) -> Column:
     an instant in UTC: they differ by at most one day, so ``dt >= date(since)
     - 1`` never drops a qualifying row and lets the scan skip old partitions.
     """
-    lit = F.lit(str(since)).cast(kind)
-    coarse = dt >= F.date_sub(F.lit(str(since)).cast("timestamp").cast("date"), 1)
-    return (event >= lit) & coarse
+    at = instant(since)
+    lit = at if kind == "timestamp" else at.cast(kind)
+    return (event >= lit) & (dt >= F.date_sub(at.cast("date"), 1))
+
+
+def instant(since: Since) -> Column:
+    """A literal instant. A datetime with a zone is taken by its microseconds;
+    without one, and as text or date, it is wall-clock time of the session (UTC)."""
+    if isinstance(since, _dt.datetime) and since.tzinfo is not None:
+        delta = since - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+        return F.timestamp_micros(F.lit((delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds).cast("long"))
+    return F.lit(str(since)).cast("timestamp")
 
 
 def required(*names: str) -> Column:

@@ -10,19 +10,30 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmesh.session import checkpoint_dir
 from riskmesh.specs import WATERMARK_FLOOR, SilverSpec
 
 
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+
+
 def watermark_of(target: DataFrame, event_column: str, recent_from=None,
                  date_column: str | None = None):
     """``COALESCE(MAX(event), floor)`` of the target: one scalar (a single
     global aggregate row), used as a literal so it prunes the next scan.
-    With ``recent_from`` (a day) only partitions from that day on are read."""
+    With ``recent_from`` (a day) only partitions from that day on are read.
+
+    An instant leaves Spark as microseconds and comes back as a UTC datetime:
+    a collected timestamp would be shifted by the driver's own time zone."""
     if recent_from is not None and date_column:
         target = target.where(F.col(date_column) >= F.lit(str(recent_from)).cast("date"))
-    value = target.agg(F.max(event_column).alias("m")).first()["m"]
+    newest = F.max(event_column)
+    if isinstance(target.schema[event_column].dataType, T.TimestampType):
+        micros = target.agg(F.unix_micros(newest).alias("m")).first()["m"]
+        return WATERMARK_FLOOR if micros is None else _EPOCH + _dt.timedelta(microseconds=micros)
+    value = target.agg(newest.alias("m")).first()["m"]
     return value if value is not None else WATERMARK_FLOOR
 
 

@@ -3,7 +3,9 @@
 import datetime as dt
 import json
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskmesh.operators import silver
@@ -166,7 +168,7 @@ def test_watermark_reads_only_the_newest_partitions(spark, workdir):
     build(spark, path, [("t1", "p", "bet", "1", "2026-01-20 10:00:00"),
                         ("t2", "p", "bet", "1", "2026-01-25 23:30:00")])
     assert latest_partition(spark, path, "transaction_date") == dt.date(2026, 1, 25)
-    assert str(target_watermark(spark, path, SPEC)) == "2026-01-25 23:30:00"
+    assert target_watermark(spark, path, SPEC) == dt.datetime(2026, 1, 25, 23, 30, tzinfo=dt.timezone.utc)
 
 
 def test_pipeline_skips_feeds_never_landed(spark, workdir):
@@ -180,3 +182,21 @@ def test_pipeline_skips_feeds_never_landed(spark, workdir):
     assert rep.models["gold_financial_signals"] == "full"
     assert rep.models["slv_players"].startswith("skipped")
     assert rep.models["gold_fraud_overview"].startswith("skipped")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Sao_Paulo"])
+def test_second_load_does_not_depend_on_the_drivers_time_zone(spark, workdir, monkeypatch, zone):
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        path = os.path.join(workdir, "slv_transactions")
+        first = [("t1", "p", "bet", "1", "2026-01-20 10:00:00")]
+        build(spark, path, first)
+        second = first + [("t0", "p", "bet", "3", "2026-01-20 09:59:59"), ("t2", "p", "bet", "2", "2026-01-20 12:00:00")]
+        build(spark, path, second)
+        assert [r[0] for r in table(spark, path)] == ["t1", "t2"]
+        build(spark, path, second, lookback=dt.timedelta(hours=1))
+        assert [r[0] for r in table(spark, path)] == ["t0", "t1", "t2"]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
