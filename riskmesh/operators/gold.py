@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmesh.functions import count_ratio, flag_count, guarded_ratio, scaled
+from riskmesh.operators.salting import salted_join
 from riskmesh.specs import THRESHOLDS, SignalThresholds
 
 
@@ -93,10 +94,9 @@ def affiliate_risk(aff: DataFrame) -> DataFrame:
 def player_ip_pairs(sessions: DataFrame) -> DataFrame:
     """(player, ip) groups with their session count and last session.
 
-    This pre-aggregation is the only pass over the raw sessions: session
-    counts, distinct IPs, and the shared-IP risk are all derived from it, and
-    a proxy IP carrying a third of all sessions is reduced map-side to one row
-    per (player, ip) before anything is shuffled by IP.
+    Session counts, distinct IPs and the shared-IP risk are all derived from
+    this pre-aggregate; a proxy IP carrying a third of all sessions is reduced
+    map-side to one row per (player, ip) before anything is shuffled by IP.
     """
     return sessions.groupBy("player_id", "ip").agg(
         F.count(F.lit(1)).alias("sessions"),
@@ -115,14 +115,14 @@ def session_behaviour(sessions: DataFrame) -> DataFrame:
     max_players_on_same_ip, all from the one (player, ip) pre-aggregate.
 
     Distinct players per IP are counted on the pre-aggregate (one row per
-    (player, ip)), then joined back on ``ip``. A hot IP makes one join
-    partition large on the pairs side; AQE's skew join splits it (the per-IP
-    side is one row per IP). NULL IPs keep their sessions but never match.
+    (player, ip)), then joined back on ``ip`` with a salt of the player, so a
+    hot IP is spread over several tasks. NULL IPs keep their sessions, never
+    match, and are spread by player.
     """
     pairs = player_ip_pairs(sessions)
     per_ip = (pairs.where(F.col("ip").isNotNull()).groupBy("ip")
               .agg(F.count(F.lit(1)).alias("player_count")))
-    return (pairs.join(per_ip, "ip", "left").groupBy("player_id").agg(
+    return (salted_join(pairs, per_ip, "ip", "left", ["player_id"]).groupBy("player_id").agg(
         F.sum("sessions").alias("session_count"),
         F.count("ip").alias("distinct_ip_count"),            # NULL ip is not an IP
         F.max("last_session_at").alias("last_session_at"),

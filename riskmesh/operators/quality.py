@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmesh.functions import flag_count
+from riskmesh.operators.salting import salted_join
 
 
 # -------------------------------------------------------------- generic checks
@@ -37,10 +38,11 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
 def relationships(child: DataFrame, column: str, parent: DataFrame,
                   parent_column: str | None = None) -> DataFrame:
     """Child rows whose (non-null) key is missing from the parent: a left anti
-    join, shuffled on the key (the parent side is reduced to distinct keys)."""
+    join with the parent's distinct keys, salted so that a child key with a
+    third of all rows is spread over several tasks."""
     pcol = parent_column or column
     keys = parent.select(F.col(pcol).alias(column)).where(F.col(column).isNotNull()).distinct()
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    return salted_join(child.where(F.col(column).isNotNull()), keys, column, "left_anti", child.columns)
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,46 +52,45 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 # ----------------------------------------------------------- singular checks
-def affiliate_flags_mismatch(aff: DataFrame) -> DataFrame:
-    """Stored funnel flags that disagree with the metrics (NULL is not reported)."""
-    return aff.where(
-        (F.col("has_registration_over_click_anomaly") != (F.col("registrations") > F.col("clicks")))
-        | (F.col("has_ftd_over_registration_anomaly") != (F.col("ftd") > F.col("registrations"))))
-
+SIGNAL_FLAGS = ("has_shared_ip_signal", "has_many_devices_signal", "has_high_withdraw_signal",
+                "has_high_bet_velocity_signal", "has_affiliate_funnel_anomaly")
+FINANCIAL_METRICS = ("transaction_count", "deposit_count", "withdraw_count", "bet_count",
+                     "total_deposit_amount", "total_withdraw_amount", "total_bet_amount",
+                     "withdraw_to_deposit_ratio", "bet_to_deposit_ratio")
 
-def affiliate_negative_metrics(aff: DataFrame) -> DataFrame:
-    return aff.where((F.col("clicks") < 0) | (F.col("registrations") < 0)
-                     | (F.col("ftd") < 0) | (F.col("cpa_value") < 0))
+# The failing rows of each singular check (NULL never fails): the declared suites and the
+# functions below share these.
+FAILING = {
+    "assert_affiliate_flags_match_metrics":
+        "has_registration_over_click_anomaly != (registrations > clicks) OR has_ftd_over_registration_anomaly != (ftd > registrations)",
+    "assert_affiliate_funnel_metrics_not_negative": "clicks < 0 OR registrations < 0 OR ftd < 0 OR cpa_value < 0",
+    "assert_fraud_signal_count_consistency":
+        f"fraud_signal_count NOT BETWEEN 0 AND {len(SIGNAL_FLAGS)} OR fraud_signal_count != ("
+        + " + ".join(f"CAST({f} AS BIGINT)" for f in SIGNAL_FLAGS) + ")",
+    "assert_gold_financial_metrics_non_negative": " OR ".join(f"{m} < 0" for m in FINANCIAL_METRICS),
+    "assert_non_negative_amounts": "amount < 0",
+}
 
 
-SIGNAL_FLAGS = ("has_shared_ip_signal", "has_many_devices_signal", "has_high_withdraw_signal",
-                "has_high_bet_velocity_signal", "has_affiliate_funnel_anomaly")
+def affiliate_flags_mismatch(aff: DataFrame) -> DataFrame:
+    """Stored funnel flags that disagree with the metrics."""
+    return aff.where(FAILING["assert_affiliate_flags_match_metrics"])
 
 
-def signal_count_inconsistent(overview: DataFrame) -> DataFrame:
-    n = F.col("fraud_signal_count")
-    recomputed = None
-    for flag in SIGNAL_FLAGS:
-        term = F.col(flag).cast("bigint")
-        recomputed = term if recomputed is None else recomputed + term
-    return overview.where(~n.between(0, len(SIGNAL_FLAGS)) | (n != recomputed))
+def affiliate_negative_metrics(aff: DataFrame) -> DataFrame:
+    return aff.where(FAILING["assert_affiliate_funnel_metrics_not_negative"])
 
 
-FINANCIAL_METRICS = ("transaction_count", "deposit_count", "withdraw_count", "bet_count",
-                     "total_deposit_amount", "total_withdraw_amount", "total_bet_amount",
-                     "withdraw_to_deposit_ratio", "bet_to_deposit_ratio")
+def signal_count_inconsistent(overview: DataFrame) -> DataFrame:
+    return overview.where(FAILING["assert_fraud_signal_count_consistency"])
 
 
 def financial_negative_metrics(fin: DataFrame) -> DataFrame:
-    cond = None
-    for m in FINANCIAL_METRICS:
-        c = F.col(m) < 0
-        cond = c if cond is None else cond | c
-    return fin.where(cond)
+    return fin.where(FAILING["assert_gold_financial_metrics_non_negative"])
 
 
 def negative_amounts(tx: DataFrame) -> DataFrame:
-    return tx.where(F.col("amount") < 0)
+    return tx.where(FAILING["assert_non_negative_amounts"])
 
 
 def cast_failures(bronze: DataFrame, feed: str) -> DataFrame:
@@ -256,15 +257,15 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def gate(summary_df: DataFrame) -> list[tuple[str, str, int]]:
-    """Raise when any check fails. The summary has one row per check, so
-    collecting it is bounded by the number of checks, not by the data."""
-    rows = [(r.check_name, r.table_name, int(r.failing_rows))
-            for r in summary_df.where(F.col("failing_rows") > 0).collect()]
-    if rows:
-        detail = ", ".join(f"{n} on {t}: {k}" for n, t, k in rows)
+def gate(summary: DataFrame | Sequence[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
+    """Raise when any check fails. Takes a summary or its collected rows: one
+    row per check, bounded by the number of checks, not by the data."""
+    rows = summary.collect() if isinstance(summary, DataFrame) else summary
+    failed = [(name, table, int(n)) for name, table, n in rows if n > 0]
+    if failed:
+        detail = ", ".join(f"{n} on {t}: {k}" for n, t, k in failed)
         raise QualityGateError(f"data-quality checks failed: {detail}")
-    return rows
+    return failed
 
 
 # ------------------------------------------------- declared suites per layer
@@ -286,6 +287,10 @@ def bronze_checks() -> list[Check]:
     ]
 
 
+def _singular(name: str, table: str) -> Check:
+    return Check(name, table, "row_filter", predicate=FAILING[name])
+
+
 def silver_checks() -> list[Check]:
     from riskmesh.specs import ACCEPTED_COUNTRIES, ACCEPTED_TRANSACTION_TYPES
     return [
@@ -310,8 +315,7 @@ def silver_checks() -> list[Check]:
         Check("not_null_slv_transactions_amount", "slv_transactions", "not_null", "amount"),
         Check("not_null_slv_transactions_transaction_date", "slv_transactions", "not_null",
               "transaction_date"),
-        Check("assert_non_negative_amounts", "slv_transactions", "row_filter",
-              predicate="amount < 0"),
+        _singular("assert_non_negative_amounts", "slv_transactions"),
         Check("not_null_slv_affiliate_key", "slv_affiliate_cpa_ftd", "not_null",
               "affiliate_player_country_key"),
         Check("unique_slv_affiliate_key", "slv_affiliate_cpa_ftd", "unique",
@@ -322,22 +326,16 @@ def silver_checks() -> list[Check]:
         Check("not_null_slv_affiliate_country", "slv_affiliate_cpa_ftd", "not_null", "country"),
         Check("accepted_values_slv_affiliate_country", "slv_affiliate_cpa_ftd", "accepted_values",
               "country", values=ACCEPTED_COUNTRIES),
-        Check("assert_affiliate_flags_match_metrics", "slv_affiliate_cpa_ftd", "row_filter",
-              predicate="has_registration_over_click_anomaly != (registrations > clicks)"
-                        " OR has_ftd_over_registration_anomaly != (ftd > registrations)"),
-        Check("assert_affiliate_funnel_metrics_not_negative", "slv_affiliate_cpa_ftd", "row_filter",
-              predicate="clicks < 0 OR registrations < 0 OR ftd < 0 OR cpa_value < 0"),
+        _singular("assert_affiliate_flags_match_metrics", "slv_affiliate_cpa_ftd"),
+        _singular("assert_affiliate_funnel_metrics_not_negative", "slv_affiliate_cpa_ftd"),
     ]
 
 
 def gold_checks() -> list[Check]:
-    neg = " OR ".join(f"{m} < 0" for m in FINANCIAL_METRICS)
-    flags = " + ".join(f"CAST({f} AS BIGINT)" for f in SIGNAL_FLAGS)
     return [
         Check("not_null_gold_financial_player_id", "gold_financial_signals", "not_null", "player_id"),
         Check("unique_gold_financial_player_id", "gold_financial_signals", "unique", "player_id"),
-        Check("assert_gold_financial_metrics_non_negative", "gold_financial_signals", "row_filter",
-              predicate=neg),
+        _singular("assert_gold_financial_metrics_non_negative", "gold_financial_signals"),
         Check("unique_combination_gold_affiliate", "gold_affiliate_metrics", "unique_combination",
               columns=("affiliate_id", "country")),
         Check("not_null_gold_affiliate_affiliate_id", "gold_affiliate_metrics", "not_null",
@@ -347,8 +345,7 @@ def gold_checks() -> list[Check]:
         Check("unique_gold_overview_player_id", "gold_fraud_overview", "unique", "player_id"),
         Check("not_null_gold_overview_fraud_signal_count", "gold_fraud_overview", "not_null",
               "fraud_signal_count"),
-        Check("assert_fraud_signal_count_consistency", "gold_fraud_overview", "row_filter",
-              predicate=f"fraud_signal_count NOT BETWEEN 0 AND 5 OR fraud_signal_count != ({flags})"),
+        _singular("assert_fraud_signal_count_consistency", "gold_fraud_overview"),
     ]
 
 

@@ -345,6 +345,7 @@ def _(L):
 
 @query("layer_row_counts")
 def _(L):
+    L = L.written()
     rel = {("bronze", f): L.source(f) for f in FEEDS}
     rel.update({("silver", m): L.ref(m) for m in
                 ("slv_players", "slv_sessions", "slv_transactions", "slv_affiliate_cpa_ftd")})
@@ -423,19 +424,15 @@ query("signal_many_devices")(_signal("has_many_devices_signal", "distinct_device
 # ------------------------------------------------------------ DQ
 @query("dq_not_null")
 def _(L):
-    """Bronze rows with a NULL key column, per feed and column."""
-    parts = []
+    """Bronze rows with a NULL key column, per feed and column: one aggregate per feed."""
+    out = None
     for feed, cols in {"sessions": ("session_id", "player_id"),
                        "transactions": ("transaction_id", "player_id", "amount"),
                        "affiliate_cpa_ftd": ("affiliate_id", "clicks")}.items():
-        for c in cols:
-            parts.append(quality.not_null(L.source(feed), c)
-                         .agg(F.count(F.lit(1)).alias("failing_rows"))
-                         .select(F.lit(feed).alias("table_name"), F.lit(c).alias("column_name"),
-                                 "failing_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        counts = L.source(feed).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        part = counts.unpivot([], list(cols), "column_name", "failing_rows") \
+            .select(F.lit(feed).alias("table_name"), "column_name", "failing_rows")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -466,9 +463,27 @@ def _(L):
                                       ("affiliate_id", "player_id", "country"))
 
 
+def planted_affiliate(L: Layers) -> DataFrame:
+    """slv_affiliate_cpa_ftd with stale flags: the first is wrong where clicks
+    are divisible by 7, the second where ftd is divisible by 5, and NULL
+    registrations (nothing to compare with) where clicks are divisible by 11."""
+    reg = F.when(F.col("clicks") % 11 != 0, F.col("registrations"))
+    return L.ref("slv_affiliate_cpa_ftd").select(
+        "affiliate_player_country_key", "country", "clicks", reg.alias("registrations"), "ftd",
+        (F.col("has_registration_over_click_anomaly") != (F.col("clicks") % 7 == 0)).alias("has_registration_over_click_anomaly"),
+        (F.col("has_ftd_over_registration_anomaly") != (F.col("ftd") % 5 == 0)).alias("has_ftd_over_registration_anomaly"))
+
+
 @query("dq_affiliate_flags")
 def _(L):
-    return quality.affiliate_flags_mismatch(L.ref("slv_affiliate_cpa_ftd"))
+    """Rows of the planted affiliate table whose stored flags disagree with the metrics."""
+    return quality.affiliate_flags_mismatch(planted_affiliate(L))
+
+
+@query("dq_where_scope")
+def _(L):
+    """NULL registrations of the planted affiliate table, judged among Brazilian rows only."""
+    return quality.not_null(planted_affiliate(L), "registrations", where="country = 'BR'").select("affiliate_player_country_key", "clicks")
 
 
 @query("dq_affiliate_non_negative")
@@ -479,12 +494,25 @@ def _(L):
 
 @query("dq_signal_count")
 def _(L):
-    return quality.signal_count_inconsistent(L.ref("gold_fraud_overview"))
+    """Rows whose stored count is wrong, over an overview with planted counts:
+    one too many (player id divisible by 3), 6 (by 5), -1 (by 7)."""
+    player = F.col("player_id").cast("bigint")
+    n = F.col("fraud_signal_count")
+    planted = (F.when(player % 3 == 0, n + 1).when(player % 5 == 0, 6).when(player % 7 == 0, -1).otherwise(n)).cast("bigint")
+    return quality.signal_count_inconsistent(L.ref("gold_fraud_overview").withColumn("fraud_signal_count", planted)) \
+        .select("player_id", "fraud_signal_count")
 
 
 @query("dq_financial_non_negative")
 def _(L):
-    return quality.financial_negative_metrics(L.ref("gold_financial_signals"))
+    """Financial rows with a negative metric, after withdrawals (player id
+    divisible by 4), a ratio (by 9) and a count (by 10) turned negative."""
+    player = F.col("player_id").cast("bigint")
+    planted = L.ref("gold_financial_signals") \
+        .withColumn("total_withdraw_amount", F.when(player % 4 == 0, -F.col("total_withdraw_amount")).otherwise(F.col("total_withdraw_amount"))) \
+        .withColumn("bet_to_deposit_ratio", F.when(player % 9 == 0, -F.col("bet_to_deposit_ratio")).otherwise(F.col("bet_to_deposit_ratio"))) \
+        .withColumn("bet_count", F.when(player % 10 == 0, -F.col("bet_count")).otherwise(F.col("bet_count")))
+    return quality.financial_negative_metrics(planted).select("player_id", "total_withdraw_amount", "bet_count")
 
 
 @query("dq_amount_non_negative")
@@ -497,7 +525,7 @@ def _(L):
 @query("dq_summary")
 def _(L):
     checks = quality.bronze_checks() + quality.silver_checks() + quality.gold_checks()
-    return quality.summary(checks, L.relation)
+    return quality.summary(checks, L.written().relation)
 
 
 @query("dq_freshness")
@@ -513,6 +541,7 @@ def _(L):
 # ------------------------------------------------------------ RPT
 @query("signal_validation_counts")
 def _(L):
+    L = L.written()
     return reports.signal_validation_counts(L.ref("slv_players"), L.ref("slv_transactions"),
                                             L.ref("slv_affiliate_cpa_ftd"),
                                             L.ref("gold_fraud_overview"))

@@ -58,6 +58,9 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     return df.select(*[df[f"`{f.name}`"].alias(f.name, metadata=f.metadata) for f in fields])
 
 
+ROWS_PER_FILE = 5_000_000   # of bronze files; the single-feed job's default is the feed contract's
+
+
 @dataclass
 class RunReport:
     loads: dict[str, LoadReport] = field(default_factory=dict)
@@ -69,9 +72,12 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
         as_of: _dt.date | str | None = None, full_refresh: bool = False,
         thresholds: SignalThresholds = THRESHOLDS, ingest_date: _dt.date | None = None,
         partition_local: bool = True, gate: bool = True,
-        freshness_max_age_days: int | None = None) -> RunReport:
+        freshness_max_age_days: int | None = None, formats: dict[str, str] | None = None,
+        splittable: bool = False, rows_per_file: int = ROWS_PER_FILE) -> RunReport:
     """One pipeline run over the warehouse folder ``root``
-    (``bronze/``, ``silver/``, ``gold/``). ``freshness_max_age_days`` turns on
+    (``bronze/``, ``silver/``, ``gold/``). ``formats`` overrides a feed's landing
+    format, ``splittable`` says that no CSV field holds a newline (many tasks a
+    file), ``rows_per_file`` bounds bronze files. ``freshness_max_age_days`` turns on
     the source-freshness check of the incremental silver tables (off by
     default: no threshold is declared); a stale table fails the gate."""
     configure(spark)
@@ -79,7 +85,8 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
     as_of_s = str(as_of) if as_of else _dt.datetime.now(_dt.timezone.utc).date().isoformat()
     for feed, path in (landing or {}).items():
         rep.loads[feed] = ingest(spark, feed, path, os.path.join(root, "bronze", feed),
-                                 ingest_date=ingest_date)
+                                 source_format=(formats or {}).get(feed), rows_per_file=rows_per_file,
+                                 ingest_date=ingest_date, multi_line=not splittable)
     layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
 
     def available(layer: str, names) -> set[str]:
@@ -89,15 +96,15 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
         usable = [c for c in checks if c.table in present and (c.parent is None or c.parent in present)]
         if not usable:
             return
-        s = quality.summary(usable, rel)
-        rep.checks[suite] = [tuple(r) for r in s.collect()]
+        rep.checks[suite] = [tuple(r) for r in quality.summary(usable, rel).collect()]
         if gate:
-            quality.gate(s)
+            quality.gate(rep.checks[suite])
 
     # a feed never landed has no bronze yet: its models (and the marts that
     # need them) are skipped and reported as such instead of failing the run
     feeds = available("bronze", ("players", "sessions", "transactions", "affiliate_cpa_ftd"))
-    check("bronze", quality.bronze_checks(), layers.source, feeds)
+    # the checks cover every partition, future-dated ones too
+    check("bronze", quality.bronze_checks(), Layers.from_warehouse(spark, root).source, feeds)
 
     for name, (feed, model) in INCREMENTAL_MODELS.items():
         if feed not in feeds:
@@ -133,7 +140,7 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
                              "table_name", "failing_rows")
         rep.checks["freshness"] = [tuple(r) for r in fresh.collect()]
         if gate:
-            quality.gate(fresh)
+            quality.gate(rep.checks["freshness"])
 
     def write_gold(name: str, df: DataFrame) -> None:
         with_comments(df, GOLD_COMMENTS.get(name, {})).write.mode("overwrite") \
@@ -176,7 +183,7 @@ def seed_bronze_from_benchmark(spark: SparkSession, sf_dir: str, root: str) -> d
     configure(spark)
     return {feed: write_bronze(testdata.bronze_feed(spark, sf_dir, feed),
                                os.path.join(root, "bronze", feed), feed,
-                               rows_per_file=1_000_000)
+                               rows_per_file=ROWS_PER_FILE)
             for feed in ("players", "sessions", "transactions", "affiliate_cpa_ftd")}
 
 
@@ -189,6 +196,9 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="run the risk-signal pipeline")
     ap.add_argument("root")
     ap.add_argument("--landing", nargs="*", default=[], help="feed=path")
+    ap.add_argument("--format", nargs="*", default=[], help="feed=format")
+    ap.add_argument("--splittable", action="store_true", help="no CSV field holds a newline")
+    ap.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
     ap.add_argument("--from-benchmark")
     ap.add_argument("--as-of")
     ap.add_argument("--full-refresh", action="store_true")
@@ -200,7 +210,8 @@ def main(argv: list[str] | None = None) -> None:
         seed_bronze_from_benchmark(spark, a.from_benchmark, a.root)
     landing = dict(x.split("=", 1) for x in a.landing)
     rep = run(spark, a.root, landing or None, as_of=a.as_of, full_refresh=a.full_refresh,
-              gate=not a.no_gate, freshness_max_age_days=a.freshness_max_age_days)
+              gate=not a.no_gate, freshness_max_age_days=a.freshness_max_age_days,
+              formats=dict(x.split("=", 1) for x in a.format), splittable=a.splittable, rows_per_file=a.rows_per_file)
     print(json.dumps({"models": rep.models, "checks": rep.checks,
                       "loads": {k: v.rows_written for k, v in rep.loads.items()}}, default=str))
 

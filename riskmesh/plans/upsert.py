@@ -147,6 +147,7 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
             kept_dates = {r[0] for r in staged.select(date_col).distinct().collect()}
             for day in set(dates) - kept_dates:
                 _delete(spark, f"{target_path.rstrip('/')}/{date_col}={day}")
+        _delete(spark, stage)
     finally:
         batch.unpersist()
     return UpsertResult(target_path, "incremental", -1, len(dates))

@@ -84,15 +84,14 @@ def build_session(master: str = "local[*]", app: str = "riskmesh",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must be a shared file
-    system; only when it is unset (local tests) a scratch folder is created.
+    On a cluster the deployment sets it to a shared file system; without it a
+    job is refused there. A local session (tests) may leave it unset and gets a
+    scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="riskmesh-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect)
-        pass
     return current

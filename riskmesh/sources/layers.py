@@ -10,11 +10,13 @@ computed from its inputs.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmesh.operators import gold, silver
+from riskmesh.session import checkpoint_dir
 from riskmesh.specs import FEEDS, THRESHOLDS, SignalThresholds
 
 SILVER_MODELS = ("slv_players", "slv_sessions", "slv_transactions", "slv_affiliate_cpa_ftd")
@@ -75,6 +77,20 @@ class Layers:
 
         return cls(spark, bronze, model, as_of=as_of, **kw)
 
+    def written(self) -> "Layers":
+        """The same relations, each computed once: a feed or model is written
+        to the shared folder when it is first used and read from there."""
+        base = f"{checkpoint_dir(self.spark).rstrip('/')}/riskmesh-layers-{uuid.uuid4().hex}"
+
+        def once(name: str, df: DataFrame) -> DataFrame:
+            path = f"{base}/{name}"
+            df.write.parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        out = Layers(self.spark, lambda feed: once(feed, self.source(feed)), lambda name: once(name, out.build(name)),
+                     as_of=self.as_of, thresholds=self.thresholds)
+        return out
+
     # -- relations
     def source(self, feed: str) -> DataFrame:
         if feed not in FEEDS:

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from riskmesh.operators import silver
 from riskmesh.plans.upsert import incremental_build
-from riskmesh.session import checkpoint_dir
 from riskmesh.sources.bronze import read_bronze
 from riskmesh.sources.ingest import normalize_format, with_partition
 from riskmesh.specs import FEEDS, SILVER
@@ -68,12 +67,12 @@ def land(spark: SparkSession, landing_dir: str, feed: str, bronze_path: str,
 
 
 def micro_load(spark: SparkSession, landing_dir: str, feed: str, target_path: str,
-               checkpoint_location: str | None = None, source_format: str | None = None,
-               as_of=None, partition_local: bool = True, bronze_path: str | None = None) -> int:
+               checkpoint_location: str, source_format: str | None = None, as_of=None, partition_local: bool = True, bronze_path: str | None = None) -> int:
     """Land the new files of ``feed`` and merge them into the silver table at
-    ``target_path``. Returns the number of landed rows."""
+    ``target_path``. Progress and bronze live under ``checkpoint_location``,
+    which a later run must name again. Returns the number of landed rows."""
     name, model = MODELS[feed]
-    base = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", feed)
+    base = checkpoint_location
     bronze_path = bronze_path or os.path.join(base, "bronze")
     landed = land(spark, landing_dir, feed, bronze_path, os.path.join(base, "checkpoint"),
                   source_format)

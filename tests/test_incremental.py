@@ -195,8 +195,42 @@ def test_second_load_does_not_depend_on_the_drivers_time_zone(spark, workdir, mo
         second = first + [("t0", "p", "bet", "3", "2026-01-20 09:59:59"), ("t2", "p", "bet", "2", "2026-01-20 12:00:00")]
         build(spark, path, second)
         assert [r[0] for r in table(spark, path)] == ["t1", "t2"]
-        build(spark, path, second, lookback=dt.timedelta(hours=1))
+        build(spark, path, second, lookback=dt.timedelta(hours=3))
         assert [r[0] for r in table(spark, path)] == ["t0", "t1", "t2"]
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+def test_future_dated_bronze_rows_are_checked(spark, workdir):
+    from riskmesh.operators.quality import QualityGateError
+    from riskmesh.plans.pipeline import run
+    from riskmesh.sources.ingest import write_bronze
+    rows_ = bronze(spark, "players", [("p1", "a@b.c", "x", "2026-01-01", "2026-01-01"), (None, "a@b.c", "x", "2999-01-01", "2999-01-01")])
+    write_bronze(rows_, os.path.join(workdir, "bronze", "players"), "players")
+    with pytest.raises(QualityGateError, match="not_null_players_player_id"):
+        run(spark, workdir, as_of=AS_OF)
+
+
+def test_pipeline_reads_formats_and_one_summary_a_layer(spark, workdir, monkeypatch):
+    from riskmesh.operators import quality
+    from riskmesh.plans.pipeline import run
+    calls = []
+    whole = quality.summary
+    monkeypatch.setattr(quality, "summary", lambda checks, rel: calls.append(len(checks)) or whole(checks, rel))
+    path = os.path.join(workdir, "players.csv")
+    with open(path, "w") as f:
+        f.write("player_id,email,city,created_at\n" + "".join(f"p{i},a@b.c,x,2026-01-01\n" for i in range(50)))
+    rep = run(spark, workdir, {"players": path}, as_of=AS_OF, formats={"players": "csv"}, splittable=True, rows_per_file=10)
+    assert rep.loads["players"].files_written >= 5 and rep.models["slv_players"] == "full"
+    assert len(calls) == 2  # bronze and silver; no gold model can be built
+
+
+def test_shared_folder_is_mandatory_off_local_masters(spark):
+    from riskmesh.session import checkpoint_dir
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)

@@ -52,3 +52,27 @@ def test_hot_ip_and_hot_player(spark):
         assert r.max_players_on_same_ip == expected
     assert set(got) == set(count)
     assert got["hot-player"].session_count == n // 3
+
+
+def test_salted_join_spreads_hot_and_null_keys(spark):
+    from riskmesh.operators.salting import salted_join
+    from pyspark.sql import functions as F
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        n = 9000
+        many = spark.range(n).select(F.col("id").alias("player_id"),
+                                     F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("ip"))
+        one = many.where("ip is not null").groupBy("ip").agg(F.count("*").alias("n"))
+        joined = salted_join(many, one, "ip", "left", ["player_id"])
+        assert joined.count() == n and joined.where("ip is null and n is not null").count() == 0
+        assert joined.where("ip = 'hot' and n = 3000").count() == 3000
+        for which in ("ip = 'hot'", "ip is null"):
+            per_task = [r["count"] for r in joined.where(which).groupBy(F.spark_partition_id()).count().collect()]
+            assert len(per_task) >= 6 and max(per_task) < 1500, per_task
+        missing = salted_join(many.where("ip is not null"), one.where("ip <> 'hot'"), "ip", "left_anti", ["player_id"])
+        assert missing.count() == 3000 and max(r["count"] for r in missing.groupBy(F.spark_partition_id()).count().collect()) < 1500
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
