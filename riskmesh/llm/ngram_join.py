@@ -136,7 +136,8 @@ class Trie:
         found, n = [], len(query)
         todo = [(self.root, 0)]
         while todo:
-            (first, end, start, depth, children), overlap = todo.pop()
+            node, overlap = todo.pop()
+            first, end, start, depth, children = node[:5]
             if wanted[end] == wanted[first]:
                 continue
             if depth > start:
@@ -155,8 +156,13 @@ class Trie:
                 for leaf in range(first, end):  # sets that end here
                     if wanted[leaf + 1] > wanted[leaf] and overlap * (100 + percent) >= percent * (n + self.size[leaf]):
                         found.append(leaf)
-            else:
+            elif len(children) < 8:
                 todo += [(c, overlap) for c in children]
+            else:  # only children above a wanted leaf
+                if len(node) == 5:
+                    node.append(np.array([c[0] for c in children]))
+                leaves = first + np.flatnonzero(np.diff(wanted[first: end + 1]))
+                todo += [(children[c], overlap) for c in np.unique(np.searchsorted(node[5], leaves, side="right") - 1).tolist()]
         return found
 
 
@@ -169,14 +175,17 @@ def trie_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     bounds = np.cumsum([0, *map(len, sets)])
     trie = Trie([np.sort(rank[code[a:b]]) for a, b in zip(bounds[:-1], bounds[1:])])
     m = len(sets)
-    # likeliest hubs first: few elements of their own
-    own = np.array([np.count_nonzero(count[code[a:b]] == 1) / (b - a) for a, b in zip(bounds[:-1], bounds[1:])])[trie.order]
+    # elements of its own bound what a set can share, and how much larger a union must be
+    size = trie.size
+    own = np.array([np.count_nonzero(count[code[a:b]] == 1) for a, b in zip(bounds[:-1], bounds[1:])])[trie.order]
+    shared = size - own
     part, done = np.arange(m), np.zeros(m, dtype=bool)
     marks, out = np.zeros(len(values), dtype=bool), []
     wanted = np.zeros(m + 1, dtype=np.int64)
-    for q in np.argsort(own, kind="stable"):
+    for q in np.argsort(own / size, kind="stable"):  # likeliest hubs first
         done[q] = True
-        open_ = (part != part[q]) & ~done
+        open_ = 100 * np.minimum(shared, shared[q]) >= percent * np.maximum(size + own[q], size[q] + own)
+        open_ &= (part != part[q]) & ~done
         if not open_.any():
             continue
         np.cumsum(open_, out=wanted[1:])
