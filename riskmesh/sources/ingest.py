@@ -62,11 +62,51 @@ def staging_uri(feed: str, prefix: str, destination_uri: str | None = None) -> s
 # ----------------------------------------------------------------- readers
 @dataclass
 class LandingFrame:
-    """Parsed landing rows: the spec's columns as strings plus per-column
-    presence flags (``_has_<col>``) for the required-column contract."""
+    """Parsed landing rows: the spec's columns as strings, and a frame with one
+    presence flag per column (``_has_<col>``) for the required-column contract
+    (the same frame, unless presence needs its own pass)."""
 
     df: DataFrame
     spec: FeedSpec
+    presence: DataFrame
+
+
+CSV_OPTIONS = {"header": True, "escape": '"', "emptyValue": "", "encoding": "UTF-8", "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": _CORRUPT,
+               "enforceSchema": False}   # every file's header is compared with the schema, never mapped by position
+
+
+def csv_schema(columns) -> str:
+    return ", ".join(f"`{c}` string" for c in columns) + f", `{_CORRUPT}` string"
+
+
+def csv_columns(raw: DataFrame, spec: FeedSpec, header) -> DataFrame:
+    """Columns and presence flags of CSV rows, for files and streams alike. An
+    empty field of a complete row is ``''`` (Spark reads it as NULL); a short
+    row's missing tail stays NULL."""
+    complete = F.col(_CORRUPT).isNull()
+    cols = []
+    for c in spec.columns:
+        value = F.when(complete, F.coalesce(F.col(f"`{c}`"), F.lit(""))).otherwise(F.col(f"`{c}`")) if c in header \
+            else F.lit(None).cast("string")
+        cols += [value.alias(c), F.lit(c in header).alias(f"_has_{c}")]
+    return raw.select(*cols)
+
+
+def json_columns(raw: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Columns and presence flags of JSON objects held as text in ``value``, for
+    files and streams alike. A key that is there with ``null`` counts as
+    present; nested values become JSON text; a number keeps its text (``1.50``),
+    which the parser does not, so it is looked up in the object's text and taken
+    if it is the same number."""
+    cols = []
+    for c in spec.columns:
+        value = F.try_element_at("m", F.lit(c))
+        text = F.regexp_extract("value", rf'"{c}"\s*:\s*(-?[0-9][0-9.eE+-]*)', 1)
+        same = text.try_cast("double") == value.try_cast("double")
+        cols += [F.when(same & (value != text), text).otherwise(value).alias(c),
+                 F.coalesce(F.map_contains_key("m", c), F.lit(False)).alias(f"_has_{c}")]
+    return raw.select("value", F.from_json("value", "map<string,string>").alias("m")).select(*cols)
 
 
 def read_csv(spark: SparkSession, path: str, spec: FeedSpec,
@@ -77,45 +117,29 @@ def read_csv(spark: SparkSession, path: str, spec: FeedSpec,
     which makes every file a single task; a large feed known to have none can
     pass ``multi_line=False`` so each file splits into many tasks.
 
-    The header alone decides which columns exist. An empty field of a complete
-    row is ``''`` (Spark reads unquoted empties as NULL, so they are restored);
-    a short row's missing tail stays NULL. Known gap: an empty field *inside*
-    a short or long row cannot be told from a missing one and stays NULL.
-    Extra columns are dropped.
+    The header decides which columns exist and where; all files of one landing
+    must have the same header (another one is refused). Known gap: an empty
+    field *inside* a short or long row cannot be told from a missing one and
+    stays NULL. Extra columns are dropped.
     """
     header = spark.read.option("header", True).option("multiLine", multi_line).csv(path).columns
-    schema = ", ".join(f"`{c}` string" for c in header) + f", `{_CORRUPT}` string"
-    raw = (spark.read.options(header=True, multiLine=multi_line, escape='"', emptyValue="",
-                              encoding="UTF-8", mode="PERMISSIVE",
-                              columnNameOfCorruptRecord=_CORRUPT)
-           .schema(schema).csv(path))
-    complete = F.col(_CORRUPT).isNull()
-    cols = []
-    for c in spec.columns:
-        if c in header:
-            cols.append(F.when(complete, F.coalesce(F.col(f"`{c}`"), F.lit("")))
-                        .otherwise(F.col(f"`{c}`")).alias(c))
-            cols.append(F.lit(True).alias(f"_has_{c}"))
-        else:
-            cols.append(F.lit(None).cast("string").alias(c))
-            cols.append(F.lit(False).alias(f"_has_{c}"))
-    return LandingFrame(raw.select(*cols), spec)
+    raw = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(csv_schema(header)).csv(path)
+    df = csv_columns(raw, spec, header)
+    return LandingFrame(df, spec, df)
 
 
 def read_json(spark: SparkSession, path: str, spec: FeedSpec, lines: bool = False) -> LandingFrame:
-    """A top-level array of flat objects (multiLine: parsed as a stream, one
-    task per file since the format is not splittable), or JSON Lines (splits
-    freely). Every field is read as a VARIANT: a missing key is SQL NULL while
-    an explicit ``null`` is a variant null, so key presence is checked per
-    object. Values become text: numbers keep their numeric text (``1.50`` ->
-    ``1.5``), nested values JSON text, booleans ``true`` / ``false``."""
-    schema = ", ".join(f"`{c}` variant" for c in spec.columns)
-    raw = spark.read.option("multiLine", not lines).schema(schema).json(path)
-    cols = []
-    for c in spec.columns:
-        cols.append(F.col(f"`{c}`").cast("string").alias(c))
-        cols.append(F.col(f"`{c}`").isNotNull().alias(f"_has_{c}"))
-    return LandingFrame(raw.select(*cols), spec)
+    """JSON Lines (splits freely), or a top-level array of flat objects, which is
+    parsed as a stream, one task per file. Arrays are read with a string schema
+    for the values and with VARIANT fields for key presence (a missing key is
+    SQL NULL, an explicit ``null`` a variant null)."""
+    if lines:
+        df = json_columns(spark.read.text(path).where(F.trim("value") != ""), spec)
+        return LandingFrame(df, spec, df)
+    reader = spark.read.option("multiLine", True)
+    found = reader.schema(", ".join(f"`{c}` variant" for c in spec.columns)).json(path)
+    presence = found.select(*[F.col(f"`{c}`").isNotNull().alias(f"_has_{c}") for c in spec.columns])
+    return LandingFrame(reader.schema(spec.string_schema).json(path), spec, presence)
 
 
 def read_landing(spark: SparkSession, path: str, feed: str,
@@ -154,14 +178,17 @@ def with_partition(df: DataFrame, spec: FeedSpec, ingest_date: _dt.date | None =
 
 
 def validate(landing: LandingFrame, ingest_date: _dt.date | None = None) -> tuple[DataFrame, int]:
-    """One aggregate action: rows, rows missing each required column, rows
-    without a valid partition. Raises before anything is written."""
+    """Counts rows, rows missing each required column and rows without a valid
+    partition (one aggregate; arrays of JSON take a second one for presence). Raises before anything is written."""
     spec = landing.spec
     df = with_partition(landing.df, spec, ingest_date)
-    aggs = [F.count(F.lit(1)).alias("rows"),
+    rows = [F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col(spec.partition_column).isNull()).alias("bad_partition")]
-    aggs += [F.count_if(~F.col(f"_has_{c}")).alias(f"miss_{c}") for c in spec.columns]
-    r = df.agg(*aggs).first()
+    keys = [F.count_if(~F.col(f"_has_{c}")).alias(f"miss_{c}") for c in spec.columns]
+    if landing.presence is landing.df:
+        r = df.agg(*rows, *keys).first().asDict()
+    else:
+        r = df.agg(*rows).first().asDict() | landing.presence.agg(*keys).first().asDict()
     missing = [c for c in spec.columns if r[f"miss_{c}"]]
     if missing:
         raise MissingColumnsError(f"Missing required columns: {', '.join(missing)}")

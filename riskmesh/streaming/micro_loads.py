@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from riskmesh.operators import silver
 from riskmesh.plans.upsert import incremental_build
 from riskmesh.sources.bronze import read_bronze
-from riskmesh.sources.ingest import normalize_format, with_partition
+from riskmesh.sources.ingest import CSV_OPTIONS, csv_columns, csv_schema, json_columns, normalize_format, with_partition
 from riskmesh.specs import FEEDS, SILVER
 
 MODELS = {
@@ -38,13 +38,19 @@ MODELS = {
 
 
 def _stream(spark: SparkSession, landing_dir: str, feed: str, source_format: str | None) -> DataFrame:
+    """The feed's columns and presence flags, by the parsers of the batch job.
+    A CSV header other than the feed's columns in their order is refused. A file
+    with a JSON array is read whole (landing files of micro-loads are small), and
+    its numbers come without trailing zeros."""
     spec = FEEDS[feed]
     fmt = normalize_format(source_format or spec.default_format)
-    reader = spark.readStream.schema(spec.string_schema)
     if fmt == "csv":
-        return reader.options(header=True, multiLine=True, escape='"', emptyValue="").csv(landing_dir)
-    # JSON arrays need multiLine (one task per file); JSON Lines split freely
-    return reader.option("multiLine", fmt == "json").json(landing_dir)
+        raw = spark.readStream.options(**CSV_OPTIONS, multiLine=True).schema(csv_schema(spec.columns)).csv(landing_dir)
+        return csv_columns(raw, spec, spec.columns)
+    raw = spark.readStream.option("wholetext", fmt == "json").text(landing_dir)
+    if fmt == "json":
+        raw = raw.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+    return json_columns(raw.where(F.trim("value") != ""), spec)
 
 
 def land(spark: SparkSession, landing_dir: str, feed: str, bronze_path: str,
@@ -54,9 +60,11 @@ def land(spark: SparkSession, landing_dir: str, feed: str, bronze_path: str,
     spec = FEEDS[feed]
     p = spec.partition_column
     rows = with_partition(_stream(spark, landing_dir, feed, source_format), spec)
-    checked = rows.withColumn(p, F.when(F.col(p).isNotNull(), F.col(p)).otherwise(
-        F.raise_error(F.lit(f"Partition field {spec.partition_source} is missing or invalid"))
-        .cast("date")))
+    absent = F.filter(F.array(*[F.when(~F.col(f"_has_{c}"), F.lit(c)) for c in spec.columns]), lambda c: c.isNotNull())
+    problem = F.when(F.size(absent) > 0, F.concat(F.lit("required columns are missing: "), F.array_join(absent, ", "))) \
+        .when(F.col(p).isNull(), F.lit(f"no valid partition date in {spec.partition_source}"))
+    checked = rows.withColumn(p, F.when(problem.isNull(), F.col(p)).otherwise(F.raise_error(problem).cast("date"))) \
+        .select(*spec.columns, p)
     query = (checked.writeStream.format("parquet")
              .partitionBy(p)
              .option("checkpointLocation", checkpoint_location)
