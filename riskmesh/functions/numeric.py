@@ -41,8 +41,9 @@ def count_ratio(num: Column, den: Column) -> Column:
 
 
 def money_product(count: Column, value: Column) -> Column:
-    """bigint * NUMERIC without scale loss: decimal(19,0) * decimal(18,9) -> (38,9)."""
-    return count.cast("decimal(19,0)") * value.cast("decimal(18,9)")
+    """Count (of one row, below 10**9) * NUMERIC (below 10**19) without scale
+    loss: decimal(9,0) * decimal(28,9) -> (38,9). Beyond that the cast fails."""
+    return count.cast("decimal(9,0)") * value.cast("decimal(28,9)")
 
 
 def scaled(value: Column, factor: Decimal) -> Column:

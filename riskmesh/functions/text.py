@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-# Whitespace stripped at both ends by TRIM (Unicode white space, not only ' ').
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# White space that TRIM takes off both ends (Unicode, not only ' ').
+_EDGE_WS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # Word delimiters of INITCAP: white space plus these characters, in this order.
 INITCAP_DELIMITERS = " []{}()/|\\<>!?@\"^#$&~_,.:;*%+-"
 # Domain of an email: everything after the first '@'.
@@ -22,7 +22,7 @@ _WORD_OR_GAP = f"([^{_DELIM_CLASS}]+|[{_DELIM_CLASS}]+)"
 
 def strip_ws(c: Column) -> Column:
     """Remove leading and trailing white space (tabs, newlines, NBSP ...)."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    return F.btrim(c, F.lit(_EDGE_WS))
 
 
 def normalize_lower(c: Column) -> Column:

@@ -112,18 +112,14 @@ def _(L):
 
 @query("load_report")
 def _(L):
-    """Landing-job report for the players feed: rows and partitions written,
-    counted on the written dataset."""
+    """Landing-job reports of all four feeds: rows and partitions written."""
     from riskmesh.sources.ingest import write_bronze
     from riskmesh.session import checkpoint_dir
     import uuid
-    path = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-load-{uuid.uuid4().hex}/players"
-    spec = FEEDS["players"]
-    write_bronze(L.source("players"), path, "players", rows_per_file=1000)
-    written = L.spark.read.schema(spec.bronze_schema).parquet(path)
-    return written.agg(F.count(F.lit(1)).alias("rows_written"),
-                       F.count_distinct("dt").alias("partitions_written")).select(
-        F.lit("players").alias("table_name"), "rows_written", "partitions_written")
+    base = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-load-{uuid.uuid4().hex}"
+    reports_ = [write_bronze(L.source(feed), f"{base}/{feed}", feed, rows_per_file=1_000_000) for feed in FEEDS]
+    return L.spark.createDataFrame([(r.table, r.rows_written, r.partitions_written) for r in reports_],
+                                   "table_name string, rows_written long, partitions_written long")
 
 
 # ------------------------------------------------------------ PRJ / FLT

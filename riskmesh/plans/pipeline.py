@@ -18,8 +18,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from riskmesh import descriptions
 from riskmesh.operators import gold, quality, silver
 from riskmesh.plans.upsert import _exists, incremental_build
 from riskmesh.session import configure
@@ -33,29 +33,18 @@ INCREMENTAL_MODELS = {
     "slv_transactions": ("transactions", silver.slv_transactions),
 }
 
-GOLD_COMMENTS = {
-    "gold_financial_signals": {
-        "has_high_withdraw_signal": "withdraw > deposit * 1.5 and withdraw >= 500.",
-        "has_high_bet_velocity_signal": "bet >= deposit * 5 and bet >= 1000.",
-    },
-    "gold_fraud_overview": {
-        "has_shared_ip_signal": "Some IP of the player is used by at least 5 distinct players.",
-        "has_many_devices_signal": "The player used at least 4 distinct device types.",
-        "fraud_signal_count": "Number of active signals, 0 to 5; ranks investigation priority.",
-    },
-}
-
 
-def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
-    """Attach column descriptions as field metadata; Spark stores the schema
-    (with metadata) in the Parquet footer, so they travel with the table."""
-    fields = []
-    for f in df.schema.fields:
-        meta = dict(f.metadata)
-        if f.name in comments:
-            meta["comment"] = comments[f.name]
-        fields.append(T.StructField(f.name, f.dataType, f.nullable, meta))
-    return df.select(*[df[f"`{f.name}`"].alias(f.name, metadata=f.metadata) for f in fields])
+def with_comments(df: DataFrame, table: str) -> DataFrame:
+    """Attach the table's column descriptions as field metadata (the table's own
+    on its first column); Spark stores the schema with them in the Parquet
+    footer, so they travel with the data."""
+    out = []
+    for i, f in enumerate(df.schema.fields):
+        meta = {**f.metadata, "comment": descriptions.column(table, f.name)}
+        if i == 0:
+            meta["table_comment"] = descriptions.TABLES[table]
+        out.append(df[f"`{f.name}`"].alias(f.name, metadata=meta))
+    return df.select(*out)
 
 
 ROWS_PER_FILE = 5_000_000   # of bronze files; the single-feed job's default is the feed contract's
@@ -112,14 +101,13 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
             continue
         path = os.path.join(root, "silver", name)
         res = incremental_build(spark, path, layers.source(feed), SILVER[name],
-                                lambda b, m=model, n=name, **kw: with_comments(m(b, **kw),
-                                                                               SILVER[n].comments),
+                                lambda b, m=model, n=name, **kw: with_comments(m(b, **kw), n),
                                 full_refresh=full_refresh, as_of=as_of_s,
                                 partition_local=partition_local)
         rep.models[name] = res.mode
     if "affiliate_cpa_ftd" in feeds:
         aff = silver.slv_affiliate_cpa_ftd(layers.source("affiliate_cpa_ftd"), as_of=as_of_s)
-        with_comments(aff, SILVER["slv_affiliate_cpa_ftd"].comments).write.mode("overwrite") \
+        with_comments(aff, "slv_affiliate_cpa_ftd").write.mode("overwrite") \
             .parquet(os.path.join(root, "silver", "slv_affiliate_cpa_ftd"))
         rep.models["slv_affiliate_cpa_ftd"] = "full"
     else:
@@ -143,7 +131,7 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
             quality.gate(rep.checks["freshness"])
 
     def write_gold(name: str, df: DataFrame) -> None:
-        with_comments(df, GOLD_COMMENTS.get(name, {})).write.mode("overwrite") \
+        with_comments(df, name).write.mode("overwrite") \
             .parquet(os.path.join(root, "gold", name))
         rep.models[name] = "full"
 

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-import os
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -244,13 +243,12 @@ def write_bronze(df: DataFrame, destination: str, feed: str,
          .parquet(destination))
     if observation is not None:
         rows = int(observation.get["rows"])
+    # what was really written, counted by a job (a file list would come to the
+    # driver whole); the report names the partition folders, one per day
     written = spark.read.schema(spec.bronze_schema).parquet(destination)
-    # counts come from the dataset's file listing (no data is read); the
-    # report names the written partition folders (one per day) rather than
-    # every file, which at scale would be hundreds of thousands of paths
-    files = written.inputFiles()
-    parts = sorted({os.path.dirname(f) for f in files})
-    return LoadReport(feed, source_uri, destination, rows, len(parts), len(files), parts)
+    days = written.select(F.input_file_name().alias("file"), p).distinct().groupBy(p).agg(F.count(F.lit(1)).alias("files")).collect()
+    folders = sorted(f"{destination.rstrip('/')}/{p}={r[p]}" for r in days)
+    return LoadReport(feed, source_uri, destination, rows, len(folders), sum(r["files"] for r in days), folders)
 
 
 def ingest(spark: SparkSession, feed: str, source_uri: str, destination_uri: str,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import types as T
@@ -85,49 +85,19 @@ class SilverSpec:
     event_column: str        # ordering + watermark column
     date_column: str         # partition column of the target
     incremental: bool = True
-    comments: dict[str, str] = field(default_factory=dict)
 
 
 SILVER: dict[str, SilverSpec] = {
     "slv_players": SilverSpec(
-        "slv_players", "players", "player_id", "created_at", "created_at",
-        comments={
-            "player_id": "Player identifier; logical primary key.",
-            "email": "Email, lower-cased and stripped of surrounding whitespace.",
-            "email_domain": "Everything after the first @ of the normalised email.",
-            "city": "City with each word capitalised.",
-            "created_at": "Registration date; partition and watermark column.",
-        }),
+        "slv_players", "players", "player_id", "created_at", "created_at"),
     "slv_sessions": SilverSpec(
-        "slv_sessions", "sessions", "session_id", "session_at", "session_date",
-        comments={
-            "session_id": "Session identifier; logical primary key.",
-            "player_id": "Player of the session.",
-            "ip": "IP address as received.",
-            "device": "Device type, lower-cased and stripped.",
-            "session_at": "Session instant (UTC); ordering and watermark column.",
-            "session_date": "UTC date of session_at; partition column.",
-        }),
+        "slv_sessions", "sessions", "session_id", "session_at", "session_date"),
     "slv_transactions": SilverSpec(
         "slv_transactions", "transactions", "transaction_id", "transaction_at",
-        "transaction_date",
-        comments={
-            "transaction_id": "Transaction identifier; logical primary key.",
-            "transaction_type": "deposit, withdraw or bet.",
-            "amount": "Non-negative amount.",
-            "transaction_at": "Transaction instant (UTC); ordering and watermark column.",
-            "transaction_date": "UTC date of transaction_at; partition column.",
-            "deposit_amount": "amount when the type is deposit, else 0.",
-            "withdraw_amount": "amount when the type is withdraw, else 0.",
-            "bet_amount": "amount when the type is bet, else 0.",
-        }),
+        "transaction_date"),
     "slv_affiliate_cpa_ftd": SilverSpec(
         "slv_affiliate_cpa_ftd", "affiliate_cpa_ftd", "affiliate_player_country_key",
-        "", "", incremental=False,
-        comments={
-            "affiliate_player_country_key": "MD5 surrogate key of affiliate, player, raw country.",
-            "estimated_cpa_cost": "Sum over rows of ftd * cpa_value.",
-        }),
+        "", "", incremental=False),
 }
 
 # Decimal type used for every NUMERIC value (amounts, CPA, costs, ratios).

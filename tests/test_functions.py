@@ -1,6 +1,7 @@
 import datetime as dt
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskmesh.functions import (
@@ -80,3 +81,26 @@ def test_partition_range_excludes_future(spark):
                                 (dt.date(2030, 1, 1),)], "d date")
     got = [r.d for r in df.where(partition_range(F.col("d"), "2026-01-01")).collect()]
     assert got == [dt.date(2024, 1, 1)]
+
+
+def test_every_column_of_the_models_is_described(spark):
+    from riskmesh import descriptions
+    from riskmesh.plans.pipeline import with_comments
+    from riskmesh.sources.layers import MODEL_ORDER, Layers
+    L = Layers.from_benchmark(spark, "/root/testdata/sf0.001")
+    for name in MODEL_ORDER:
+        df = with_comments(L.ref(name), name)
+        assert df.schema.fields[0].metadata["table_comment"] == descriptions.TABLES[name]
+        assert all(f.metadata["comment"] for f in df.schema.fields)
+
+
+def test_trim_takes_unicode_space_and_cpa_is_exact_up_to_its_bounds(spark):
+    from decimal import Decimal
+    from riskmesh.functions import money_product, strip_ws
+    df = spark.createDataFrame([("　\t a  b \n", 999_999_999, Decimal("9999999999999999999.999999999"))], "s string, n long, v decimal(38,9)")
+    r = df.select(strip_ws(F.col("s")).alias("s"), money_product(F.col("n"), F.col("v")).alias("p")).first()
+    with localcontext(prec=60):
+        assert r.s == "a  b" and r.p == Decimal(999_999_999) * Decimal("9999999999999999999.999999999")
+    for bad in ("CAST(1000000000 AS LONG) AS n, CAST(1 AS DECIMAL(38,9)) AS v", "CAST(1 AS LONG) AS n, CAST('10000000000000000000' AS DECIMAL(38,9)) AS v"):
+        with pytest.raises(Exception):
+            spark.sql(f"SELECT {bad}").select(money_product(F.col("n"), F.col("v"))).collect()
