@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from riskmesh.operators import silver
 from riskmesh.plans.upsert import incremental_build
 from riskmesh.sources.bronze import read_bronze
-from riskmesh.sources.ingest import CSV_OPTIONS, csv_columns, csv_schema, json_columns, normalize_format, with_partition
+from riskmesh.sources.ingest import (
+    CSV_OPTIONS, csv_columns, csv_schema, ingest, json_columns, normalize_format, with_partition,
+)
 from riskmesh.specs import FEEDS, SILVER
 
 MODELS = {
@@ -88,3 +90,15 @@ def micro_load(spark: SparkSession, landing_dir: str, feed: str, target_path: st
     incremental_build(spark, target_path, bronze, SILVER[name], model, as_of=as_of,
                       partition_local=partition_local)
     return landed
+
+
+def reload_affiliate(spark: SparkSession, source_uri: str, target_path: str, bronze_path: str,
+                     source_format: str | None = None, ingest_date=None, as_of=None) -> int:
+    """The affiliate feed of a repeated run: it has no event date to load
+    increments by, so each run replaces its bronze and rebuilds its silver
+    table. An empty file changes nothing. Returns the number of landed rows."""
+    report = ingest(spark, "affiliate_cpa_ftd", source_uri, bronze_path, source_format, ingest_date=ingest_date)
+    if report.rows_written:
+        bronze = read_bronze(spark, bronze_path, "affiliate_cpa_ftd", "1900-01-01", as_of or "9999-12-31")
+        silver.slv_affiliate_cpa_ftd(bronze, as_of=as_of).write.mode("overwrite").parquet(target_path)
+    return report.rows_written

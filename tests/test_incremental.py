@@ -234,3 +234,19 @@ def test_shared_folder_is_mandatory_off_local_masters(spark):
             get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session)
+
+
+def test_affiliate_feed_is_reloaded_whole(spark, workdir):
+    from riskmesh.streaming.micro_loads import reload_affiliate
+    src, silver_path, bronze_path = (os.path.join(workdir, x) for x in ("a.csv", "silver", "bronze"))
+    header = "affiliate_id,player_id,country,clicks,registrations,ftd,cpa_value\n"
+
+    def load(text):
+        with open(src, "w") as f:
+            f.write(header + text)
+        return reload_affiliate(spark, src, silver_path, bronze_path, ingest_date=dt.date(2026, 1, 1), as_of=AS_OF)
+
+    assert load("north,kim,cl,250,31,4,17.5\nnorth,lee,cl,9,1,0,17.5\n") == 2
+    assert load("north,kim,cl,10,2,1,3\n") == 1
+    assert [tuple(r) for r in spark.read.parquet(silver_path).select("player_id", "country", "clicks").collect()] == [("kim", "CL", 10)]
+    assert load("") == 0 and spark.read.parquet(silver_path).count() == 1
