@@ -197,7 +197,7 @@ class Rules:
     """Greatest distances from the nearest language that pass, and the guards
     below which a text is too short for the method to judge."""
     max_class: float = 0.28
-    max_word: float = 0.48
+    max_word: float = 0.52
     min_words: int = 50
     min_chars: int = 200
 
