@@ -130,35 +130,27 @@ def _emit_suffixes(window: int, block: int):
 def _deep_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, pos) of the leaves below deep internal nodes: runs of one path with
     two or more suffixes, over rows sorted by path. State is one leaf."""
-    held, held_key, held_pos = None, None, None  # the single leaf of the last run, if it has no partner yet
-    last, deep = None, False
+    held = last = None  # the single leaf of the last run if it has no partner yet, and the run's path
     for batch in batches:
-        path = batch.column(0).fill_null(b"")
-        sure = np.asarray(batch.column(0).is_null().to_numpy(zero_copy_only=False))
-        key, pos = np.asarray(batch.column(1)), np.asarray(batch.column(2))
-        n = np.asarray(batch.column(3))
-        out = [(key[sure], pos[sure])]
-        rows = np.flatnonzero(~sure)
-        if len(rows):
-            where = np.frombuffer(path.buffers()[1], dtype=np.int32)[path.offset: path.offset + len(path) + 1]
-            data = np.frombuffer(path.buffers()[2], dtype=np.uint8)
-            width = int(where[rows[0] + 1] - where[rows[0]])
-            p = data[where[rows][:, None] + np.arange(width)]
-            same = np.all(p[1:] == p[:-1], axis=1)
-            run = np.r_[0, np.cumsum(~same)]
-            total = np.bincount(run, weights=n[rows])
-            first = p[0].tobytes()
-            if first == last:
-                if held is not None:
-                    out.append((np.array([held_key]), np.array([held_pos])))
-                total[0] = 2
-            is_deep = total >= 2
-            hit = rows[is_deep[run]]
-            out.append((key[hit], pos[hit]))
-            end = run[-1]
-            last, deep = p[-1].tobytes(), bool(is_deep[end])
-            held = None if deep else True
-            held_key, held_pos = key[rows[-1]], pos[rows[-1]]
+        path, key, pos, n = batch.column(0), *(np.asarray(batch.column(i)) for i in (1, 2, 3))
+        if not len(path):
+            continue
+        where = np.frombuffer(path.buffers()[1], dtype=np.int32)[path.offset: path.offset + len(path) + 1]
+        data = np.frombuffer(path.buffers()[2], dtype=np.uint8)
+        p = data[where[0]: where[-1]].reshape(len(path), -1)
+        same = np.all(p[1:] == p[:-1], axis=1)
+        run = np.r_[0, np.cumsum(~same)]
+        total = np.bincount(run, weights=n)
+        out = []
+        if p[0].tobytes() == last:
+            if held is not None:
+                out.append((np.array([held[0]]), np.array([held[1]])))
+            total[0] = 2
+        deep = total >= 2
+        hit = deep[run]
+        out.append((key[hit], pos[hit]))
+        last = p[-1].tobytes()
+        held = None if deep[-1] else (key[-1], pos[-1])
         k, q = (np.concatenate(x) for x in zip(*out))
         if len(k):
             yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(q.astype(np.int32))], ["key", "pos"])
@@ -232,20 +224,19 @@ def repeated_windows(docs: DataFrame, window: int = 35, block: int = 7, group_ro
         .mapInArrow(_emit_suffixes(window, block), "path binary, key long, pos int, n int")
     suffixes = written(suffixes, "suffixes")
     width = -(-window // block) * PART_BYTES
-    dealt = suffixes.withColumn("prefix", F.substring("path", 1, PART_BYTES))
-    for depth in range(2 * PART_BYTES, width + 1, PART_BYTES):
+    known = suffixes.where("path is null").select("key", "pos")
+    dealt = suffixes.where("path is not null").withColumn("depth", F.lit(PART_BYTES))
+    for depth in range(PART_BYTES, width, PART_BYTES):
         # prefixes that are still too large get one more block
-        large = dealt.where(F.length("prefix") == depth - PART_BYTES).groupBy("prefix").count() \
-            .where(F.col("count") > group_rows).select("prefix", F.lit(True).alias("large"))
+        large = dealt.where(F.col("depth") == depth).groupBy(F.substring("path", 1, depth).alias("large")).count() \
+            .where(F.col("count") > group_rows).select("large")
         large = written(large, "large")
         if large.limit(1).count() == 0:
             break
-        dealt = dealt.join(bounded_broadcast(large, BROADCAST_ROWS), "prefix", "left") \
-            .withColumn("prefix", F.when(F.col("large"), F.substring("path", 1, depth)).otherwise(F.col("prefix"))).drop("large")
-    # known repeats have no path: they pass through any task
-    place = F.when(F.col("path").isNull(), F.xxhash64("key", "pos")).otherwise(F.xxhash64("prefix"))
-    dealt = dealt.withColumn("place", place).repartition("place").sortWithinPartitions("path").select("path", "key", "pos", "n")
-    return dealt.mapInArrow(_deep_nodes, "key long, pos int")
+        dealt = dealt.join(bounded_broadcast(large, BROADCAST_ROWS), (F.col("depth") == depth) & (F.substring("path", 1, depth) == F.col("large")), "left") \
+            .withColumn("depth", F.when(F.col("large").isNotNull(), depth + PART_BYTES).otherwise(F.col("depth"))).drop("large")
+    dealt = dealt.repartition(F.expr("substring(path, 1, depth)")).sortWithinPartitions("path").select("path", "key", "pos", "n")
+    return known.unionAll(dealt.mapInArrow(_deep_nodes, "key long, pos int"))
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, block: int = 7, id_column: str = "doc_id", with_text: bool = False) -> DataFrame:
