@@ -38,12 +38,20 @@ def learn_dictionaries(rows: DataFrame, sample_docs: int = 64, dict_bytes: int =
     """{lang: dictionary content} from rows (``id_column``, text, lang). At most
     ``sample_docs`` texts a language come to the driver, one language at a time."""
     rows = rows.where("text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(5), id_column), F.xxhash64("text"))
-    sample = rows.select("lang", "text", F.row_number().over(order).alias("at")).where(F.col("at") <= sample_docs)
+    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not counts:
+        return {}
+    # twice the sample by a bound on the hash, then the smallest: no task gathers more than that of a language
+    bounds = rows.sparkSession.createDataFrame([(r["lang"], min(int(2 * sample_docs / r["count"] * 2**63), 2**63 - 1)) for r in counts],
+                                               "_lang string, _bound long")
+    hashed = rows.select("lang", "text", F.shiftrightunsigned(F.xxhash64(F.lit(5), id_column, "text"), 1).alias("hash"))
+    near = hashed.join(F.broadcast(bounds), (F.col("lang") == F.col("_lang")) & (F.col("hash") <= F.col("_bound")))
+    order = Window.partitionBy("lang").orderBy("hash", "text")
+    sample = near.select("lang", "text", F.row_number().over(order).alias("at")).where(F.col("at") <= sample_docs)
     out: dict[str, list[bytes]] = {}
     for r in sample.orderBy("lang", "at").toLocalIterator():
-        if r["lang"] not in out and len(out) == MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
         own = out.setdefault(r["lang"], [])
         if sum(map(len, own)) < dict_bytes:
             own.append(_plain(r["text"]))
