@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ARROW_ROWS = 2000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Only a local session may
     leave it unset (tests); a cluster without it is refused."""
@@ -27,7 +30,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def ship(spark: SparkSession) -> None:
     """Give the Python workers this package (once a Spark context), so that
-    executors need no copy of the repository."""
+    executors need no copy of the repository, and keep Arrow batches of whole
+    texts to a few megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     context = spark.sparkContext
     if getattr(context, "_riskmesh_shipped", False):
         return
