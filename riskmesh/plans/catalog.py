@@ -250,27 +250,6 @@ def _(L):
         "player_id", "email", "email_domain", "city", "created_at")
 
 
-@query("streaming_csv_loads")
-def _(L):
-    """Transactions landed as two batches of CSV files (those with a NULL player
-    or amount are left out: CSV has no NULL), each followed by a micro-load of
-    slv_transactions. The second landing also holds late rows of the first
-    period, which the watermark leaves out."""
-    import uuid
-    from riskmesh.session import checkpoint_dir
-    from riskmesh.streaming import micro_load
-    base = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-csv-stream-{uuid.uuid4().hex}"
-    bronze = L.source("transactions").where("player_id is not null and amount is not null")
-    split, late = F.lit(FIRST_LOAD_BEFORE).cast("date"), F.col("transaction_id").cast("bigint") % 13 == 0
-    target = f"{base}/slv_transactions"
-    first, second = bronze.where((F.col("dt") < split) & ~late), bronze.where((F.col("dt") >= split) | late)
-    for i, part in enumerate((first, second)):
-        part.drop("dt").write.mode("overwrite").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False) \
-            .csv(f"{base}/landing/batch{i}")
-        micro_load(L.spark, f"{base}/landing/*/*.csv", "transactions", target, f"{base}/stream-checkpoint", source_format="csv")
-    return L.spark.read.parquet(target).select("transaction_id", "player_id", "transaction_type", "amount", "transaction_at")
-
-
 @query("duplicate_keys")
 def _(L):
     """Transaction ids with several valid typed rows before the dedup."""
