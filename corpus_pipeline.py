@@ -25,9 +25,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id stays."""
+    """Of each group of documents whose sets of five-word shingles have a Jaccard
+    similarity of 0.8 or more the one with the smallest id stays."""
     ship(spark)
-    groups = similar(docs.select("doc_id", "text"), n=3, percent=90)
+    groups = similar(docs.select("doc_id", "text"), n=5, percent=80)
     stay = written(groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")), "stay")
     once = stay.where("_id is not null").groupBy("_id").count()
     repeated = once.where("count > 1").limit(1).count() > 0

@@ -1,5 +1,6 @@
 import collections
 import os
+import random
 
 import corpus_pipeline
 from tests.llm.conftest import frame, odd_rows
@@ -42,3 +43,24 @@ def test_stages_take_odd_and_empty_tables(spark, tmp_path):
             assert out.count() <= 2 * len(rows)
             if stage is not corpus_pipeline.sharding:
                 assert out.columns == docs.columns
+
+
+def test_near_copies_above_eight_tenths_are_one(spark):
+    rng = random.Random(21)
+    words = [f"w{k}" for k in range(5000)]
+
+    def grams(text):
+        w = text.split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+    rows = []
+    for i in range(24):
+        text = " ".join(rng.choice(words) for _ in range(200))
+        footer = " ".join(rng.choice(words) for _ in range(22 + 3 * i))  # similarity 0.90 down to 0.68
+        rows += [(2 * i, text, "en", "a"), (2 * i + 1, f"{text} {footer}", "en", "a")]
+    want = set()
+    for (i, a, *_), (j, b, *_) in zip(rows[::2], rows[1::2]):
+        a, b = grams(a), grams(b)
+        want |= {i} if 100 * len(a & b) >= 80 * len(a | b) else {i, j}
+    assert 24 < len(want) < 48
+    assert {r.doc_id for r in corpus_pipeline.ngram_join(spark, frame(spark, rows), SF).collect()} == want
