@@ -5,7 +5,13 @@ References are learned from all rows: per language, the histogram of character
 classes and the histogram of its ``common`` most frequent words (everything
 else is one further bin). A text is compared with every language by the
 Jensen-Shannon distance (base 2, 0 to 1) and judged by its nearest language, so
-a wrong or missing label costs nothing. Texts with fewer than ``min_words``
+a wrong or missing label costs nothing.
+
+How far a text without any common word is from a reference depends on that
+reference alone (on how much of it the common words cover), so the word
+distance is also taken relative to that: a text fails if it is nearly as far
+(``max_relative``) and holds less than ``min_coverage`` of the common words that
+the reference lets expect, where at least ``min_common`` are expected. Texts with fewer than ``min_words``
 words or ``min_chars`` characters give histograms too thin to judge; the
 method passes them (the base rule judges them).
 
@@ -176,16 +182,23 @@ def base_counts(t: Texts, hashes: np.ndarray) -> dict[str, np.ndarray]:
             "n_dup_lines": n_dup, "n_repeat_words": n_repeat}
 
 
-def divergence(t: Texts, hashes: np.ndarray, references: list[Reference]) -> tuple[np.ndarray, np.ndarray]:
+def divergence(t: Texts, hashes: np.ndarray, references: list[Reference]) -> tuple[np.ndarray, ...]:
     """(character-class distance, common-word distance) from the nearest
-    language, by the sum of both."""
+    language, the latter relative to that of a text without a common word too,
+    the share of common words and their share in the reference. Nearest is by
+    the sum of class distance and relative word distance."""
     classes = _shares(_class_histograms(t))
-    by_lang = [(jensen_shannon(classes, r.classes), jensen_shannon(_shares(_word_histograms(t, hashes, r.words)), r.shares))
-               for r in references]
-    c, w = (np.array(x) for x in zip(*by_lang))
-    best = np.argmin(c + w, axis=0)
-    rows = np.arange(t.n)
-    return c[best, rows], w[best, rows]
+    by_lang = []
+    for r in references:
+        shares = _shares(_word_histograms(t, hashes, r.words))
+        w = jensen_shannon(shares, r.shares)
+        none = np.zeros((1, len(r.shares)))
+        none[0, -1] = 1
+        by_lang.append((jensen_shannon(classes, r.classes), w, w / jensen_shannon(none, r.shares)[0],
+                        shares[:, :-1].sum(axis=1), np.full(t.n, 1 - r.shares[-1])))
+    c, w, relative, common, expected = (np.array(x) for x in zip(*by_lang))
+    at = np.argmin(c + relative, axis=0), np.arange(t.n)
+    return c[at], w[at], relative[at], common[at], expected[at]
 
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -198,6 +211,9 @@ class Rules:
     below which a text is too short for the method to judge."""
     max_class: float = 0.28
     max_word: float = 0.52
+    max_relative: float = 0.9
+    min_coverage: float = 1 / 3
+    min_common: int = 14
     min_words: int = 50
     min_chars: int = 200
 
@@ -206,10 +222,11 @@ def verdicts(t: Texts, references: list[Reference], rules: Rules) -> dict[str, n
     hashes = t.hashes()
     out = base_counts(t, hashes)
     failed = (out["n_words"] < 50) | (100 * out["n_repeat_words"] > 50 * out["n_words"])
-    c, w = divergence(t, hashes, references) if references else (np.zeros(t.n), np.zeros(t.n))
+    c, w, relative, common, expected = divergence(t, hashes, references) if references else np.zeros((5, t.n))
+    few = (relative > rules.max_relative) & (common < rules.min_coverage * expected) & (out["n_words"] * expected >= rules.min_common)
     judged = (out["n_words"] >= rules.min_words) & (t.count((t.raw & 0xC0) != 0x80) >= rules.min_chars)
     out = {k: v.astype(np.int64) for k, v in out.items()}
-    return out | {"base_failed": failed, "kept": ~failed & ~(judged & ((c > rules.max_class) | (w > rules.max_word))),
+    return out | {"base_failed": failed, "kept": ~failed & ~(judged & ((c > rules.max_class) | (w > rules.max_word) | few)),
                   "class_distance": c, "word_distance": w}
 
 

@@ -45,6 +45,27 @@ def test_divergence_rejects_junk_and_keeps_prose(spark):
     assert {r.doc_id: r.kept for r in quality(docs, refs, Rules(min_words=500)).collect()}[1000]
 
 
+def test_gibberish_of_normal_letters_is_rejected_at_realistic_coverage(spark):
+    rng = random.Random(3)
+    common = "the of and to a in is that it was for on are as with his they at be this".split()
+    rest = ["".join(rng.choice("etaoinshrdlucmfwyp") for _ in range(rng.randrange(3, 10))) for _ in range(4000)]
+
+    def text(n, share=0.3):
+        return " ".join(rng.choice(common) if rng.random() < share else rng.choice(rest) for _ in range(n))
+
+    def salad(n):
+        return " ".join("".join(rng.sample(rng.choice(rest) + "eta", 6)) for _ in range(n))
+
+    rows = [(i, text(rng.randrange(60, 400)), "en", "a") for i in range(300)]
+    junk = [(1000 + i, salad(rng.randrange(60, 400)), "en", "a") for i in range(10)]
+    docs = frame(spark, rows + junk)
+    got = {r.doc_id: r for r in quality(docs, language_references(docs)).collect()}
+    old = Rules()
+    assert all(got[i].class_distance <= old.max_class and got[i].word_distance <= old.max_word for i, *_ in junk)
+    assert not any(got[i].kept for i, *_ in junk)
+    assert sum(got[i].kept for i, *_ in rows) >= 0.99 * len(rows)
+
+
 def test_references_are_exact_shares(spark):
     docs = frame(spark, [(1, "a b b", "en", "s"), (2, "b c", "en", "s"), (3, "z z", "de", "s"), (4, "q", None, "s")])
     refs = {r.lang: r for r in language_references(docs, common=2)}
