@@ -7,8 +7,14 @@ So that two neighbours don't just trade places, documents that come before all
 their neighbours stay put in the first rounds, and later a coin lets half of the
 documents ask. Moves are granted under quotas: for each pair of shards as many
 documents go one way as come back, counting documents without links as willing
-fillers, so every round keeps the counts exact. Rounds end when nobody asks or
-no request can be granted.
+fillers, so every round keeps the counts exact. After ``rounds`` rounds they go on
+while some component is larger than a shard and the cut falls (each fall is at
+least one link, so they end), or until nobody asks or no request can be granted.
+
+Components that fit into a shard and are still split are then placed whole: the
+driver packs their sizes (one row a distinct size), largest first, into the room
+that whole components leave, anew with all of them if that leaves fewer out; unlinked documents, and
+the rows of groups that found no room, fill up the shards.
 
 Exact counts need ranks; a rank is a row number within one written partition
 plus the counts of the partitions before it, so no task holds a whole shard.
@@ -24,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmesh.llm.shared import bounded_broadcast, written
+from riskmesh.llm.shared import bounded_broadcast, components, written
 
 BROADCAST_ROWS = 500_000
 
@@ -63,7 +69,12 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8,
     labels = written(labels, "labels")
     if shards < 2 or both.limit(1).count() == 0:
         return labels
-    for round_ in range(rounds):
+    groups = written(components(both, "u", "v").withColumnRenamed("id", "uid"), "groups")
+    counts = {r["shard"]: r["count"] for r in labels.groupBy("shard").count().collect()}
+    capacity = [counts.get(s, 0) for s in range(shards)]
+    large = groups.groupBy("root").count().where(F.col("count") > max(capacity)).limit(1).count() > 0
+    round_, cut = 0, None
+    while round_ < rounds or large:
         at = labels.where("linked").select(F.col("uid").alias("v"), "shard")
         votes = both.join(at, "v").groupBy("u", "shard").count()
         best = votes.groupBy("u").agg(F.max(F.struct("count", (-F.col("shard")).alias("shard"))).alias("best"),
@@ -86,7 +97,8 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8,
                 for x, y, k in ((a, b, there), (b, a, back)):
                     quota += [(x, y, 1, min(m, k)), (x, y, 0, m - min(m, k))]
         if not any(q for _, _, asked, q in quota if asked):
-            if round_ < settled:
+            round_ += 1
+            if round_ <= settled:
                 continue
             break
         spark = nodes.sparkSession
@@ -94,7 +106,85 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8,
         wanted = wishes.join(F.broadcast(limits), (F.col("shard") == F.col("q_shard")) & (F.col("to") == F.col("q_to")) & (F.col("asks") == F.col("q_asks")))
         moved = _rank(wanted, "shard", "to", "asks").where(F.col("rank") < F.col("q")).select("uid", "to")
         labels = written(labels.join(moved, "uid", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"), "labels")
-    return labels
+        round_ += 1
+        if round_ >= rounds and large:
+            before, cut = cut, _cut(labels, both)
+            if before is not None and cut >= before:
+                break
+    return _gather(labels, groups, capacity)
+
+
+def _cut(labels: DataFrame, both: DataFrame) -> int:
+    """Links (in both directions) between shards."""
+    at = labels.where("linked").select("uid", "shard")
+    return both.join(at.select(F.col("uid").alias("u"), F.col("shard").alias("a")), "u") \
+        .join(at.select(F.col("uid").alias("v"), F.col("shard").alias("b")), "v").where("a <> b").count()
+
+
+def _pack(sizes: dict[int, int], room: list[int]) -> tuple[list[tuple[int, int, int, int]], int]:
+    """Largest first, each into the shard with most room: (size, from, to, shard)
+    for ranks within a size, and how many groups found no room."""
+    room, plan, left = list(room), [], 0
+    for n, count in sorted(sizes.items(), reverse=True):
+        at = 0
+        for s in sorted(range(len(room)), key=lambda s: (-room[s], s)):
+            k = min(count - at, room[s] // n)
+            if k > 0:
+                plan.append((n, at, at + k, s))
+                room[s] -= k * n
+                at += k
+        left += count - at
+    return plan, left
+
+
+def _gather(labels: DataFrame, groups: DataFrame, capacity: list[int]) -> DataFrame:
+    """``labels`` with the split components that fit placed whole, under the
+    same counts. ``groups`` (uid, root) are the components of linked documents."""
+    spark, shards = labels.sparkSession, len(capacity)
+    linked = written(labels.where("linked").join(groups, "uid").select("uid", "root", "shard"), "linked")
+    sized = linked.groupBy("root").agg(F.count("*").alias("n"), (F.min("shard") != F.max("shard")).alias("split"))
+    sized = written(sized.withColumn("fits", F.col("n") <= max(capacity)).withColumn("uid", F.monotonically_increasing_id())
+                    .withColumn("part", F.shiftright("uid", 33)), "sized")
+    sizes, whole = {}, {}
+    for r in sized.where("fits").groupBy("n", "split").count().collect():  # distinct sizes grow with the root of the rows at most
+        (sizes if r["split"] else whole)[r["n"]] = r["count"]
+    if not sizes:
+        return labels
+    used = {r["shard"]: r["count"] for r in linked.join(sized.where("split and fits").select("root"), "root", "left_anti").groupBy("shard").count().collect()}
+    plan, left = _pack(sizes, [capacity[s] - used.get(s, 0) for s in range(shards)])
+    chosen = sized.where("fits and split")
+    if left:
+        every = {n: sizes.get(n, 0) + whole.get(n, 0) for n in {*sizes, *whole}}
+        fixed = {r["shard"]: r["count"] for r in linked.join(sized.where("fits").select("root"), "root", "left_anti").groupBy("shard").count().collect()}
+        anew, without = _pack(every, [capacity[s] - fixed.get(s, 0) for s in range(shards)])
+        if without < left:
+            plan, chosen = anew, sized.where("fits")
+    spans = F.broadcast(spark.createDataFrame(plan, "p_n long, low long, high long, to int"))
+    ranked = _rank(chosen.select("uid", "part", "root", "n"), "n")
+    placed = ranked.join(spans, (F.col("n") == F.col("p_n")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")), "left").select("root", "to")
+    moved = linked.join(placed.withColumn("chosen", F.lit(True)), "root", "left") \
+        .select("uid", "to", (F.col("chosen").isNotNull() & F.col("to").isNull()).alias("loose"))
+    labels = written(labels.join(moved, "uid", "left").withColumn("shard", F.coalesce("to", "shard"))
+                     .withColumn("filler", ~F.col("linked") | F.coalesce("loose", F.lit(False))).drop("to", "loose"), "labels")
+    # fillers (unlinked rows, and groups without room): as many as fit stay, the others go where rows are missing
+    full = {(r["filler"], r["shard"]): r["count"] for r in labels.groupBy("filler", "shard").count().collect()}
+    free = [full.get((True, s), 0) for s in range(shards)]
+    want = [capacity[s] - full.get((False, s), 0) for s in range(shards)]
+    spare, need, moves = [max(f - w, 0) for f, w in zip(free, want)], [max(w - f, 0) for f, w in zip(free, want)], []
+    for a in range(shards):
+        at = free[a] - spare[a]
+        for b in range(shards):
+            k = min(free[a] - at, need[b])
+            if k > 0:
+                moves.append((a, at, at + k, b))
+                need[b] -= k
+                at += k
+    if not moves:
+        return labels
+    spans = F.broadcast(spark.createDataFrame(moves, "p_shard int, low long, high long, to int"))
+    fill = _rank(labels.where("filler").select("uid", "part", "shard"), "shard")
+    moved = fill.join(spans, (F.col("shard") == F.col("p_shard")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).select("uid", "to")
+    return written(labels.join(moved, "uid", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"), "labels")
 
 
 def equal_text_edges(rows: DataFrame) -> DataFrame:

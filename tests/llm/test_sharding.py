@@ -34,6 +34,29 @@ def test_groups_come_together_and_counts_stay_even(spark):
     assert sum(len(p) > 1 for p in places.values()) <= 2
 
 
+def split_groups(got, rows):
+    text, places = {i: t for i, t, _, _ in rows}, collections.defaultdict(set)
+    for r in got:
+        places[text[r.doc_id]].add(r.shard)
+    return sum(len(p) > 1 for p in places.values())
+
+
+def test_no_group_that_fits_is_split(spark):
+    # adjacent pairs, nearly nothing unlinked: most are in neighbouring shards at first
+    rows = [(i, f"pair {i // 2}", "en", "a") for i in range(800)] + [(1000 + i, f"own {i}", "en", "a") for i in range(8)]
+    got = shard(frame(spark, rows)).collect()
+    check(got, rows, 8)
+    assert split_groups(got, rows) == 0
+
+
+def test_groups_of_many_sizes_without_unlinked_rows(spark):
+    sizes = [60, 45, 40, 33, 30, 21, 20, 18, 15, 12, 9, 8, 7] + [3] * 40 + [2] * 60
+    rows = [(k, t, "en", "a") for k, t in enumerate(f"group {g}" for g, n in enumerate(sizes) for _ in range(n))]
+    got = shard(frame(spark, rows), 4).collect()
+    check(got, rows, 4)
+    assert split_groups(got, rows) <= 1
+
+
 def test_edges_cut_less_than_at_random(spark):
     rng = random.Random(5)
     rows = [(i, f"unique {i}", "en", "a") for i in range(800)]
