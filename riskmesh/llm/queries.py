@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmesh.llm.oracle import ORACLE_SQL  # noqa: F401 - read by the entry point
 from riskmesh.llm.shared import ship
 
 
@@ -72,5 +73,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), window=35)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_line_dedup, op4_decontamination, op5_language_id, op6_html_text, op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.vector_codes import compress
+    return compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6) \
+        .select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_line_dedup, op4_decontamination, op5_language_id, op6_html_text,
+                                   op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup, op13_vector_codes)}
+
