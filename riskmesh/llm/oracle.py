@@ -36,4 +36,38 @@ def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     FROM coded JOIN kept USING (vec_id), digest"""
 
 
-ORACLE_SQL = {"op13_vector_codes": vector_codes()}
+FILL_IN_MIDDLE = """
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens,
+               sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+    h AS (SELECT *, len(tokens) AS n, ('0x' || digest[1:8])::BIGINT AS h1, ('0x' || digest[9:16])::BIGINT AS h2,
+          ('0x' || digest[17:24])::BIGINT AS h3, ('0x' || digest[25:32])::BIGINT AS h4 FROM t),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS one, greatest(h1 % (n + 1), h2 % (n + 1)) AS two,
+          CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+               WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    p AS (SELECT *, array_to_string(tokens[1:one], '') AS pre, array_to_string(tokens[one + 1:two], '') AS mid,
+          array_to_string(tokens[two + 1:n], '') AS suf FROM c)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                  ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p"""
+
+SUFFIX_DEDUP = """
+    WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+    w AS MATERIALIZED (SELECT r, p, md5(b[p:p + 199]) AS h
+                       FROM (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS p FROM t WHERE octet_length(b) >= 200)),
+    again AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+    hit AS (SELECT r, p, coalesce(p > lag(p) OVER (PARTITION BY r ORDER BY p) + 200, true) AS fresh FROM w SEMI JOIN again USING (h)),
+    runs AS (SELECT r, run, min(p) AS a, max(p) + 199 AS e
+             FROM (SELECT r, p, sum(fresh::INT) OVER (PARTITION BY r ORDER BY p) AS run FROM hit) GROUP BY r, run),
+    rest AS (SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS x, a - 1 AS y FROM runs
+             UNION ALL SELECT r, max(e) + 1, max(octet_length(b)) FROM runs JOIN t USING (r) GROUP BY r),
+    kept AS (SELECT r, sha256(unhex(string_agg(CASE WHEN x > y THEN '' ELSE hex(b[x:y]) END, '' ORDER BY x))) AS digest
+             FROM rest JOIN t USING (r) GROUP BY r),
+    removed AS (SELECT r, sum(e - a + 1) AS n, count(*) AS spans FROM runs GROUP BY r)
+    SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+           coalesce(digest, sha256(b)) AS kept_sha256
+    FROM t LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)"""
+
+ORACLE_SQL = {"op11_fill_in_middle": FILL_IN_MIDDLE, "op12_suffix_dedup": SUFFIX_DEDUP, "op13_vector_codes": vector_codes()}

@@ -73,6 +73,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), window=35)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.fill_in_middle import fill_in_middle, restore
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskmesh.llm.suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"), window=200) \
+        .select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskmesh.llm.vector_codes import compress
     return compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6) \
@@ -80,5 +93,5 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_line_dedup, op4_decontamination, op5_language_id, op6_html_text,
-                                   op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup, op13_vector_codes)}
+                                   op7_mixing, op8_ngram_join, op9_sharding, op10_substring_dedup, op11_fill_in_middle, op12_suffix_dedup, op13_vector_codes)}
 
