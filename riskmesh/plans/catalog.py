@@ -224,6 +224,38 @@ def _(L):
     return merge_partition_local(first, batch, "transaction_id", "transaction_date")
 
 
+STATE_SPLIT = "2024-01-18"           # ip state queries: day the second load starts (inside a week)
+
+
+def _two_loads(L: Layers):
+    """Sessions loaded twice (days before STATE_SPLIT, then the rest): after each
+    load the stored player sets of the days it touched are taken anew."""
+    import uuid
+    from riskmesh.operators.silver import slv_sessions
+    from riskmesh.plans.ip_state import IpState
+    from riskmesh.plans.upsert import incremental_build
+    from riskmesh.session import checkpoint_dir
+    from riskmesh.specs import SILVER
+    base = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-ip-state-{uuid.uuid4().hex}"
+    state, bronze = IpState(L.spark, f"{base}/state"), L.source("sessions")
+    for load in (bronze.where(F.col("dt") < F.lit(STATE_SPLIT).cast("date")), bronze):
+        done = incremental_build(L.spark, f"{base}/slv_sessions", load, SILVER["slv_sessions"], slv_sessions)
+        state.refresh(L.spark.read.parquet(f"{base}/slv_sessions"), done.days)
+    return state
+
+
+@query("ip_players_by_week")
+def _(L):
+    """Distinct players per IP and week, merged from the stored sets of its days."""
+    return _two_loads(L).players_per_ip(every="week")
+
+
+@query("ip_risk_from_state")
+def _(L):
+    """The shared-IP risk of every player from the stored sets after two loads."""
+    return _two_loads(L).risk()
+
+
 STREAM_SPLIT = "2024-02-01"          # streaming_micro_loads: day the second landing starts
 
 

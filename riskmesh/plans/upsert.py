@@ -83,6 +83,7 @@ class UpsertResult:
     mode: str                 # full | incremental | noop
     batch_rows: int
     touched_partitions: int
+    days: tuple | None = None  # the dates whose partitions were rewritten; None: all
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -131,7 +132,7 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
         # touched dates: bounded by the number of calendar days in one batch
         dates = [r[0] for r in batch.select(date_col).distinct().collect()]
         if not dates and not schema_changed:
-            return UpsertResult(target_path, "noop", 0, 0)
+            return UpsertResult(target_path, "noop", 0, 0, ())
         if not partition_local and not schema_changed:
             moved = target.join(batch.select(key).distinct(), key, "left_semi")
             dates = sorted(set(dates) | {r[0] for r in moved.select(date_col).distinct().collect()})
@@ -150,7 +151,7 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
         _delete(spark, stage)
     finally:
         batch.unpersist()
-    return UpsertResult(target_path, "incremental", -1, len(dates))
+    return UpsertResult(target_path, "incremental", -1, len(dates), None if schema_changed else tuple(sorted(dates)))
 
 
 def incremental_build(spark: SparkSession, target_path: str, bronze: DataFrame,

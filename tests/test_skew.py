@@ -76,3 +76,28 @@ def test_salted_join_spreads_hot_and_null_keys(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_only_hot_keys_are_copied(spark):
+    from riskmesh.operators.salting import SALTS, heavy_hitters, salted_sides
+    even = spark.range(20000).select(F.col("id").alias("player_id"), (F.col("id") % 5000).cast("string").alias("ip"))
+    one = even.groupBy("ip").agg(F.count("*").alias("n"))
+    left, right = salted_sides(even, one, "ip", ["player_id"])
+    assert right.count() == one.count() == 5000 and left.where("_salt <> 0").count() == 0
+    skewed = even.unionAll(spark.range(9000).select(F.col("id"), F.lit("proxy"))).unionAll(spark.range(2000).select(F.col("id"), F.lit(None).cast("string")))
+    one = skewed.where("ip is not null").groupBy("ip").agg(F.count("*").alias("n"))
+    left, right = salted_sides(skewed, one, "ip", ["player_id"])
+    assert right.count() == 5001 + SALTS - 1 and left.where("ip = 'proxy'").select("_salt").distinct().count() == SALTS
+    assert left.where("ip <> 'proxy' and _salt <> 0").count() == 0 and left.where("ip is null").select("_salt").distinct().count() > 1000
+    assert [r.ip for r in heavy_hitters(skewed, "ip").collect()] == ["proxy"]
+
+
+def test_heavy_hitters_miss_no_hot_key(spark):
+    from riskmesh.operators.salting import heavy_hitters
+    # 200 keys just above the share among many rare ones, over several tasks
+    n = 120_000
+    df = spark.range(n).select(F.when(F.col("id") % 2 == 0, (F.col("id") / 2 % 100).cast("int").cast("string"))
+                               .otherwise(F.concat(F.lit("r"), F.col("id").cast("string"))).alias("k")).repartition(13)
+    found = {r.k for r in heavy_hitters(df, "k").collect()}
+    assert {str(i) for i in range(100)} <= found and len(found) <= 512
+    assert heavy_hitters(df.limit(0), "k").count() == 0
