@@ -5,10 +5,13 @@ distinct word n-grams, and the components these links make.
    (thousands of copies cost one row from here on).
 2. Prefix filter under one global order. Two sets of that similarity must share
    one of the first n - ceil(t n) + 1 elements of either. The order puts a fixed
-   fifth of the hash space first, by document frequency (rare first, counted
-   exactly over all classes), and the rest after it, so frequencies are counted
-   for that fifth only. Classes whose prefix holds nothing shared are done.
-3. Classes that share a prefix element (and nearly a size) form neighbourhoods;
+   share of the hash space first, twice what a set may miss (a fifth at 90 percent),
+   by document frequency (rare first, counted exactly over all classes), and the
+   rest after it, so frequencies are counted for that share only.
+3. Elements that no class of a similar size has too are dropped from a set, and a
+   set that has lost more elements than it may miss is out. The sets that are left
+   are counted again, so sets go that only shared a passage with sets that went.
+   Classes that share a prefix element (and nearly a size) form neighbourhoods;
    every link lies inside one. Each is joined by a trie over its ordered sets:
    a set walks the trie adding up its overlap once for all sets below a node, and
    leaves a subtree whose remaining lengths cannot reach the required overlap.
@@ -37,10 +40,16 @@ from pyspark.sql import functions as F
 from riskmesh.llm.shared import bounded_broadcast, components, written
 from riskmesh.llm.words import Texts, _spans, grams, mix, texts
 
-FIRST_PART = np.uint64(int(0.2 * 2**64))
+PEELS = 2   # rounds of counting among the sets that are left
 BROADCAST_ROWS = 1_000_000
 
 
+def first_part(percent: int) -> int:
+    """Hashes below this come first in the order: twice the share of its elements
+    that a set may miss, so that sets with half of them unshared are recognised."""
+    return min((200 - 2 * percent) * 2**64 // 100, 2**64 - 1)
+
+
 def gram_sets(t: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct n-grams, ordered by row and hash."""
     hashes = t.hashes()
@@ -76,7 +85,7 @@ def _summaries(n: int, percent: int, id_column: str):
                 first = np.searchsorted(row, np.arange(t.n + 1))
                 size = np.diff(first)
                 prefix = size - _least_overlap(size, percent) + 1
-                head = np.bincount(row[key < FIRST_PART], minlength=t.n)
+                head = np.bincount(row[key < np.uint64(first_part(percent))], minlength=t.n)
                 keep = np.minimum(np.maximum(head, prefix), size)
                 rank = np.arange(len(key)) - first[row]
                 kept = key[rank < keep[row]]
@@ -227,6 +236,20 @@ def _joiner(percent: int):
     return join
 
 
+def _peeled(prefix: DataFrame) -> DataFrame:
+    """``prefix`` with the elements that a set of the same or a neighbouring size
+    class has too; sets that have too few of these left are dropped."""
+    each = prefix.select("cid", "c", F.explode("alive").alias("x"))
+    counted = each.where("x.part = 0")
+    near = counted.select(F.col("x.e").alias("e"), F.explode(F.array(F.col("c") - 1, F.col("c"), F.col("c") + 1)).alias("c")) \
+        .groupBy("e", "c").count().where("count > 1").select("e", "c")
+    near = written(near, "near")
+    stay = counted.withColumn("e", F.col("x.e")).join(near, ["e", "c"]).select("cid", "x").unionAll(each.where("x.part = 1").select("cid", "x"))
+    alive = stay.groupBy("cid").agg(F.sort_array(F.collect_list("x")).alias("alive"))
+    return prefix.drop("alive").join(alive, "cid").withColumn("own", F.col("heads") - F.size("alive")).where("need > own") \
+        .select(*prefix.columns)
+
+
 def similar(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "doc_id",
             block_elements: int = 3_000_000) -> DataFrame:
     """Per row of ``docs`` (``id_column``, text): ``n_shingles`` (set size),
@@ -239,35 +262,44 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "do
     classes = rows.where("n > 0").groupBy("cid").agg(F.min(F.struct(F.col(id_column).alias("least"), "text_hash")).alias("one"),
                                                      F.min(id_column).alias("least"), F.first("n").alias("n"), F.first("head").alias("head"))
     classes = written(classes.select("cid", F.col("one.least").alias("read_id"), F.col("one.text_hash").alias("text_hash"), "least", "n", "head"), "classes")
-    elements = classes.select("cid", F.explode("head").alias("e"))
-    frequent = elements.groupBy("e").count().where("count > 1")
-    shared = elements.join(frequent, "e").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("count", "e"))).alias("shared"))
-    need = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
-    single = F.size("head") - F.size("shared")
-    prefix = classes.select("cid", "n", "head", "read_id", "text_hash").join(shared, "cid") \
-        .withColumn("own", single).withColumn("take", F.greatest(need - single, F.lit(0))).where("take > 0")
-    prefix = written(prefix.select("cid", "n", "read_id", "text_hash", "own", F.slice("shared.e", F.lit(1), F.col("take")).alias("prefix")), "prefixes")
+    # hashes are unsigned, Spark's longs are signed
+    limit = first_part(percent)
+    first = (F.col("e") >= 0) & (F.col("e") < F.lit(limit)) if limit < 2**63 else (F.col("e") >= 0) | (F.col("e") < F.lit(limit - 2**64))
+    elements = classes.select("cid", F.explode("head").alias("e")).withColumn("first", first)
+    frequent = elements.where("first").groupBy("e").count().where("count > 1")
+    known = elements.where("first").join(frequent, "e").select("cid", F.struct(F.lit(0).alias("part"), F.col("count").alias("place"), "e").alias("x"))
+    rest = elements.where("not first").select("cid", F.struct(F.lit(1).alias("part"), F.col("e").bitwiseXOR(F.lit(-2**63)).alias("place"), "e").alias("x"))
+    alive = known.unionAll(rest).groupBy("cid").agg(F.sort_array(F.collect_list("x")).alias("alive"))
     # a set meets sets of its own and the neighbouring size class only
     step = 1.0001 * math.log(100 / percent) if percent < 100 else 1.0  # wider by a hair: logarithms are rounded
-    size_class = F.floor(F.log("n") / F.lit(step))
-    keyed = prefix.select("cid", F.explode("prefix").alias("e"), size_class.alias("c")) \
+    need = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
+    own = F.size("head") - F.size("alive")
+    prefix = classes.select("cid", "n", "head", "read_id", "text_hash").join(alive, "cid") \
+        .withColumn("own", own).withColumn("heads", F.size("head")).withColumn("need", need).where("need > own") \
+        .select("cid", "n", "read_id", "text_hash", "own", "heads", "need", "alive", F.floor(F.log("n") / F.lit(step)).alias("c"))
+    prefix = written(prefix, "prefixes")
+    for _ in range(PEELS):
+        prefix = written(_peeled(prefix), "prefixes")
+    prefix = prefix.withColumn("prefix", F.slice("alive.e", F.lit(1), F.col("need") - F.col("own")))
+    keyed = prefix.select("cid", F.explode("prefix").alias("e"), "c") \
         .select("cid", "e", F.explode(F.array("c", F.col("c") + 1)).alias("c"))
     keyed = keyed.select("cid", F.xxhash64("e", "c").alias("k"))
     stars = keyed.groupBy("k").agg(F.min("cid").alias("b"), F.max("cid").alias("other")).where("b <> other").select("k", "b")
     hoods = components(keyed.join(stars, "k").select(F.col("cid").alias("a"), "b"))
     hood = written(prefix.join(hoods.withColumnRenamed("id", "cid"), "cid")
                    .select("cid", F.col("root").alias("hood"), "n", "own", "read_id", "text_hash"), "hoods")
-    totals = hood.groupBy("hood").agg(F.ceil(F.sum("n") / F.lit(block_elements)).cast("int").alias("blocks"),
-                                      F.min_by("cid", F.struct(F.col("own") / F.col("n"), "cid")).alias("hub"))
+    large = hood.groupBy("hood").agg(F.ceil(F.sum("n") / F.lit(block_elements)).cast("int").alias("blocks"),
+                                     F.min_by("cid", F.struct(F.col("own") / F.col("n"), "cid")).alias("hub")).where("blocks > 1")
+    large = bounded_broadcast(written(large, "large-hoods"), BROADCAST_ROWS)
     read = bounded_broadcast(hood.select(F.col("text_hash").alias("_hash"), F.col("read_id").alias("_id"), "cid", "hood"), BROADCAST_ROWS)
     found = hashed.join(read, (F.col("text_hash") == F.col("_hash")) & F.col(id_column).eqNullSafe(F.col("_id")))
     sets = found.select("hood", "cid", "text").mapInArrow(_full_sets(n), "hood long, cid long, set array<long>")
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     each = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                        lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
     all_ = F.flatten(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                                  lambda i: F.transform(F.sequence(i, F.col("blocks") - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    sets = sets.join(totals, "hood").withColumn("own", own) \
+    sets = sets.join(large, "hood", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", block) \
         .withColumn("at", F.explode(F.when(F.col("cid") == F.col("hub"), all_).otherwise(each))) \
         .select("hood", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "cid", "set")
     sets = sets.repartition("hood", "i", "j").sortWithinPartitions("hood", "i", "j")
@@ -276,7 +308,7 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "do
     named = classes.select("cid", "least").join(labels.withColumnRenamed("id", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     named = written(named, "labels")
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
+    least = written(named.groupBy("root").agg(F.min("least").alias("component")), "least")
     named = named.join(least, "root").select(F.col("cid").alias("_cid"), "component")
     return rows.join(named, F.col("cid") == F.col("_cid"), "left").select(
         id_column, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col(id_column)).alias("component_id"))
