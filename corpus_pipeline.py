@@ -25,18 +25,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents whose sets of five-word shingles have a Jaccard
-    similarity of 0.8 or more the one with the smallest id stays."""
+    """Of each group of rows whose sets of five-word shingles have a Jaccard
+    similarity of 0.8 or more one row stays: the one with the smallest id (null
+    last). Rows without words are in no group and all stay."""
     ship(spark)
-    groups = similar(docs.select("doc_id", "text"), n=5, percent=80)
-    stay = written(groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")), "stay")
-    once = stay.where("_id is not null").groupBy("_id").count()
-    repeated = once.where("count > 1").limit(1).count() > 0
-    names = stay.distinct()
-    kept = docs.join(bounded_broadcast(names, BROADCAST_ROWS), docs["doc_id"].eqNullSafe(names["_id"]), "left_semi")
-    if repeated:  # rows that share an id are one document here
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionAll(kept.where("doc_id is null"))
-    return kept
+    row = F.xxhash64(*docs.columns)
+    rows = docs.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row.alias("row")).alias("id"), "text")
+    groups = similar(rows, n=5, percent=80, id_column="id")
+    stay = written(groups.where("n_shingles = 0 or component_id = id").select(F.col("id.row").alias("_row"), (F.col("n_shingles") > 0).alias("_words")), "stay")
+    names = bounded_broadcast(stay.select("_row").distinct(), BROADCAST_ROWS)
+    kept = docs.withColumn("_row", row).join(names, "_row", "left_semi")
+    again = written(stay.where("_words").groupBy("_row").count().where("count > 1").select("_row"), "again")
+    if again.limit(1).count():  # rows that are equal in all columns are one
+        again = bounded_broadcast(again, BROADCAST_ROWS)
+        kept = kept.join(again, "_row", "left_anti").unionByName(kept.join(again, "_row", "left_semi").dropDuplicates(["_row"]))
+    return kept.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
