@@ -258,25 +258,28 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "do
     hashed = docs.select(id_column, F.xxhash64("text").alias("text_hash"), "text")
     rows = hashed.mapInArrow(_summaries(n, percent, id_column),
                              f"{id_column} {id_type}, text_hash long, n long, s1 long, s2 long, head array<long>")
-    rows = written(rows.withColumn("cid", F.xxhash64("n", "s1", "s2")), "sets")
-    classes = rows.where("n > 0").groupBy("cid").agg(F.min(F.struct(F.col(id_column).alias("least"), "text_hash")).alias("one"),
-                                                     F.min(id_column).alias("least"), F.first("n").alias("n"), F.first("head").alias("head"))
-    classes = written(classes.select("cid", F.col("one.least").alias("read_id"), F.col("one.text_hash").alias("text_hash"), "least", "n", "head"), "classes")
+    # rid: a row that stands for its class; repeated rows share it
+    rows = written(rows.select(id_column, "n", F.xxhash64("n", "s1", "s2").alias("cid"), F.xxhash64(id_column, "text_hash").alias("rid"),
+                               F.size("head").alias("heads"), "head"), "sets")
+    classes = rows.where("n > 0").groupBy("cid").agg(F.min("rid").alias("rid"), F.min(id_column).alias("least"), F.first("n").alias("n"),
+                                                     F.first("heads").alias("heads"))
+    classes = written(classes, "classes")
     # hashes are unsigned, Spark's longs are signed
     limit = first_part(percent)
     first = (F.col("e") >= 0) & (F.col("e") < F.lit(limit)) if limit < 2**63 else (F.col("e") >= 0) | (F.col("e") < F.lit(limit - 2**64))
-    elements = classes.select("cid", F.explode("head").alias("e")).withColumn("first", first)
-    frequent = elements.where("first").groupBy("e").count().where("count > 1")
-    known = elements.where("first").join(frequent, "e").select("cid", F.struct(F.lit(0).alias("part"), F.col("count").alias("place"), "e").alias("x"))
+    ones = rows.where("n > 0").join(bounded_broadcast(classes.select("rid"), BROADCAST_ROWS), "rid", "left_semi")
+    elements = ones.select("cid", F.explode("head").alias("e")).withColumn("first", first)
+    frequent = written(elements.where("first").groupBy("e").count().where("count > 1"), "frequent")
+    known = elements.where("first").join(bounded_broadcast(frequent, BROADCAST_ROWS), "e").select("cid", F.struct(F.lit(0).alias("part"), F.col("count").alias("place"), "e").alias("x"))
     rest = elements.where("not first").select("cid", F.struct(F.lit(1).alias("part"), F.col("e").bitwiseXOR(F.lit(-2**63)).alias("place"), "e").alias("x"))
-    alive = known.unionAll(rest).groupBy("cid").agg(F.sort_array(F.collect_list("x")).alias("alive"))
+    alive = known.unionAll(rest).groupBy("cid").agg(F.sort_array(F.collect_set("x")).alias("alive"))
     # a set meets sets of its own and the neighbouring size class only
     step = 1.0001 * math.log(100 / percent) if percent < 100 else 1.0  # wider by a hair: logarithms are rounded
     need = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
-    own = F.size("head") - F.size("alive")
-    prefix = classes.select("cid", "n", "head", "read_id", "text_hash").join(alive, "cid") \
-        .withColumn("own", own).withColumn("heads", F.size("head")).withColumn("need", need).where("need > own") \
-        .select("cid", "n", "read_id", "text_hash", "own", "heads", "need", "alive", F.floor(F.log("n") / F.lit(step)).alias("c"))
+    own = F.col("heads") - F.size("alive")
+    prefix = classes.select("cid", "n", "heads", "rid").join(alive, "cid") \
+        .withColumn("own", own).withColumn("need", need).where("need > own") \
+        .select("cid", "n", "rid", "own", "heads", "need", "alive", F.floor(F.log("n") / F.lit(step)).alias("c"))
     prefix = written(prefix, "prefixes")
     for _ in range(PEELS):
         prefix = written(_peeled(prefix), "prefixes")
@@ -287,12 +290,12 @@ def similar(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "do
     stars = keyed.groupBy("k").agg(F.min("cid").alias("b"), F.max("cid").alias("other")).where("b <> other").select("k", "b")
     hoods = components(keyed.join(stars, "k").select(F.col("cid").alias("a"), "b"))
     hood = written(prefix.join(hoods.withColumnRenamed("id", "cid"), "cid")
-                   .select("cid", F.col("root").alias("hood"), "n", "own", "read_id", "text_hash"), "hoods")
+                   .select("cid", F.col("root").alias("hood"), "n", "own", "rid"), "hoods")
     large = hood.groupBy("hood").agg(F.ceil(F.sum("n") / F.lit(block_elements)).cast("int").alias("blocks"),
                                      F.min_by("cid", F.struct(F.col("own") / F.col("n"), "cid")).alias("hub")).where("blocks > 1")
     large = bounded_broadcast(written(large, "large-hoods"), BROADCAST_ROWS)
-    read = bounded_broadcast(hood.select(F.col("text_hash").alias("_hash"), F.col("read_id").alias("_id"), "cid", "hood"), BROADCAST_ROWS)
-    found = hashed.join(read, (F.col("text_hash") == F.col("_hash")) & F.col(id_column).eqNullSafe(F.col("_id")))
+    read = bounded_broadcast(hood.select("rid", "cid", "hood"), BROADCAST_ROWS)
+    found = hashed.select(F.xxhash64(id_column, "text_hash").alias("rid"), "text").join(read, "rid")
     sets = found.select("hood", "cid", "text").mapInArrow(_full_sets(n), "hood long, cid long, set array<long>")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     each = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
