@@ -22,6 +22,9 @@ from riskmesh.specs import ACCEPTED_TRANSACTION_TYPES, TYPED_COLUMNS
 
 Since = _dt.date | _dt.datetime | str | None
 
+# what makes a row the newest of its key, first column first
+NEWEST = {"slv_players": ["created_at", "dt"], "slv_sessions": ["session_at", "dt"], "slv_transactions": ["transaction_at", "dt"]}
+
 
 def castable(feed: str) -> Column:
     """TRUE when every typed column of the row is NULL or converts."""
@@ -67,8 +70,8 @@ def required(*names: str) -> Column:
     return cond
 
 
-def slv_players(bronze: DataFrame, *, as_of=None, since: Since = None,
-                strict: bool = True) -> DataFrame:
+def typed_players(bronze: DataFrame, *, as_of=None, since: Since = None, strict: bool = True) -> DataFrame:
+    """Filtered and typed players with their ``dt``, before the dedup."""
     email = normalize_email(F.col("email"))
     if not strict:
         bronze = bronze.where(castable("players"))
@@ -82,11 +85,16 @@ def slv_players(bronze: DataFrame, *, as_of=None, since: Since = None,
     )
     if since is not None:
         src = src.where(_since_filter(F.col("created_at"), F.col("dt"), since, "date"))
-    return dedup_latest(src, "player_id", ["created_at", "dt"]).drop("dt")
+    return src
 
 
-def slv_sessions(bronze: DataFrame, *, as_of=None, since: Since = None,
-                 strict: bool = True) -> DataFrame:
+def slv_players(bronze: DataFrame, *, as_of=None, since: Since = None,
+                strict: bool = True) -> DataFrame:
+    return dedup_latest(typed_players(bronze, as_of=as_of, since=since, strict=strict), "player_id", NEWEST["slv_players"]).drop("dt")
+
+
+def typed_sessions(bronze: DataFrame, *, as_of=None, since: Since = None, strict: bool = True) -> DataFrame:
+    """Filtered and typed sessions with their ``dt``, before the dedup."""
     at = _typed(F.col("timestamp"), "timestamp", strict)
     if not strict:
         bronze = bronze.where(castable("sessions"))
@@ -102,7 +110,12 @@ def slv_sessions(bronze: DataFrame, *, as_of=None, since: Since = None,
     )
     if since is not None:
         src = src.where(_since_filter(F.col("session_at"), F.col("dt"), since, "timestamp"))
-    return dedup_latest(src, "session_id", ["session_at", "dt"]).drop("dt")
+    return src
+
+
+def slv_sessions(bronze: DataFrame, *, as_of=None, since: Since = None,
+                 strict: bool = True) -> DataFrame:
+    return dedup_latest(typed_sessions(bronze, as_of=as_of, since=since, strict=strict), "session_id", NEWEST["slv_sessions"]).drop("dt")
 
 
 def transaction_measures(df: DataFrame) -> DataFrame:
@@ -123,10 +136,8 @@ def valid_transaction(type_col: Column, amount_col: Column, strict: bool = True)
     return F.lower(type_col).isin(*ACCEPTED_TRANSACTION_TYPES) & (amount >= 0)
 
 
-def slv_transactions(bronze: DataFrame, *, as_of=None, since: Since = None,
-                     strict: bool = True) -> DataFrame:
-    """Filters run *before* the dedup: an invalid newer duplicate does not hide
-    an older valid row."""
+def typed_transactions(bronze: DataFrame, *, as_of=None, since: Since = None, strict: bool = True) -> DataFrame:
+    """Valid, typed transactions with their ``dt``, before the dedup."""
     at = _typed(F.col("timestamp"), "timestamp", strict)
     if not strict:
         bronze = bronze.where(castable("transactions"))
@@ -143,8 +154,15 @@ def slv_transactions(bronze: DataFrame, *, as_of=None, since: Since = None,
     )
     if since is not None:
         src = src.where(_since_filter(F.col("transaction_at"), F.col("dt"), since, "timestamp"))
-    latest = dedup_latest(src, "transaction_id", ["transaction_at", "dt"]).drop("dt")
-    return transaction_measures(latest)
+    return src
+
+
+def slv_transactions(bronze: DataFrame, *, as_of=None, since: Since = None,
+                     strict: bool = True) -> DataFrame:
+    """Filters run *before* the dedup: an invalid newer duplicate does not hide
+    an older valid row."""
+    src = typed_transactions(bronze, as_of=as_of, since=since, strict=strict)
+    return transaction_measures(dedup_latest(src, "transaction_id", NEWEST["slv_transactions"]).drop("dt"))
 
 
 def slv_affiliate_cpa_ftd(bronze: DataFrame, *, as_of=None, strict: bool = True) -> DataFrame:

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmesh.functions import (
-    email_domain, event_date, money, normalize_email, normalize_lower, partition_date_text,
-    partition_range, strip_ws, surrogate_key, to_instant, word_initcap,
+    event_date, money, partition_date_text, partition_range, strip_ws, surrogate_key, to_instant,
+    word_initcap,
 )
-from riskmesh.operators import gold, quality, reports
+from riskmesh.operators import gold, quality, reports, silver
 from riskmesh.operators.dedup import dedup_latest
 from riskmesh.operators.silver import required
 from riskmesh.plans.upsert import merge_partition_local, watermark_of
@@ -64,13 +64,7 @@ def query(name: str):
 # ------------------------------------------------------------ typed sources
 def typed_sessions(L: Layers) -> DataFrame:
     """Source-data step of slv_sessions: filtered, typed, renamed; before dedup."""
-    b = L.source("sessions")
-    at = to_instant(F.col("timestamp"))
-    return b.where(required("session_id", "player_id", "timestamp")
-                   & partition_range(F.col("dt"))).select(
-        F.col("session_id"), F.col("player_id"), F.col("ip"),
-        normalize_lower(F.col("device")).alias("device"),
-        at.alias("session_at"), event_date(at).alias("session_date"), F.col("dt"))
+    return silver.typed_sessions(L.source("sessions"))
 
 
 def typed_transactions_unfiltered(L: Layers) -> DataFrame:
@@ -131,13 +125,7 @@ def _(L):
 @query("project_except")
 def _(L):
     """Typed players projection, then SELECT * EXCEPT(dt)."""
-    b = L.source("players")
-    email = normalize_email(F.col("email"))
-    typed = b.where(required("player_id") & partition_range(F.col("dt"))).select(
-        "player_id", email.alias("email"), email_domain(email).alias("email_domain"),
-        word_initcap(strip_ws(F.col("city"))).alias("city"),
-        F.col("created_at").cast("date").alias("created_at"), "dt")
-    return typed.drop("dt")
+    return silver.typed_players(L.source("players")).drop("dt")
 
 
 @query("conditional_measures")
@@ -282,6 +270,45 @@ def _(L):
         "player_id", "email", "email_domain", "city", "created_at")
 
 
+def _land_and_keep_latest(L: Layers, feed: str, source_format: str, batches) -> DataFrame:
+    """Each batch written as landing files, followed by one ``latest_load``."""
+    import uuid
+    from riskmesh.session import checkpoint_dir
+    from riskmesh.streaming import latest_load
+    base = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-latest-{uuid.uuid4().hex}"
+    target, end = f"{base}/silver", {"csv": "csv", "jsonl": "json"}[source_format]
+    for i, part in enumerate(batches):
+        out = part.drop("dt").write.mode("overwrite")
+        if source_format == "csv":
+            out.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{base}/landing/batch{i}")
+        else:
+            out.option("ignoreNullFields", False).json(f"{base}/landing/batch{i}")
+        latest_load(L.spark, f"{base}/landing/*/*.{end}", feed, target, f"{base}/progress", source_format=source_format)
+    return L.spark.read.parquet(target)
+
+
+@query("streaming_latest_sessions")
+def _(L):
+    """slv_sessions from the latest-row state after two landings of JSON Lines; the
+    second one also holds late rows (older versions of sessions, earlier days)."""
+    b = L.source("sessions")
+    late = F.crc32(F.concat_ws("|", "session_id", "device")) % 5 == 0
+    second = (F.col("dt") >= F.lit(STATE_SPLIT).cast("date")) | late
+    return _land_and_keep_latest(L, "sessions", "jsonl", (b.where(~second), b.where(second))) \
+        .select("session_id", "player_id", "ip", "device", "session_at", "session_date")
+
+
+@query("streaming_csv_players")
+def _(L):
+    """slv_players from the latest-row state after two landings of CSV files; the
+    second one also holds late rows, older versions and moved players included."""
+    b = L.source("players")
+    late = F.crc32(F.concat_ws("|", "player_id", "city")) % 5 == 0
+    second = (F.col("dt") >= F.lit(STREAM_SPLIT).cast("date")) | late
+    return _land_and_keep_latest(L, "players", "csv", (b.where(~second), b.where(second))) \
+        .select("player_id", "email", "email_domain", "city", "created_at")
+
+
 @query("duplicate_keys")
 def _(L):
     """Transaction ids with several valid typed rows before the dedup."""

@@ -84,7 +84,7 @@ class IpState:
     def refresh(self, sessions: DataFrame, days: Iterable[_dt.date] | None = None) -> None:
         """Take the sets of ``days`` (default: all) anew from ``sessions`` (player_id,
         ip, session_date). Of the sessions only these days are read."""
-        days = None if days is None else sorted(set(days))
+        days = None if days is None else sorted({d for d in days if d is not None})   # a session without a time has no day
         if days is not None:
             if not days:
                 return

@@ -25,7 +25,7 @@ from riskmesh.plans.upsert import _exists, incremental_build
 from riskmesh.session import configure
 from riskmesh.sources.ingest import LoadReport, ingest
 from riskmesh.sources.layers import Layers
-from riskmesh.specs import SILVER, THRESHOLDS, SignalThresholds
+from riskmesh.specs import ROWS_PER_FILE, SILVER, THRESHOLDS, SignalThresholds
 
 INCREMENTAL_MODELS = {
     "slv_players": ("players", silver.slv_players),
@@ -47,9 +47,6 @@ def with_comments(df: DataFrame, table: str) -> DataFrame:
     return df.select(*out)
 
 
-ROWS_PER_FILE = 5_000_000   # of bronze files; the single-feed job's default is the feed contract's
-
-
 @dataclass
 class RunReport:
     loads: dict[str, LoadReport] = field(default_factory=dict)

@@ -109,9 +109,13 @@ def _write(df: DataFrame, path: str, date_column: str, dynamic: bool) -> None:
 
 
 def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: SilverSpec,
-           partition_local: bool = True) -> UpsertResult:
+           partition_local: bool = True, days=None) -> UpsertResult:
     """Merge ``batch`` into the dataset at ``target_path``.
 
+    ``days``: with ``partition_local=False``, all dates under which the target may
+    hold older rows of the batch's keys, if the caller knows them; otherwise the
+    target's keys are searched for them.
+
     Only the partitions the batch touches are read and rewritten (dynamic
     partition overwrite). The merged partitions are first written to a
     staging folder under ``spark.checkpoint.dir`` and then swapped in, so the
@@ -133,10 +137,15 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
         dates = [r[0] for r in batch.select(date_col).distinct().collect()]
         if not dates and not schema_changed:
             return UpsertResult(target_path, "noop", 0, 0, ())
-        if not partition_local and not schema_changed:
+        if days is not None:
+            dates = list({*dates, *days})
+        elif not partition_local and not schema_changed:
             moved = target.join(batch.select(key).distinct(), key, "left_semi")
-            dates = sorted(set(dates) | {r[0] for r in moved.select(date_col).distinct().collect()})
-        scope = target if schema_changed else target.where(F.col(date_col).isin(dates))
+            dates = list({*dates, *(r[0] for r in moved.select(date_col).distinct().collect())})
+        touched = F.col(date_col).isin([d for d in dates if d is not None])
+        if None in dates:
+            touched = touched | F.col(date_col).isNull()
+        scope = target if schema_changed else target.where(touched)
         merged = merge_partition_local(scope, batch, key, date_col, partition_local)
         stage = f"{checkpoint_dir(spark).rstrip('/')}/riskmesh-upsert-{uuid.uuid4().hex}"
         _write(merged, stage, date_col, dynamic=False)
@@ -147,11 +156,11 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
             # touched partition whose last row moved away must be removed explicitly
             kept_dates = {r[0] for r in staged.select(date_col).distinct().collect()}
             for day in set(dates) - kept_dates:
-                _delete(spark, f"{target_path.rstrip('/')}/{date_col}={day}")
+                _delete(spark, f"{target_path.rstrip('/')}/{date_col}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
         _delete(spark, stage)
     finally:
         batch.unpersist()
-    return UpsertResult(target_path, "incremental", -1, len(dates), None if schema_changed else tuple(sorted(dates)))
+    return UpsertResult(target_path, "incremental", -1, len(dates), None if schema_changed else tuple(dates))
 
 
 def incremental_build(spark: SparkSession, target_path: str, bronze: DataFrame,

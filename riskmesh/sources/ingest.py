@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskmesh.functions import partition_date_text
-from riskmesh.specs import DEFAULT_ROWS_PER_FILE, FEEDS, FeedSpec
+from riskmesh.specs import FEEDS, ROWS_PER_FILE, FeedSpec
 
 _CORRUPT = "_corrupt_record"
 
@@ -208,7 +208,7 @@ def rebalanced_by(df: DataFrame, partition_column: str) -> DataFrame:
 
 
 def write_bronze(df: DataFrame, destination: str, feed: str,
-                 rows_per_file: int = DEFAULT_ROWS_PER_FILE, rows: int | None = None,
+                 rows_per_file: int = ROWS_PER_FILE, rows: int | None = None,
                  source_uri: str = "") -> LoadReport:
     """Replace the bronze table at ``destination`` with ``df`` (bronze layout).
 
@@ -252,7 +252,7 @@ def write_bronze(df: DataFrame, destination: str, feed: str,
 
 
 def ingest(spark: SparkSession, feed: str, source_uri: str, destination_uri: str,
-           source_format: str | None = None, rows_per_file: int = DEFAULT_ROWS_PER_FILE,
+           source_format: str | None = None, rows_per_file: int = ROWS_PER_FILE,
            ingest_date: _dt.date | None = None, multi_line: bool = True) -> LoadReport:
     """Landing file -> bronze dataset; returns the load report."""
     landing = read_landing(spark, source_uri, feed, source_format, multi_line)
@@ -271,7 +271,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--destination-uri")
     ap.add_argument("--staging-prefix", default="staging")
     ap.add_argument("--format")
-    ap.add_argument("--rows-per-file", type=int, default=DEFAULT_ROWS_PER_FILE)
+    ap.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
     ap.add_argument("--ingest-date")
     ap.add_argument("--splittable", action="store_true",
                     help="CSV without newlines inside quoted fields: split files into many tasks")

@@ -16,8 +16,9 @@ ACCEPTED_COUNTRIES = ("AR", "BR", "CL", "CO", "MX")
 PARTITION_FLOOR = "1900-01-01"
 # Default lower bound of the incremental watermark when the target is empty.
 WATERMARK_FLOOR = "1900-01-01"
-# Rows per output file written by the landing job.
-DEFAULT_ROWS_PER_FILE = 1000
+# Rows per output file written by the source's landing job, sized for a container
+# of 512 MB (give it as ``rows_per_file`` to get the same files).
+SOURCE_ROWS_PER_FILE = 1000
 # Signal thresholds (declared heuristics, calibratable):
 #   high withdraw:  withdraw > deposit * 1.5 and withdraw >= 500
 #   high bet:       bet >= deposit * 5 and bet >= 1000
@@ -25,6 +26,9 @@ DEFAULT_ROWS_PER_FILE = 1000
 #   many devices:   >= 4 distinct device types
 # --------------------------------------------------------------------------
 
+# Most rows of a bronze file, by default.
+ROWS_PER_FILE = 5_000_000
+
 
 @dataclass(frozen=True)
 class SignalThresholds:
