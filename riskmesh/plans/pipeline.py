@@ -72,7 +72,7 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
     for feed, path in (landing or {}).items():
         rep.loads[feed] = ingest(spark, feed, path, os.path.join(root, "bronze", feed),
                                  source_format=(formats or {}).get(feed), rows_per_file=rows_per_file,
-                                 ingest_date=ingest_date, multi_line=not splittable)
+                                 ingest_date=ingest_date, multi_line=False if splittable else None)
     layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
 
     def available(layer: str, names) -> set[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +82,24 @@ def build_session(master: str = "local[*]", app: str = "riskmesh",
     return configure(spark)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package (once a Spark context), so that
+    executors need no copy of the repository."""
+    context = spark.sparkContext
+    if getattr(context, "_riskmesh_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskmesh-ship-"), "riskmesh_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    context.addPyFile(archive)
+    context._riskmesh_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -13,6 +13,7 @@ half-replaced table; an empty input writes nothing and the old data stays.
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 import json
 from dataclasses import asdict, dataclass, field
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskmesh.functions import partition_date_text
+from riskmesh.sources.records import JSON_LEAD, checked_csv, cut_records
 from riskmesh.specs import FEEDS, ROWS_PER_FILE, FeedSpec
 
 _CORRUPT = "_corrupt_record"
@@ -61,13 +63,12 @@ def staging_uri(feed: str, prefix: str, destination_uri: str | None = None) -> s
 # ----------------------------------------------------------------- readers
 @dataclass
 class LandingFrame:
-    """Parsed landing rows: the spec's columns as strings, and a frame with one
-    presence flag per column (``_has_<col>``) for the required-column contract
-    (the same frame, unless presence needs its own pass)."""
+    """Parsed landing rows: the spec's columns as strings, and one presence flag
+    per column (``_has_<col>``) for the required-column contract."""
 
     df: DataFrame
     spec: FeedSpec
-    presence: DataFrame
+    scratch: str | None = None    # folder with the records; not needed once the rows are written
 
 
 CSV_OPTIONS = {"header": True, "escape": '"', "emptyValue": "", "encoding": "UTF-8", "mode": "PERMISSIVE",
@@ -109,40 +110,51 @@ def json_columns(raw: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, spec: FeedSpec,
-             multi_line: bool = True) -> LandingFrame:
+             multi_line: bool | None = None) -> LandingFrame:
     """Header row, UTF-8, comma, RFC quotes incl. embedded newlines.
 
-    ``multi_line`` (default, parity) allows newlines inside quoted fields,
-    which makes every file a single task; a large feed known to have none can
-    pass ``multi_line=False`` so each file splits into many tasks.
+    By default a file is cut into records by many tasks (``records.py``), quoted
+    newlines included; a quote inside a field that is not quoted is refused.
+    ``multi_line=True`` reads each file with Spark's multi-line reader, one task a
+    file, which is more lenient; ``multi_line=False`` is for feeds known to have no
+    newline in a field: lines are records, and nothing is written in between.
 
     The header decides which columns exist and where; all files of one landing
     must have the same header (another one is refused). Known gap: an empty
     field *inside* a short or long row cannot be told from a missing one and
     stays NULL. Extra columns are dropped.
     """
+    if multi_line is None:
+        cut, scratch = cut_records(spark, path, "csv")
+        headers = [r["text"] for r in cut.where("first").select("text").distinct().limit(2).collect()]
+        if len(headers) > 1:
+            raise ValueError(f"files with different headers: {headers}")
+        header = next(csv.reader([headers[0].removeprefix("\ufeff").removesuffix("\r")], strict=True), []) if headers else []
+        schema = csv_schema(header or ["_none"])
+        options = {k: str(v) for k, v in CSV_OPTIONS.items() if k not in ("header", "enforceSchema", "encoding")} | {"multiLine": "true"}
+        records = cut.where("not first").select("text").mapInArrow(checked_csv, "text string").where("text <> ''")
+        raw = records.select(F.from_csv("text", schema, options).alias("r")).select("r.*")
+        df = csv_columns(raw, spec, header)
+        return LandingFrame(df, spec, scratch)
     header = spark.read.option("header", True).option("multiLine", multi_line).csv(path).columns
     raw = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(csv_schema(header)).csv(path)
     df = csv_columns(raw, spec, header)
-    return LandingFrame(df, spec, df)
+    return LandingFrame(df, spec)
 
 
 def read_json(spark: SparkSession, path: str, spec: FeedSpec, lines: bool = False) -> LandingFrame:
-    """JSON Lines (splits freely), or a top-level array of flat objects, which is
-    parsed as a stream, one task per file. Arrays are read with a string schema
-    for the values and with VARIANT fields for key presence (a missing key is
-    SQL NULL, an explicit ``null`` a variant null)."""
+    """JSON Lines, or a top-level array of objects, cut into its objects by many
+    tasks (``records.py``). Values and key presence come from the same text."""
     if lines:
         df = json_columns(spark.read.text(path).where(F.trim("value") != ""), spec)
-        return LandingFrame(df, spec, df)
-    reader = spark.read.option("multiLine", True)
-    found = reader.schema(", ".join(f"`{c}` variant" for c in spec.columns)).json(path)
-    presence = found.select(*[F.col(f"`{c}`").isNotNull().alias(f"_has_{c}") for c in spec.columns])
-    return LandingFrame(reader.schema(spec.string_schema).json(path), spec, presence)
+        return LandingFrame(df, spec)
+    cut, scratch = cut_records(spark, path, "json")
+    df = json_columns(cut.select(F.regexp_replace("text", JSON_LEAD, "").alias("value")), spec)
+    return LandingFrame(df, spec, scratch)
 
 
 def read_landing(spark: SparkSession, path: str, feed: str,
-                 source_format: str | None = None, multi_line: bool = True) -> LandingFrame:
+                 source_format: str | None = None, multi_line: bool | None = None) -> LandingFrame:
     spec = FEEDS[feed]
     fmt = normalize_format(source_format or spec.default_format)
     if fmt == "csv":
@@ -178,16 +190,13 @@ def with_partition(df: DataFrame, spec: FeedSpec, ingest_date: _dt.date | None =
 
 def validate(landing: LandingFrame, ingest_date: _dt.date | None = None) -> tuple[DataFrame, int]:
     """Counts rows, rows missing each required column and rows without a valid
-    partition (one aggregate; arrays of JSON take a second one for presence). Raises before anything is written."""
+    partition (one aggregate). Raises before the table is written."""
     spec = landing.spec
     df = with_partition(landing.df, spec, ingest_date)
     rows = [F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col(spec.partition_column).isNull()).alias("bad_partition")]
     keys = [F.count_if(~F.col(f"_has_{c}")).alias(f"miss_{c}") for c in spec.columns]
-    if landing.presence is landing.df:
-        r = df.agg(*rows, *keys).first().asDict()
-    else:
-        r = df.agg(*rows).first().asDict() | landing.presence.agg(*keys).first().asDict()
+    r = df.agg(*rows, *keys).first().asDict()
     missing = [c for c in spec.columns if r[f"miss_{c}"]]
     if missing:
         raise MissingColumnsError(f"Missing required columns: {', '.join(missing)}")
@@ -199,6 +208,11 @@ def validate(landing: LandingFrame, ingest_date: _dt.date | None = None) -> tupl
     return bronze, int(r["rows"])
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def rebalanced_by(df: DataFrame, partition_column: str) -> DataFrame:
     """Shuffle for a partitioned write: rows of one partition value go to the
     same task (one file per day instead of one per input split and day), AQE
@@ -253,11 +267,15 @@ def write_bronze(df: DataFrame, destination: str, feed: str,
 
 def ingest(spark: SparkSession, feed: str, source_uri: str, destination_uri: str,
            source_format: str | None = None, rows_per_file: int = ROWS_PER_FILE,
-           ingest_date: _dt.date | None = None, multi_line: bool = True) -> LoadReport:
+           ingest_date: _dt.date | None = None, multi_line: bool | None = None) -> LoadReport:
     """Landing file -> bronze dataset; returns the load report."""
     landing = read_landing(spark, source_uri, feed, source_format, multi_line)
-    bronze, rows = validate(landing, ingest_date)
-    return write_bronze(bronze, destination_uri, feed, rows_per_file, rows, source_uri)
+    try:
+        bronze, rows = validate(landing, ingest_date)
+        return write_bronze(bronze, destination_uri, feed, rows_per_file, rows, source_uri)
+    finally:
+        if landing.scratch:
+            delete_folder(spark, landing.scratch)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -281,7 +299,7 @@ def main(argv: list[str] | None = None) -> None:
                     staging_uri(a.table, a.staging_prefix, a.destination_uri), a.format,
                     a.rows_per_file,
                     _dt.date.fromisoformat(a.ingest_date) if a.ingest_date else None,
-                    multi_line=not a.splittable)
+                    multi_line=False if a.splittable else None)
     print(report.to_json())
 
 

@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 from riskmesh.operators import silver
 from riskmesh.operators.dedup import latest_by_aggregate
 from riskmesh.plans.upsert import incremental_build, upsert
+from riskmesh.session import ship
 from riskmesh.sources.bronze import read_bronze
 from riskmesh.sources.ingest import (
     CSV_OPTIONS, csv_columns, csv_schema, ingest, json_columns, normalize_format, with_partition,
 )
+from riskmesh.sources.records import json_objects
 from riskmesh.specs import FEEDS, ROWS_PER_FILE, SILVER
 
 MODELS = {
@@ -57,8 +59,7 @@ TYPED = {
 def _stream(spark: SparkSession, landing_dir: str, feed: str, source_format: str | None) -> DataFrame:
     """The feed's columns and presence flags, by the parsers of the batch job.
     A CSV header other than the feed's columns in their order is refused. A file
-    with a JSON array is read whole (landing files of micro-loads are small), and
-    its numbers come without trailing zeros."""
+    with a JSON array is read whole (landing files of micro-loads are small)."""
     spec = FEEDS[feed]
     fmt = normalize_format(source_format or spec.default_format)
     if fmt == "csv":
@@ -66,7 +67,8 @@ def _stream(spark: SparkSession, landing_dir: str, feed: str, source_format: str
         return csv_columns(raw, spec, spec.columns)
     raw = spark.readStream.text(landing_dir, wholetext=fmt == "json")
     if fmt == "json":
-        raw = raw.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+        ship(spark)
+        raw = raw.mapInArrow(json_objects, "value string")
     return json_columns(raw.where(F.trim("value") != ""), spec)
 
 
