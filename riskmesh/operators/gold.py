@@ -16,9 +16,10 @@ from riskmesh.specs import THRESHOLDS, SignalThresholds
 
 
 # ---------------------------------------------------------------- financial
-def financial_aggregates(tx: DataFrame) -> DataFrame:
-    """Per-player counts, totals and last transaction, one partial+final aggregate."""
-    return tx.groupBy("player_id").agg(
+def financial_aggregates(tx: DataFrame, *also_by: str) -> DataFrame:
+    """Per-player counts, totals and last transaction, one partial+final aggregate
+    (``also_by``: further columns of the grain, such as the day)."""
+    return tx.groupBy("player_id", *also_by).agg(
         F.count(F.lit(1)).alias("transaction_count"),
         F.count_if(F.col("transaction_type") == "deposit").alias("deposit_count"),
         F.count_if(F.col("transaction_type") == "withdraw").alias("withdraw_count"),
@@ -30,6 +31,14 @@ def financial_aggregates(tx: DataFrame) -> DataFrame:
     )
 
 
+def merged_financial(parts: DataFrame) -> DataFrame:
+    """``financial_aggregates`` of all rows from those of parts of them (days)."""
+    sums = ("transaction_count", "deposit_count", "withdraw_count", "bet_count",
+            "total_deposit_amount", "total_withdraw_amount", "total_bet_amount")
+    return parts.groupBy("player_id").agg(*[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in sums],
+                                          F.max("last_transaction_at").alias("last_transaction_at"))
+
+
 def transaction_type_counts(tx: DataFrame) -> DataFrame:
     """Per-player transaction counts by type (the unused sums are pruned)."""
     return financial_aggregates(tx).select("player_id", "transaction_count", "deposit_count",
@@ -45,7 +54,11 @@ def high_bet(bet, deposit, t: SignalThresholds = THRESHOLDS):
 
 
 def gold_financial_signals(tx: DataFrame, t: SignalThresholds = THRESHOLDS) -> DataFrame:
-    a = financial_aggregates(tx)
+    return financial_signals(financial_aggregates(tx), t)
+
+
+def financial_signals(a: DataFrame, t: SignalThresholds = THRESHOLDS) -> DataFrame:
+    """The financial mart from per-player aggregates."""
     d, w, b = F.col("total_deposit_amount"), F.col("total_withdraw_amount"), F.col("total_bet_amount")
     return a.select(
         "player_id", "transaction_count", "deposit_count", "withdraw_count", "bet_count",
@@ -91,19 +104,25 @@ def affiliate_risk(aff: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- sessions
-def player_ip_pairs(sessions: DataFrame) -> DataFrame:
-    """(player, ip) groups with their session count and last session.
+def player_ip_pairs(sessions: DataFrame, *also_by: str) -> DataFrame:
+    """(player, ip) groups with their session count and last session (``also_by``:
+    further columns of the grain, such as the day).
 
     Session counts, distinct IPs and the shared-IP risk are all derived from
     this pre-aggregate; a proxy IP carrying a third of all sessions is reduced
     map-side to one row per (player, ip) before anything is shuffled by IP.
     """
-    return sessions.groupBy("player_id", "ip").agg(
+    return sessions.groupBy("player_id", "ip", *also_by).agg(
         F.count(F.lit(1)).alias("sessions"),
         F.max("session_at").alias("last_session_at"),
     )
 
 
+def merged_pairs(parts: DataFrame) -> DataFrame:
+    """``player_ip_pairs`` of all sessions from those of parts of them (days)."""
+    return parts.groupBy("player_id", "ip").agg(F.sum("sessions").alias("sessions"), F.max("last_session_at").alias("last_session_at"))
+
+
 def ip_player_counts(sessions: DataFrame) -> DataFrame:
     """Distinct players per (non-null) IP."""
     pairs = player_ip_pairs(sessions).where(F.col("ip").isNotNull())
@@ -119,7 +138,11 @@ def session_behaviour(sessions: DataFrame) -> DataFrame:
     hot IP is spread over several tasks. NULL IPs keep their sessions, never
     match, and are spread by player.
     """
-    pairs = player_ip_pairs(sessions)
+    return behaviour_of_pairs(player_ip_pairs(sessions))
+
+
+def behaviour_of_pairs(pairs: DataFrame) -> DataFrame:
+    """``session_behaviour`` from the (player, ip) pre-aggregate."""
     per_ip = (pairs.where(F.col("ip").isNotNull()).groupBy("ip")
               .agg(F.count(F.lit(1)).alias("player_count")))
     return (salted_join(pairs, per_ip, "ip", "left", ["player_id"]).groupBy("player_id").agg(
@@ -140,7 +163,12 @@ def ip_risk(sessions: DataFrame) -> DataFrame:
 def device_counts(sessions: DataFrame) -> DataFrame:
     """Distinct non-null device types per player (distinct pairs first, so a
     player with a third of all sessions is reduced map-side)."""
-    return (sessions.where(F.col("device").isNotNull()).select("player_id", "device").distinct()
+    return devices_of_pairs(sessions.select("player_id", "device"))
+
+
+def devices_of_pairs(pairs: DataFrame) -> DataFrame:
+    """``device_counts`` from (player, device) rows, repeated or not."""
+    return (pairs.where(F.col("device").isNotNull()).select("player_id", "device").distinct()
             .groupBy("player_id").agg(F.count(F.lit(1)).alias("distinct_device_count")))
 
 
@@ -162,9 +190,12 @@ def gold_fraud_overview(players: DataFrame, sessions: DataFrame, financial: Data
     Activity of players absent from ``players`` is dropped. Unmatched sides
     become 0 / FALSE; ratios coalesce to 0 while flags keep their own value.
     """
-    behaviour = session_behaviour(sessions)
-    device_df = device_counts(sessions)
-    ar = affiliate_risk(aff)
+    return overview_of(players, session_behaviour(sessions), device_counts(sessions), financial, affiliate_risk(aff), t)
+
+
+def overview_of(players: DataFrame, behaviour: DataFrame, device_df: DataFrame, financial: DataFrame, ar: DataFrame,
+                t: SignalThresholds = THRESHOLDS) -> DataFrame:
+    """The overview from sides that have one row per player."""
     fin = financial.select("player_id", "transaction_count", "total_deposit_amount",
                            "total_withdraw_amount", "total_bet_amount",
                            "withdraw_to_deposit_ratio", "bet_to_deposit_ratio",

@@ -244,6 +244,22 @@ def _(L):
     return _two_loads(L).risk()
 
 
+@query("gold_overview_from_state")
+def _(L):
+    """gold_fraud_overview finished from partial aggregates per day that two loads
+    left behind: all earlier days, then the days of the second load alone."""
+    import uuid
+    from riskmesh.plans.gold_state import GoldState
+    from riskmesh.session import checkpoint_dir
+    state = GoldState(L.spark, f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-gold-state-{uuid.uuid4().hex}")
+    for refresh, model, day, split in ((state.refresh_sessions, "slv_sessions", "session_date", STATE_SPLIT),
+                                       (state.refresh_transactions, "slv_transactions", "transaction_date", FIRST_LOAD_BEFORE)):
+        silver_rows, later = L.ref(model), F.col(day) >= F.lit(split).cast("date")
+        refresh(silver_rows.where(~later))
+        refresh(silver_rows, [r[0] for r in silver_rows.where(later).select(day).distinct().collect()])   # calendar days
+    return state.fraud_overview(L.ref("slv_players"), L.ref("slv_affiliate_cpa_ftd"))
+
+
 STREAM_SPLIT = "2024-02-01"          # streaming_micro_loads: day the second landing starts
 
 

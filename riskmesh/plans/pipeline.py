@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from riskmesh import descriptions
 from riskmesh.operators import gold, quality, silver
+from riskmesh.plans.gold_state import GoldState
 from riskmesh.plans.upsert import _exists, incremental_build
 from riskmesh.session import configure
 from riskmesh.sources.ingest import LoadReport, ingest
@@ -52,6 +53,7 @@ class RunReport:
     loads: dict[str, LoadReport] = field(default_factory=dict)
     models: dict[str, str] = field(default_factory=dict)
     checks: dict[str, list] = field(default_factory=dict)
+    refreshed_days: dict[str, int] = field(default_factory=dict)   # of the gold state, per silver table
 
 
 def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
@@ -59,13 +61,16 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
         thresholds: SignalThresholds = THRESHOLDS, ingest_date: _dt.date | None = None,
         partition_local: bool = True, gate: bool = True,
         freshness_max_age_days: int | None = None, formats: dict[str, str] | None = None,
-        splittable: bool = False, rows_per_file: int = ROWS_PER_FILE) -> RunReport:
+        splittable: bool = False, rows_per_file: int = ROWS_PER_FILE, incremental_gold: bool = False) -> RunReport:
     """One pipeline run over the warehouse folder ``root``
     (``bronze/``, ``silver/``, ``gold/``). ``formats`` overrides a feed's landing
     format, ``splittable`` says that no CSV field holds a newline (many tasks a
     file), ``rows_per_file`` bounds bronze files. ``freshness_max_age_days`` turns on
     the source-freshness check of the incremental silver tables (off by
-    default: no threshold is declared); a stale table fails the gate."""
+    default: no threshold is declared); a stale table fails the gate.
+    ``incremental_gold`` keeps partial aggregates per day under ``root/state`` and
+    finishes the financial mart and the overview from them, reading only the silver
+    days that changed since the last run."""
     configure(spark)
     rep = RunReport()
     as_of_s = str(as_of) if as_of else _dt.datetime.now(_dt.timezone.utc).date().isoformat()
@@ -135,8 +140,11 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
     def skip(name: str) -> None:
         rep.models[name] = "skipped: missing input"
 
+    state = GoldState(spark, os.path.join(root, "state")) if incremental_gold else None
+    if state:
+        rep.refreshed_days = state.refresh(os.path.join(root, "silver"))
     if "slv_transactions" in silver_present:
-        write_gold("gold_financial_signals",
+        write_gold("gold_financial_signals", state.financial_signals(thresholds) if state else
                    gold.gold_financial_signals(silver_layers.ref("slv_transactions"), thresholds))
     else:
         skip("gold_financial_signals")
@@ -147,10 +155,9 @@ def run(spark: SparkSession, root: str, landing: dict[str, str] | None = None,
         skip("gold_affiliate_metrics")
     if silver_present >= set(SILVER) and rep.models.get("gold_financial_signals") == "full":
         gold_layers = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
-        write_gold("gold_fraud_overview", gold.gold_fraud_overview(
-            gold_layers.ref("slv_players"), gold_layers.ref("slv_sessions"),
-            gold_layers.ref("gold_financial_signals"), gold_layers.ref("slv_affiliate_cpa_ftd"),
-            thresholds))
+        players, financial, affiliates = (gold_layers.ref(n) for n in ("slv_players", "gold_financial_signals", "slv_affiliate_cpa_ftd"))
+        write_gold("gold_fraud_overview", state.fraud_overview(players, affiliates, financial, thresholds) if state else
+                   gold.gold_fraud_overview(players, gold_layers.ref("slv_sessions"), financial, affiliates, thresholds))
     else:
         skip("gold_fraud_overview")
     final = Layers.from_warehouse(spark, root, as_of=as_of_s, thresholds=thresholds)
@@ -188,6 +195,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of")
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--no-gate", action="store_true")
+    ap.add_argument("--incremental-gold", action="store_true", help="finish the marts from stored partial aggregates per day")
     ap.add_argument("--freshness-max-age-days", type=int)
     a = ap.parse_args(argv)
     spark = build_session()
@@ -196,7 +204,8 @@ def main(argv: list[str] | None = None) -> None:
     landing = dict(x.split("=", 1) for x in a.landing)
     rep = run(spark, a.root, landing or None, as_of=a.as_of, full_refresh=a.full_refresh,
               gate=not a.no_gate, freshness_max_age_days=a.freshness_max_age_days,
-              formats=dict(x.split("=", 1) for x in a.format), splittable=a.splittable, rows_per_file=a.rows_per_file)
+              formats=dict(x.split("=", 1) for x in a.format), splittable=a.splittable, rows_per_file=a.rows_per_file,
+              incremental_gold=a.incremental_gold)
     print(json.dumps({"models": rep.models, "checks": rep.checks,
                       "loads": {k: v.rows_written for k, v in rep.loads.items()}}, default=str))
 
