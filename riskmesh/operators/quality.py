@@ -172,19 +172,15 @@ def _as_rows(counts: DataFrame, named: list[tuple[str, str]]) -> DataFrame:
     return counts.select(stack.alias("r")).select("r.*")
 
 
-_KEY = "array<string>"
-
-
 def summary(checks: Sequence[Check], relation) -> DataFrame:
     """(check_name, table_name, failing_rows) for every check of a suite.
 
-    Row and group checks (not_null, row_filter, unique, accepted_values,
-    unique_combination) of *all* tables share one aggregate: every table is
-    scanned once and each row emits one ``(check, key)`` record per check it
-    takes part in (a failing row of a row-level check with an empty key, or a
-    candidate key of a group check); the records are counted per
-    ``(check, key)`` with partial aggregation first, so a hot key is combined
-    map-side, and every count is read from that aggregate.
+    Row-level checks (not_null, row_filter) are conditional counts in one global
+    aggregate per table. Group checks (unique, accepted_values, unique_combination)
+    of *all* tables share one aggregate: each row emits one ``(check, key)`` record
+    per check it takes part in; the records are counted per ``(check, key)`` with
+    partial aggregation first, so a hot key is combined map-side, and every count is
+    read from that aggregate.
     Relationships checks are grouped by parent: the children's keys are
     pre-aggregated to ``(check, key, rows)`` and anti-joined once with the
     parent's distinct keys. Counts follow the checks' own queries: NULL / bad
@@ -197,19 +193,19 @@ def summary(checks: Sequence[Check], relation) -> DataFrame:
         if c.kind not in known:
             raise ValueError(f"unknown check kind {c.kind}")
     parts: list[DataFrame] = []
-    empty_key = F.array().cast(_KEY)
-
-    def rec(i: int, cond: Column, key: Column) -> Column:
-        return F.when(cond, F.struct(F.lit(i).alias("check"), key.alias("key")))
+    per_row: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.kind in ("not_null", "row_filter"):
+            per_row.setdefault(c.table, []).append(c)
+    for table_name, mine in per_row.items():
+        counts = relation(table_name).agg(*[F.count_if(_row_level_failure(c)).alias(f"c{k}") for k, c in enumerate(mine)])
+        parts.append(_as_rows(counts, [(c.name, c.table) for c in mine]))
 
-    local = [(i, c) for i, c in enumerate(checks) if c.kind != "relationships"]
+    grouped = [(i, c) for i, c in enumerate(checks) if c.kind in ("unique", "accepted_values", "unique_combination")]
     per_table: dict[str, list[Column]] = {}
-    for i, c in local:
-        if c.kind in ("not_null", "row_filter"):
-            r = rec(i, _row_level_failure(c), empty_key)
-        else:
-            r = rec(i, _candidate(c), F.array(*[F.col(x).cast("string") for x in _group_columns(c)]))
-        per_table.setdefault(c.table, []).append(r)
+    for i, c in grouped:
+        key = F.array(*[F.col(x).cast("string") for x in _group_columns(c)])
+        per_table.setdefault(c.table, []).append(F.when(_candidate(c), F.struct(F.lit(i).alias("check"), key.alias("key"))))
     if per_table:
         records = None
         for table_name, recs in per_table.items():
@@ -219,16 +215,12 @@ def summary(checks: Sequence[Check], relation) -> DataFrame:
             records = stream if records is None else records.unionByName(stream)
         groups = records.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
         aggs = []
-        for i, c in local:
-            mine = F.col("check") == i
-            if c.kind in ("not_null", "row_filter"):
-                a = F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
-            elif c.kind == "accepted_values":
-                a = F.count_if(mine)
-            else:
-                a = F.count_if(mine & (F.col("n") > 1))
-            aggs.append(a.alias(f"c{len(aggs)}"))
-        parts.append(_as_rows(groups.agg(*aggs), [(c.name, c.table) for _, c in local]))
+        for k, (i, c) in enumerate(grouped):
+            found = F.col("check") == i
+            if c.kind != "accepted_values":
+                found = found & (F.col("n") > 1)
+            aggs.append(F.count_if(found).alias(f"c{k}"))
+        parts.append(_as_rows(groups.agg(*aggs), [(c.name, c.table) for _, c in grouped]))
 
     by_parent: dict[tuple[str, str], list[Check]] = {}
     for c in checks:

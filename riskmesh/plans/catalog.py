@@ -416,7 +416,6 @@ def _(L):
 
 @query("layer_row_counts")
 def _(L):
-    L = L.written()
     rel = {("bronze", f): L.source(f) for f in FEEDS}
     rel.update({("silver", m): L.ref(m) for m in
                 ("slv_players", "slv_sessions", "slv_transactions", "slv_affiliate_cpa_ftd")})
@@ -612,7 +611,6 @@ def _(L):
 # ------------------------------------------------------------ RPT
 @query("signal_validation_counts")
 def _(L):
-    L = L.written()
     return reports.signal_validation_counts(L.ref("slv_players"), L.ref("slv_transactions"),
                                             L.ref("slv_affiliate_cpa_ftd"),
                                             L.ref("gold_fraud_overview"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,18 +78,23 @@ class Layers:
 
         return cls(spark, bronze, model, as_of=as_of, **kw)
 
-    def written(self) -> "Layers":
-        """The same relations, each computed once: a feed or model is written
-        to the shared folder when it is first used and read from there."""
+    def written(self, names=MODEL_ORDER) -> "Layers":
+        """The same relations with the models ``names`` computed once, for queries
+        that read them several times: they are written to the shared folder and read
+        from there. Models that do not depend on each other are written at the same
+        time; feeds are plain projections and stay as they are."""
         base = f"{checkpoint_dir(self.spark).rstrip('/')}/riskmesh-layers-{uuid.uuid4().hex}"
+        done: dict[str, DataFrame] = {}
+        out = Layers(self.spark, self.source, done.get, as_of=self.as_of, thresholds=self.thresholds)
 
-        def once(name: str, df: DataFrame) -> DataFrame:
-            path = f"{base}/{name}"
-            df.write.parquet(path)
-            return self.spark.read.schema(df.schema).parquet(path)
+        def once(name: str) -> tuple[str, DataFrame]:
+            df = out.build(name)
+            df.write.parquet(f"{base}/{name}")
+            return name, self.spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
-        out = Layers(self.spark, lambda feed: once(feed, self.source(feed)), lambda name: once(name, out.build(name)),
-                     as_of=self.as_of, thresholds=self.thresholds)
+        for layer in (SILVER_MODELS, ("gold_financial_signals", "gold_affiliate_metrics"), ("gold_fraud_overview",)):
+            with ThreadPoolExecutor(len(layer)) as pool:     # each thread only waits for its Spark job
+                done.update(pool.map(once, [n for n in layer if n in names]))
         return out
 
     # -- relations
