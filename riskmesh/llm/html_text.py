@@ -1,13 +1,17 @@
 """Main text of HTML pages by two-pass block rules.
 
 A page is cut into blocks at block-level tags. First pass: a block that is
-structurally not content (menu, footer, sidebar, form, advert, notice, comment
-section), mostly link text, or marked by a copyright sign is boilerplate; a long
-block dense in stop words is content; a long block without them is boilerplate
-outside an article and undecided inside one; short blocks are undecided. Second
+structurally not content (menu, footer, sidebar, advert, notice, comment section),
+mostly link text, or marked by a copyright sign is boilerplate; a long block dense
+in stop words is content; a long block without them is boilerplate outside an
+article and undecided inside one, but content where no block of the page has them
+(another language); short blocks are undecided. Class and id names and forms are
+evidence only: a name counts by its head word ("related-work" is work) and not
+after a negation ("no-sidebar"), and an element that holds most of the page's text
+outside links, with no article beside it, is not boilerplate for its name. Second
 pass: an undecided block takes the label of the nearest decided block of its own
 section, else of the page (nearest in blocks; a tie goes to content inside an
-article, else to boilerplate); with no decided block there, undecided
+article, to the block that follows for a heading, else to boilerplate); with no decided block there, undecided
 blocks are content.
 
 Character references are decoded, white space inside a block becomes one space,
@@ -21,6 +25,7 @@ equal rows; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -41,7 +46,8 @@ BLOCKS = frozenset((
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul"
 ).split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside menu dialog".split())
+FORM_TAGS = frozenset(("form", "fieldset"))
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 # parts of class and id names
 BOILERPLATE_NAMES = frozenset((
@@ -50,7 +56,11 @@ BOILERPLATE_NAMES = frozenset((
     "navigation breadcrumb breadcrumbs footer share sharing social related recommended widget toolbar pagination pager copyright disclaimer legal"
 ).split())
 HEADER_NAMES = frozenset("header masthead topbar".split())
-SECTIONS = BOILERPLATE_TAGS | {"article", "main", "section", "header", "body"}
+COMMENT_NAMES = frozenset("comment comments commentlist disqus respond replies".split())
+NEGATIONS = frozenset("no not non has with without is if hide toggle".split())
+# words behind the head word of a name
+TAIL_WORDS = frozenset("left right top bottom inner outer wrapper wrap container box section area list block holder content item items bar main primary secondary posts articles links stories".split())
+SECTIONS = BOILERPLATE_TAGS | FORM_TAGS | {"article", "main", "section", "header", "body"}
 ARTICLE = frozenset(("article", "main"))
 
 TOKEN = re.compile(
@@ -63,29 +73,70 @@ NAME_PARTS = re.compile(r"[a-z]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 CONTENT, UNDECIDED, BOILERPLATE = 1, 0, -1
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+HARD, SOFT, COMMENTS = 3, 1, 2      # boilerplate whatever it holds; unless it holds most text; or nearly all
+MOST = {SOFT: 0.5, COMMENTS: 0.9}
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _named(value: str, in_article: bool) -> int:
+    """What a class or id value says: SOFT, COMMENTS or 0. Of each name the head
+    word counts (the last one but for words of place), unless it is negated."""
+    worst = 0
+    for name in value.split():
+        words = NAME_PARTS.findall(name)
+        while len(words) > 1 and words[-1] in TAIL_WORDS:
+            words.pop()
+        if not words or NEGATIONS & set(words[:-1]):
+            continue
+        if words[-1] in COMMENT_NAMES:
+            worst = max(worst, COMMENTS)
+        elif words[-1] in BOILERPLATE_NAMES or (not in_article and words[-1] in HEADER_NAMES):
+            worst = max(worst, SOFT)
+    return worst
+
+
+def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
+    """HARD, SOFT, COMMENTS or 0 for an element."""
     if tag in BOILERPLATE_TAGS or (tag == "header" and not in_article):
-        return True
+        return HARD
+    worst = SOFT if tag in FORM_TAGS else 0
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return worst
     for name, *values in ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         if name.lower() == "role":
             if value in BOILERPLATE_ROLES:
-                return True
+                return HARD if value != "form" else max(worst, SOFT)
         else:
-            parts = set(NAME_PARTS.findall(value))
-            if parts & BOILERPLATE_NAMES or (not in_article and parts & HEADER_NAMES):
-                return True
-    return bool(HIDDEN.search(attributes))
+            worst = max(worst, _named(value, in_article))
+    return HARD if HIDDEN.search(attributes) else worst
+
+
+def _settle(found: list[tuple[str, int, bool, int, bool, int, bool]], marked: list[tuple[int, int]]) -> list[tuple[str, int, bool, bool, int, bool]]:
+    """Blocks with the verdict on the elements they are in. ``marked``: (parent,
+    kind) of every element that is boilerplate by evidence, parents first."""
+    size, articles = [0] * len(marked), [0] * len(marked)
+    for text, linked, hard, mark, article, *_ in found:
+        if not hard:
+            size[mark] += max(len(text) - text.count(" ") - linked, 0)
+            articles[mark] += article
+    for i in range(len(marked) - 1, 0, -1):
+        size[marked[i][0]] += size[i]
+        articles[marked[i][0]] += articles[i]
+    junk = [False] * len(marked)
+    for i in range(1, len(marked)):
+        parent, kind = marked[i]
+        holds_most = size[i] >= MOST[kind] * size[0] and articles[i] == articles[0]
+        junk[i] = junk[parent] or not holds_most
+    return [(text, linked, hard or junk[mark], *rest) for text, linked, hard, mark, *rest in found]
 
 
-def blocks(html: str) -> list[tuple[str, int, bool, bool, int]]:
-    """(text, characters in links, structurally boilerplate, in an article, section) in page order."""
-    out: list[tuple[str, int, bool, bool, int]] = []
-    stack: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]  # tag, boilerplate, article, section
+def blocks(html: str) -> list[tuple[str, int, bool, bool, int, bool]]:
+    """(text, characters in links, structurally boilerplate, in an article, section, heading) in page order."""
+    out: list[tuple[str, int, bool, int, bool, int, bool]] = []
+    stack: list[tuple[str, bool, int, bool, int]] = [("", False, 0, False, 0)]  # tag, boilerplate, mark, article, section
+    marked: list[tuple[int, int]] = [(0, 0)]
+    open_tags: Counter[str] = Counter()
     parts: list[str] = []
     linked, links, sections, at = 0, 0, 0, 0
 
@@ -93,8 +144,7 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, int]]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            _, junk, article, section = stack[-1]
-            out.append((text, linked, junk, article, section))
+            out.append((text, linked, *stack[-1][1:], any(open_tags[h] for h in HEADINGS)))
         parts.clear()
         linked = 0
 
@@ -119,38 +169,45 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, int]]:
         if block:
             flush()
         if m["end"]:
-            if any(x[0] == tag for x in stack):
-                while stack[-1][0] != tag:
-                    links -= stack.pop()[0] == "a"
-                stack.pop()
-                links -= tag == "a"
+            if open_tags[tag]:
+                while True:
+                    last = stack.pop()[0]
+                    open_tags[last] -= 1
+                    links -= last == "a"
+                    if last == tag:
+                        break
         elif tag not in VOID:
             if block and stack[-1][0] != "":  # an open paragraph, and what is open in it, ends here
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == "p" or (stack[i][0] == tag and tag in ("li", "dt", "dd", "td", "th", "tr")):
                         links -= sum(x[0] == "a" for x in stack[i:])
+                        open_tags.subtract(x[0] for x in stack[i:])
                         del stack[i:]
                         break
                     if stack[i][0] in BLOCKS:
                         break
             if m["attributes"].endswith("/"):
                 continue
-            _, junk, article, section = stack[-1]
-            own = _is_boilerplate(tag, m["attributes"], article)
+            _, junk, mark, article, section = stack[-1]
+            own = _boilerplate(tag, m["attributes"], article)
             if tag in SECTIONS or own:
                 sections += 1
                 section = sections
+            if own in MOST:
+                marked.append((mark, own))
+                mark = len(marked) - 1
             links += tag == "a"
-            stack.append((tag, junk or own, (article or tag in ARTICLE) and not own, section))
+            open_tags[tag] += 1
+            stack.append((tag, junk or own == HARD, mark, (article or tag in ARTICLE) and own != HARD, section))
     say(html[at:])
     flush()
-    return out
+    return _settle(out, marked)
 
 
-def classify(found: list[tuple[str, int, bool, bool, int]], short: int = 70, max_links: float = 0.3, min_stops: float = 0.1) -> list[int]:
+def classify(found: list[tuple[str, int, bool, bool, int, bool]], short: int = 70, max_links: float = 0.3, min_stops: float = 0.1) -> list[int]:
     """Both passes: CONTENT or BOILERPLATE for every block."""
-    first = []
-    for text, linked, junk, article, _ in found:
+    first, without = [], []
+    for i, (text, linked, junk, article, *_) in enumerate(found):
         size = len(text) - text.count(" ")
         if junk or linked > max_links * size or (text.startswith("©") or (not article and "©" in text)):
             first.append(BOILERPLATE)
@@ -162,34 +219,46 @@ def classify(found: list[tuple[str, int, bool, bool, int]], short: int = 70, max
             if stops >= min_stops * max(len(words), 1):
                 first.append(CONTENT)
             else:
-                first.append(UNDECIDED if article else BOILERPLATE)
-    labels = list(first)
+                first.append(UNDECIDED)
+                without.append(i)
+    if CONTENT not in first:     # no stop words of the four languages anywhere: length and links alone decide
+        for i in without:
+            first[i] = CONTENT
+    else:
+        for i in without:
+            first[i] = UNDECIDED if found[i][3] else BOILERPLATE
     by_section: dict[int, list[int]] = {}
     for i, block in enumerate(found):
         by_section.setdefault(block[4], []).append(i)
-    everywhere = range(len(found))
-    for i, label in enumerate(first):
-        if label == UNDECIDED:
-            article = found[i][3]
-            labels[i] = _inherit(i, by_section[found[i][4]], first, article) or (CONTENT if article else 0) \
-                or _inherit(i, everywhere, first, article) or CONTENT
-    return labels
-
-
-def _inherit(i: int, among, first: list[int], article: bool) -> int:
-    """Label of the decided block nearest to block i, 0 if there is none."""
-    from bisect import bisect_left
-    at = bisect_left(among, i)
-    before = next((j for j in range(at - 1, -1, -1) if first[among[j]]), None)
-    after = next((j for j in range(at + 1, len(among)) if first[among[j]]), None)
-    if before is None and after is None:
-        return 0
-    if before is None or after is None:
-        return first[among[after if before is None else before]]
-    a, b = first[among[before]], first[among[after]]
-    if a == b or at - before != after - at:
-        return a if at - before <= after - at else b
-    return CONTENT if article else BOILERPLATE
+    article, heading = [block[3] for block in found], [block[5] for block in found]
+    labels = list(first)
+    for members in by_section.values():
+        _inherit(members, first, article, heading, labels)
+    everywhere = list(first)
+    _inherit(range(len(found)), first, article, heading, everywhere)
+    return [x or (CONTENT if article[i] else everywhere[i] or CONTENT) for i, x in enumerate(labels)]
+
+
+def _inherit(members, first: list[int], article: list[bool], heading: list[bool], labels: list[int]) -> None:
+    """Give each undecided block of ``members`` the label of the nearest decided one
+    (a tie goes to content inside an article, to what follows for a heading, else to
+    boilerplate), in two sweeps."""
+    before, last = [], None
+    for at, i in enumerate(members):
+        if first[i]:
+            last = (at, first[i])
+        before.append(last)
+    after = None
+    for at in range(len(members) - 1, -1, -1):
+        i = members[at]
+        if first[i]:
+            after = (at, first[i])
+        elif before[at] and after and before[at][1] != after[1] and at - before[at][0] == after[0] - at:
+            labels[i] = CONTENT if article[i] else after[1] if heading[i] else BOILERPLATE
+        elif before[at] and (not after or at - before[at][0] <= after[0] - at):
+            labels[i] = before[at][1]
+        elif after:
+            labels[i] = after[1]
 
 
 def main_text(html: str | None) -> str:

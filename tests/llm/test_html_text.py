@@ -24,6 +24,38 @@ def test_rules(html, want):
     assert main_text(html) == want
 
 
+RU = "Сегодня утром мы вышли из дома и долго шли вдоль реки, потому что погода была хорошая и никто не спешил домой"
+NL = "Vanmorgen gingen wij naar buiten om langs de rivier te wandelen omdat het weer mooi bleef en niemand haast had"
+ZH = "今天早上我们走出家门，沿着河边走了很久，因为天气很好，没有人急着回家。" * 4
+MENU = "<ul><li><a href=1>Home and all of the news</a></li><li><a href=2>About us and the others</a></li></ul>"
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<div><p>{P}</p><p>{Q}</p></div>", f"{P}\n\n{Q}"),
+    (f"<div class='content no-sidebar'><p>{P}</p><p>{Q}</p></div>", f"{P}\n\n{Q}"),
+    (f"<div class='layout has-sidebar'><article><p>{P}</p><p>{Q}</p></article></div>", f"{P}\n\n{Q}"),
+    (f"<main><section id='legal-analysis'><p>{P}</p><p>{Q}</p></section></main>", f"{P}\n\n{Q}"),
+    (f"<main><section class='related-work'><p>{P}</p><p>{Q}</p></section></main>", f"{P}\n\n{Q}"),
+    (f"<form id=aspnetForm>{MENU}<div><p>{P}</p><p>{Q}</p></div><footer>{P}</footer></form>", f"{P}\n\n{Q}"),
+    (f"{MENU}<div><h1>Прогулка</h1><p>{RU}</p><p>{RU}.</p></div><footer>{RU}</footer>", f"Прогулка\n\n{RU}\n\n{RU}."),
+    (f"{MENU}<div><h1>Wandeling</h1><p>{NL}</p><p>{NL}.</p></div>", f"Wandeling\n\n{NL}\n\n{NL}."),
+    (f"<div><p>{ZH}</p></div><div class=sidebar>{RU}</div>", ZH),
+    # evidence still counts beside the article, and comments even when they are longer
+    (f"<article><p>{P}</p></article><div class='sidebar-left'><p>{Q} {Q} {Q}</p></div>", P),
+    (f"<div><p>{P}</p></div><div class=comments><p>{Q}</p><p>{Q} {Q}</p></div>", P),
+    (f"<div><p>{P} {P} {P}</p></div><form><p>{Q}</p></form><div class='cookie-notice'>{Q}</div><div id=related-posts>{Q}</div>", f"{P} {P} {P}"),
+])
+def test_names_are_evidence_and_languages_do_not_matter(html, want):
+    assert main_text(html) == want
+
+
+def test_many_short_blocks_take_linear_time():
+    import time
+    start = time.process_time()
+    text = main_text(f"<div><p>{P}</p>" + "<p>ab cd</p><b>x</b>" * 100_000 + "</div>")
+    assert text.count("ab cd") == 100_000 and time.process_time() - start < 20
+
+
 def test_very_long_and_nested_pages():
     deep = "<div>" * 20_000 + P + "</div>" * 20_000
     assert main_text(deep) == P
