@@ -70,4 +70,31 @@ SUFFIX_DEDUP = """
            coalesce(digest, sha256(b)) AS kept_sha256
     FROM t LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)"""
 
-ORACLE_SQL = {"op11_fill_in_middle": FILL_IN_MIDDLE, "op12_suffix_dedup": SUFFIX_DEDUP, "op13_vector_codes": vector_codes()}
+WORDS = r"'[^\x20\x09-\x0D]+'"
+
+NGRAM_JOIN = f"""
+    WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORDS}) AS w
+                         FROM documents),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                         ELSE list_transform(range(1, len(w) - 1), lambda p: array_to_string(w[p:p + 2], ' ')) END) AS g FROM t)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+    link AS MATERIALIZED (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 90 * (p.n + q.n - common)),
+    edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (SELECT a, b FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+    FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)"""
+
+SUBSTRING_DEDUP = f"""
+    WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) AS w FROM documents),
+    v AS MATERIALIZED (SELECT r, p, md5(array_to_string(w[p:p + 34], ' ')) AS h
+                       FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM t WHERE len(w) >= 35)),
+    hit AS (SELECT r, p FROM v SEMI JOIN (SELECT h FROM v GROUP BY h HAVING count(*) > 1) USING (h)),
+    gone AS (SELECT DISTINCT r, p + i AS k FROM hit, (SELECT unnest(range(35)) AS i)),
+    word AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM t),
+    kept AS (SELECT r, string_agg(x, ' ' ORDER BY k) AS x FROM word ANTI JOIN gone USING (r, k) GROUP BY r),
+    removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(x, '')) AS kept_sha256
+    FROM t LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)"""
+
+ORACLE_SQL = {"op8_ngram_join": NGRAM_JOIN, "op10_substring_dedup": SUBSTRING_DEDUP, "op11_fill_in_middle": FILL_IN_MIDDLE, "op12_suffix_dedup": SUFFIX_DEDUP, "op13_vector_codes": vector_codes()}
