@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from riskmesh.operators import gold
 from riskmesh.plans.upsert import _delete, _exists, _write
+from riskmesh.sources.tables import read_table
 from riskmesh.specs import THRESHOLDS, SignalThresholds
 
 DAY = "day"
@@ -104,11 +105,11 @@ class GoldState:
         out = {}
         if _exists(self.spark, transactions):
             days = self.stale_days("transactions", transactions, "transaction_date")
-            self.refresh_transactions(self.spark.read.parquet(transactions), days)
+            self.refresh_transactions(read_table(self.spark, transactions), days)
             out["transactions"] = len(days)
         if _exists(self.spark, sessions):
             days = self.stale_days("ips", sessions, "session_date")
-            self.refresh_sessions(self.spark.read.parquet(sessions), days)
+            self.refresh_sessions(read_table(self.spark, sessions), days)
             out["sessions"] = len(days)
         return out
 

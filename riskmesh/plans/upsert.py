@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmesh.session import checkpoint_dir
+from riskmesh.sources.tables import read_table, set_table_columns, table_columns
 from riskmesh.specs import WATERMARK_FLOOR, SilverSpec
 
 
@@ -54,7 +55,7 @@ def target_watermark(spark: SparkSession, target_path: str, spec: SilverSpec):
     """Watermark of a silver target partitioned by the event's UTC date: the
     max event lies in the newest partition, so only the newest two days are
     scanned (one extra day of margin)."""
-    target = spark.read.parquet(target_path)
+    target = read_table(spark, target_path)
     newest = latest_partition(spark, target_path, spec.date_column)
     start = newest - _dt.timedelta(days=1) if newest else None
     return watermark_of(target, spec.event_column, start, spec.date_column)
@@ -108,6 +109,12 @@ def _write(df: DataFrame, path: str, date_column: str, dynamic: bool) -> None:
          .partitionBy(date_column).parquet(path))
 
 
+def _build(spark: SparkSession, df: DataFrame, path: str, date_column: str) -> None:
+    """The whole table anew."""
+    _write(df, path, date_column, dynamic=False)
+    set_table_columns(spark, path, df.select(*[c for c in df.columns if c != date_column], date_column).schema, [])
+
+
 def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: SilverSpec,
            partition_local: bool = True, days=None) -> UpsertResult:
     """Merge ``batch`` into the dataset at ``target_path``.
@@ -119,23 +126,32 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
     Only the partitions the batch touches are read and rewritten (dynamic
     partition overwrite). The merged partitions are first written to a
     staging folder under ``spark.checkpoint.dir`` and then swapped in, so the
-    target is never read and overwritten by the same job. When the batch's
-    columns differ from the target's, every partition is rewritten with the
-    new column set (schema sync). First build (no target): plain write.
+    target is never read and overwritten by the same job. Columns that the batch
+    adds or no longer has change the table's columns (``tables.py``), and no other
+    partition is rewritten for it; only a column whose type changed, or that comes
+    back after it was dropped (old files still hold its values), takes a rewrite of
+    every partition. First build (no target): plain write.
     """
     key, date_col = spec.unique_key, spec.date_column
     if not _exists(spark, target_path):
-        _write(batch, target_path, date_col, dynamic=False)
+        _build(spark, batch, target_path, date_col)
         return UpsertResult(target_path, "full", -1, -1)
     # the batch (one load) is read twice: for the touched days and for the
     # merge; keep it for the duration of the upsert (lost blocks recompute)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        target = spark.read.parquet(target_path)
-        schema_changed = set(target.columns) != set(batch.columns)
+        target = read_table(spark, target_path)
+        dropped = set(table_columns(spark, target_path)[1]) | (set(target.columns) - set(batch.columns))
+        types = dict(target.dtypes)
+        schema_changed = any(types.get(c, t) != t or (c not in types and c in dropped) for c, t in batch.dtypes)
+        new_columns = None
+        if schema_changed or set(types) != set(batch.columns) or table_columns(spark, target_path)[0] is None:
+            new_columns = batch.select(*[c for c in batch.columns if c != date_col], date_col).schema
         # touched dates: bounded by the number of calendar days in one batch
         dates = [r[0] for r in batch.select(date_col).distinct().collect()]
         if not dates and not schema_changed:
+            if new_columns is not None:
+                set_table_columns(spark, target_path, new_columns, sorted(dropped))
             return UpsertResult(target_path, "noop", 0, 0, ())
         if days is not None:
             dates = list({*dates, *days})
@@ -145,7 +161,11 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
         touched = F.col(date_col).isin([d for d in dates if d is not None])
         if None in dates:
             touched = touched | F.col(date_col).isNull()
-        scope = target if schema_changed else target.where(touched)
+        if schema_changed:
+            now = dict(batch.dtypes)
+            scope = target.select(*[F.col(c).cast(now.get(c, t)).alias(c) for c, t in target.dtypes])
+        else:
+            scope = target.where(touched)
         merged = merge_partition_local(scope, batch, key, date_col, partition_local)
         stage = f"{checkpoint_dir(spark).rstrip('/')}/riskmesh-upsert-{uuid.uuid4().hex}"
         _write(merged, stage, date_col, dynamic=False)
@@ -158,6 +178,8 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
             for day in set(dates) - kept_dates:
                 _delete(spark, f"{target_path.rstrip('/')}/{date_col}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
         _delete(spark, stage)
+        if new_columns is not None:   # a rewrite has no old files left, so nothing comes back from them
+            set_table_columns(spark, target_path, new_columns, [] if schema_changed else sorted(dropped))
     finally:
         batch.unpersist()
     return UpsertResult(target_path, "incremental", -1, len(dates), None if schema_changed else tuple(dates))
@@ -174,8 +196,7 @@ def incremental_build(spark: SparkSession, target_path: str, bronze: DataFrame,
     late rows wait for a full refresh unless ``lookback`` widens the window).
     """
     if full_refresh or not _exists(spark, target_path):
-        df = model(bronze, as_of=as_of)
-        _write(df, target_path, spec.date_column, dynamic=False)
+        _build(spark, model(bronze, as_of=as_of), target_path, spec.date_column)
         return UpsertResult(target_path, "full", -1, -1)
     since = target_watermark(spark, target_path, spec)
     if lookback is not None and since != WATERMARK_FLOOR:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskmesh.operators import gold, silver
 from riskmesh.session import checkpoint_dir
+from riskmesh.sources.tables import read_table
 from riskmesh.specs import FEEDS, THRESHOLDS, SignalThresholds
 
 SILVER_MODELS = ("slv_players", "slv_sessions", "slv_transactions", "slv_affiliate_cpa_ftd")
@@ -74,7 +75,7 @@ class Layers:
             path = os.path.join(root, layer, name)
             if not _exists(spark, path):
                 return None
-            return spark.read.parquet(path)
+            return read_table(spark, path)
 
         return cls(spark, bronze, model, as_of=as_of, **kw)
 

@@ -74,18 +74,49 @@ def test_merge_expression_matches_key_and_date(spark):
         ("a", "d1", 2), ("b", "d1", 1), ("c", "d3", 2)]
 
 
-def test_schema_sync_adds_and_removes_columns(spark, workdir):
-    path = os.path.join(workdir, "s")
-    spec = SILVER["slv_transactions"]
-    base = spark.createDataFrame([("t1", "2026-01-20", 1)], "transaction_id string, d string, v int") \
-        .select("transaction_id", F.col("d").cast("date").alias("transaction_date"), "v")
-    upsert(spark, path, base, spec)
-    added = spark.createDataFrame([("t2", "2026-01-21", "x")], "transaction_id string, d string, w string") \
-        .select("transaction_id", F.col("d").cast("date").alias("transaction_date"), "w")
-    upsert(spark, path, added, spec)
-    df = spark.read.parquet(path)
-    assert sorted(df.columns) == ["transaction_date", "transaction_id", "w"]
-    assert rows(df, "transaction_id", "w") == [("t1", None), ("t2", "x")]
+def small(spark, *data, columns):
+    """rows of (id, day, values...)"""
+    schema = "transaction_id string, day string, " + columns
+    df = spark.createDataFrame(data, schema)
+    return df.select("transaction_id", F.col("day").cast("date").alias("transaction_date"), *[c.split()[0] for c in columns.split(", ")])
+
+
+def files_of(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_schema_sync_needs_no_rewrite_of_old_partitions(spark, workdir):
+    from riskmesh.sources.tables import read_table
+    path, spec = os.path.join(workdir, "s"), SILVER["slv_transactions"]
+    upsert(spark, path, small(spark, ("t1", "2026-01-20", 1, 7), ("t3", "2026-01-21", 3, 9), columns="v int, z int"), spec)
+    old = files_of(path)
+    day20 = {f for f in old if "2026-01-20" in f}
+    # w comes, v goes; the touched day is rewritten, the other one stays as it is
+    upsert(spark, path, small(spark, ("t2", "2026-01-21", "x", 5), columns="w string, z int"), spec)
+    assert {f: t for f, t in files_of(path).items() if f in day20} == {f: old[f] for f in day20}
+    df = read_table(spark, path)
+    assert sorted(df.columns) == ["transaction_date", "transaction_id", "w", "z"]
+    assert rows(df, "transaction_id", "w", "z") == [("t1", None, 7), ("t2", "x", 5), ("t3", None, 9)]
+    # an empty batch with another column changes the columns alone
+    before = files_of(path)
+    assert upsert(spark, path, small(spark, columns="w string, z int, k double"), spec).mode == "noop"
+    assert files_of(path) == before and "k" in read_table(spark, path).columns
+    # v comes back: old files still hold its values, so they are rewritten
+    upsert(spark, path, small(spark, ("t4", "2026-01-22", 4), columns="v int"), spec)
+    assert rows(read_table(spark, path), "transaction_id", "v") == [("t1", None), ("t2", None), ("t3", None), ("t4", 4)]
+    assert not day20 & set(files_of(path))
+    # another type is a rewrite too
+    upsert(spark, path, small(spark, ("t5", "2026-01-22", "five"), columns="v string"), spec)
+    assert rows(read_table(spark, path), "transaction_id", "v") == [("t1", None), ("t2", None), ("t3", None), ("t4", "4"), ("t5", "five")]
+
+
+def test_tables_without_a_columns_file_still_work(spark, workdir):
+    from riskmesh.sources.tables import read_table
+    path, spec = os.path.join(workdir, "s"), SILVER["slv_transactions"]
+    small(spark, ("t1", "2026-01-20", 1), columns="v int").write.partitionBy("transaction_date").parquet(path)
+    assert rows(read_table(spark, path), "transaction_id", "v") == [("t1", 1)]
+    upsert(spark, path, small(spark, ("t2", "2026-01-21", 2, 3), columns="v int, w int"), spec)
+    assert rows(read_table(spark, path), "transaction_id", "v", "w") == [("t1", 1, None), ("t2", 2, 3)]
 
 
 def test_streaming_micro_loads_process_only_new_files(spark, workdir):
