@@ -4,6 +4,7 @@ schema sync and full refresh on Parquet datasets partitioned by date."""
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmesh.session import checkpoint_dir
-from riskmesh.sources.tables import read_table, set_table_columns, table_columns
+from riskmesh.sources.tables import PENDING, read_note, read_table, set_table_columns, table_columns, write_note
 from riskmesh.specs import WATERMARK_FLOOR, SilverSpec
 
 
@@ -109,6 +110,32 @@ def _write(df: DataFrame, path: str, date_column: str, dynamic: bool) -> None:
          .partitionBy(date_column).parquet(path))
 
 
+def _pending(target_path: str) -> tuple[str, str]:
+    """(folder, name) of the note of a swap: beside the table, as a rewrite of all
+    partitions empties the table's own folder."""
+    folder, _, table = target_path.rstrip("/").rpartition("/")
+    return folder or ".", f"_{table}{PENDING}"
+
+
+def finish_swap(spark: SparkSession, target_path: str, date_column: str) -> bool:
+    """Carry out the swap that is noted beside the target, if there is one: the
+    staged partitions replace the target's, emptied ones go, then the note and the
+    stage. Every step can be repeated, so a run that failed in between is finished
+    by the next one."""
+    folder, name = _pending(target_path)
+    note = read_note(spark, folder, name)
+    if note is None:
+        return False
+    _write(spark.read.parquet(note["stage"]), target_path, date_column, dynamic=note["dynamic"])
+    for day in note["gone"]:
+        _delete(spark, f"{target_path.rstrip('/')}/{date_column}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
+    if note["columns"]:
+        set_table_columns(spark, target_path, T.StructType.fromJson(note["columns"][0]), note["columns"][1])
+    write_note(spark, folder, name, None)
+    _delete(spark, note["stage"])
+    return True
+
+
 def _build(spark: SparkSession, df: DataFrame, path: str, date_column: str) -> None:
     """The whole table anew."""
     _write(df, path, date_column, dynamic=False)
@@ -133,6 +160,7 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
     every partition. First build (no target): plain write.
     """
     key, date_col = spec.unique_key, spec.date_column
+    finish_swap(spark, target_path, date_col)
     if not _exists(spark, target_path):
         _build(spark, batch, target_path, date_col)
         return UpsertResult(target_path, "full", -1, -1)
@@ -169,17 +197,13 @@ def upsert(spark: SparkSession, target_path: str, batch: DataFrame, spec: Silver
         merged = merge_partition_local(scope, batch, key, date_col, partition_local)
         stage = f"{checkpoint_dir(spark).rstrip('/')}/riskmesh-upsert-{uuid.uuid4().hex}"
         _write(merged, stage, date_col, dynamic=False)
-        staged = spark.read.parquet(stage)
-        _write(staged, target_path, date_col, dynamic=not schema_changed)
-        if not schema_changed:
-            # dynamic overwrite only replaces partitions present in the output: a
-            # touched partition whose last row moved away must be removed explicitly
-            kept_dates = {r[0] for r in staged.select(date_col).distinct().collect()}
-            for day in set(dates) - kept_dates:
-                _delete(spark, f"{target_path.rstrip('/')}/{date_col}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
-        _delete(spark, stage)
-        if new_columns is not None:   # a rewrite has no old files left, so nothing comes back from them
-            set_table_columns(spark, target_path, new_columns, [] if schema_changed else sorted(dropped))
+        # dynamic overwrite only replaces partitions present in the output: a touched
+        # partition whose last row moved away must be removed explicitly
+        kept_dates = {r[0] for r in spark.read.parquet(stage).select(date_col).distinct().collect()}
+        gone = [] if schema_changed else [None if d is None else str(d) for d in set(dates) - kept_dates]
+        columns = None if new_columns is None else [json.loads(new_columns.json()), [] if schema_changed else sorted(dropped)]
+        write_note(spark, *_pending(target_path), {"stage": stage, "dynamic": not schema_changed, "gone": gone, "columns": columns})
+        finish_swap(spark, target_path, date_col)
     finally:
         batch.unpersist()
     return UpsertResult(target_path, "incremental", -1, len(dates), None if schema_changed else tuple(dates))
@@ -195,6 +219,7 @@ def incremental_build(spark: SparkSession, target_path: str, bronze: DataFrame,
     (inclusive: rows equal to the max are merged again, idempotently; older
     late rows wait for a full refresh unless ``lookback`` widens the window).
     """
+    finish_swap(spark, target_path, spec.date_column)    # of a run that failed
     if full_refresh or not _exists(spark, target_path):
         _build(spark, model(bronze, as_of=as_of), target_path, spec.date_column)
         return UpsertResult(target_path, "full", -1, -1)

@@ -110,6 +110,36 @@ def test_schema_sync_needs_no_rewrite_of_old_partitions(spark, workdir):
     assert rows(read_table(spark, path), "transaction_id", "v") == [("t1", None), ("t2", None), ("t3", None), ("t4", "4"), ("t5", "five")]
 
 
+@pytest.mark.parametrize("fails_at", ["swap", "delete"])
+def test_a_failed_swap_is_finished_by_the_next_run(spark, workdir, monkeypatch, fails_at):
+    from riskmesh.plans import upsert as U
+    path, spec = os.path.join(workdir, "s"), SILVER["slv_transactions"]
+    upsert(spark, path, small(spark, ("t1", "2026-01-20", 1), ("t2", "2026-01-21", 2), columns="v int"), spec)
+    write, delete, calls = U._write, U._delete, []
+
+    def failing_write(df, where, *a, **k):
+        calls.append(where)
+        if fails_at == "swap" and where == path:
+            raise OSError("lost")
+        write(df, where, *a, **k)
+
+    def failing_delete(session, where):
+        if fails_at == "delete" and where.startswith(path):
+            raise OSError("lost")
+        delete(session, where)
+
+    monkeypatch.setattr(U, "_write", failing_write)
+    monkeypatch.setattr(U, "_delete", failing_delete)
+    moved = small(spark, ("t1", "2026-01-22", 10), columns="v int")      # its old day is empty afterwards
+    with pytest.raises(OSError):
+        upsert(spark, path, moved, spec, partition_local=False)
+    monkeypatch.undo()
+    # a run with nothing new finishes it
+    assert upsert(spark, path, small(spark, columns="v int"), spec).mode == "noop"
+    assert rows(spark.read.parquet(path), "transaction_id", "v") == [("t1", 10), ("t2", 2)]
+    assert not os.path.exists(f"{path}/transaction_date=2026-01-20") and not [f for f in os.listdir(workdir) if "pending" in f]
+
+
 def test_tables_without_a_columns_file_still_work(spark, workdir):
     from riskmesh.sources.tables import read_table
     path, spec = os.path.join(workdir, "s"), SILVER["slv_transactions"]
