@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmesh.functions import count_ratio, guarded_ratio
@@ -58,15 +58,28 @@ def risk_by_score(overview: DataFrame) -> DataFrame:
     return overview.groupBy("fraud_signal_count").agg(F.count(F.lit(1)).alias("players"))
 
 
-def risk_by_city(overview: DataFrame) -> DataFrame:
-    return overview.groupBy("city").agg(
+def _risk_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("players"),
         F.count_if(F.col("fraud_signal_count") >= 1).alias("flagged_players"),
         F.sum("fraud_signal_count").alias("total_signals"),
         *[F.count_if(F.col(f)).alias(f"players_{f}") for f in SIGNAL_FLAGS],
         F.sum("distinct_device_count").alias("total_devices"),
         F.max("max_players_on_same_ip").alias("max_players_on_same_ip"),
-    )
+    ]
+
+
+def risk_by_city(overview: DataFrame) -> DataFrame:
+    return overview.groupBy("city").agg(*_risk_measures())
+
+
+def overview_pages(overview: DataFrame) -> DataFrame:
+    """The dashboard's groups over the overview in one pass: the risk measures per
+    score, per city and in total (``page`` says which), by grouping sets: one Expand
+    and one aggregate instead of a scan a page."""
+    score, city = F.col("fraud_signal_count"), F.col("city")
+    page = F.element_at(F.array(F.lit("score"), F.lit("city"), F.lit("total")), F.grouping_id("fraud_signal_count", "city").cast("int"))
+    return overview.groupingSets([[score], [city], []], score, city).agg(page.alias("page"), *_risk_measures())
 
 
 def affiliates_page(metrics: DataFrame) -> DataFrame:

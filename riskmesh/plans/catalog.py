@@ -626,6 +626,11 @@ def _(L):
     return reports.risk_by_city(L.ref("gold_fraud_overview"))
 
 
+@query("report_overview_pages")
+def _(L):
+    return reports.overview_pages(L.ref("gold_fraud_overview"))
+
+
 @query("report_affiliates")
 def _(L):
     return reports.affiliates_page(L.ref("gold_affiliate_metrics"))

@@ -62,3 +62,19 @@ def test_catalog_plans_do_not_depend_on_table_size(spark):
     for name in ("slv_sessions", "slv_affiliate_cpa_ftd", "gold_fraud_overview", "bronze_partition_date"):
         df = QUERIES[name](spark, "/root/testdata/sf0.001")
         assert "REPARTITION_BY_NUM" not in plan(df)
+
+
+def test_overview_pages_are_one_pass(spark):
+    from riskmesh.operators import reports
+    from riskmesh.operators.quality import SIGNAL_FLAGS
+    from tests.conftest import rows
+    data = [(i % 3, None if i % 5 == 0 else f"c{i % 2}", *[i % (k + 2) == 0 for k in range(len(SIGNAL_FLAGS))], i, i) for i in range(40)]
+    df = spark.createDataFrame(data, ", ".join(["fraud_signal_count long, city string", *[f"{f} boolean" for f in SIGNAL_FLAGS],
+                                                "distinct_device_count long, max_players_on_same_ip long"]))
+    pages = reports.overview_pages(df)
+    plan = pages._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Aggregate") == 1
+    by_city = pages.where("page = 'city'").drop("page", "fraud_signal_count")
+    assert rows(by_city, *reports.risk_by_city(df).columns) == rows(reports.risk_by_city(df))
+    assert rows(pages.where("page = 'score'"), "fraud_signal_count", "players") == rows(reports.risk_by_score(df))
+    assert pages.where("page = 'total'").first()["players"] == 40
