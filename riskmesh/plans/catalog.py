@@ -246,18 +246,18 @@ def _(L):
 
 @query("gold_overview_from_state")
 def _(L):
-    """gold_fraud_overview finished from partial aggregates per day that two loads
-    left behind: all earlier days, then the days of the second load alone."""
+    """gold_fraud_overview finished from partial aggregates per day: those of the
+    sessions are stored by two loads (all earlier days, then the days of the second
+    load alone), those of the transactions are merged as they are computed."""
     import uuid
-    from riskmesh.plans.gold_state import GoldState
+    from riskmesh.plans.gold_state import DAY, GoldState
     from riskmesh.session import checkpoint_dir
     state = GoldState(L.spark, f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-gold-state-{uuid.uuid4().hex}")
-    for refresh, model, day, split in ((state.refresh_sessions, "slv_sessions", "session_date", STATE_SPLIT),
-                                       (state.refresh_transactions, "slv_transactions", "transaction_date", FIRST_LOAD_BEFORE)):
-        silver_rows, later = L.ref(model), F.col(day) >= F.lit(split).cast("date")
-        refresh(silver_rows.where(~later))
-        refresh(silver_rows, [r[0] for r in silver_rows.where(later).select(day).distinct().collect()])   # calendar days
-    return state.fraud_overview(L.ref("slv_players"), L.ref("slv_affiliate_cpa_ftd"))
+    sessions, later = L.ref("slv_sessions"), F.col("session_date") >= F.lit(STATE_SPLIT).cast("date")
+    state.refresh_sessions(sessions.where(~later))
+    state.refresh_sessions(sessions, [r[0] for r in sessions.where(later).select("session_date").distinct().collect()])   # calendar days
+    per_day = gold.financial_aggregates(L.ref("slv_transactions").withColumnRenamed("transaction_date", DAY), DAY)
+    return state.fraud_overview(L.ref("slv_players"), L.ref("slv_affiliate_cpa_ftd"), gold.financial_signals(gold.merged_financial(per_day)))
 
 
 STREAM_SPLIT = "2024-02-01"          # streaming_micro_loads: day the second landing starts
