@@ -251,9 +251,14 @@ def _(L):
     load alone), those of the transactions are merged as they are computed."""
     import uuid
     from riskmesh.plans.gold_state import DAY, GoldState
+    from riskmesh.plans.upsert import _build
     from riskmesh.session import checkpoint_dir
-    state = GoldState(L.spark, f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-gold-state-{uuid.uuid4().hex}")
-    sessions, later = L.ref("slv_sessions"), F.col("session_date") >= F.lit(STATE_SPLIT).cast("date")
+    from riskmesh.sources.tables import read_table
+    base = f"{checkpoint_dir(L.spark).rstrip('/')}/riskmesh-gold-state-{uuid.uuid4().hex}"
+    state = GoldState(L.spark, f"{base}/state")
+    # each load reads its days several times: the silver table is computed once, one folder a day
+    _build(L.spark, L.ref("slv_sessions"), f"{base}/slv_sessions", "session_date")
+    sessions, later = read_table(L.spark, f"{base}/slv_sessions"), F.col("session_date") >= F.lit(STATE_SPLIT).cast("date")
     state.refresh_sessions(sessions.where(~later))
     state.refresh_sessions(sessions, [r[0] for r in sessions.where(later).select("session_date").distinct().collect()])   # calendar days
     per_day = gold.financial_aggregates(L.ref("slv_transactions").withColumnRenamed("transaction_date", DAY), DAY)

@@ -82,3 +82,18 @@ def test_a_day_that_vanished_and_a_missed_refresh_are_caught_up(spark, workdir):
 def test_empty_state(spark, workdir):
     state = GoldState(spark, os.path.join(workdir, "none"))
     assert state.refresh(os.path.join(workdir, "silver")) == {} and state.financial_signals().count() == 0
+
+
+def test_overview_query_computes_the_sessions_once(spark, monkeypatch):
+    from riskmesh.plans.catalog import QUERIES
+    from riskmesh.session import checkpoint_dir
+    read, refresh = [], GoldState.refresh_sessions
+
+    def spy(self, sessions, days=None):
+        read.extend(sessions.inputFiles())
+        return refresh(self, sessions, days)
+
+    monkeypatch.setattr(GoldState, "refresh_sessions", spy)
+    got = QUERIES["gold_overview_from_state"](spark, "/root/testdata/sf0.001")
+    assert read and all(checkpoint_dir(spark).removeprefix("file://") in f for f in read)    # no stage over the feed
+    assert rows(got) == rows(QUERIES["gold_fraud_overview"](spark, "/root/testdata/sf0.001").select(*got.columns))
