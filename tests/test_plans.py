@@ -93,3 +93,8 @@ def test_overview_pages_are_one_pass(spark):
     assert rows(by_city, *reports.risk_by_city(df).columns) == rows(reports.risk_by_city(df))
     assert rows(pages.where("page = 'score'"), "fraud_signal_count", "players") == rows(reports.risk_by_score(df))
     assert pages.where("page = 'total'").first()["players"] == 40
+
+
+def test_coalesced_partitions_bound_the_memory_of_a_task(spark):
+    from riskmesh.session import ADAPTIVE_CONF
+    assert int(ADAPTIVE_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"].removesuffix("MB")) * 15 <= 1000   # MB of aggregate rows
