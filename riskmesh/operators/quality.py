@@ -163,6 +163,15 @@ def _candidate(c: Check) -> Column:
     return _scope(c)
 
 
+def _group_key(c: Check) -> Column:
+    """One text per group: the value itself, or all values behind their lengths
+    (which tells every combination apart, NULLs too)."""
+    parts = [F.col(x).cast("string") for x in _group_columns(c)]
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat(*[F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in parts])
+
+
 def _as_rows(counts: DataFrame, named: list[tuple[str, str]]) -> DataFrame:
     """One-row frame with columns c0..cN -> (check_name, table_name, failing_rows)."""
     stack = F.explode(F.array(*[
@@ -177,10 +186,10 @@ def summary(checks: Sequence[Check], relation) -> DataFrame:
 
     Row-level checks (not_null, row_filter) are conditional counts in one global
     aggregate per table. Group checks (unique, accepted_values, unique_combination)
-    of *all* tables share one aggregate: each row emits one ``(check, key)`` record
-    per check it takes part in; the records are counted per ``(check, key)`` with
-    partial aggregation first, so a hot key is combined map-side, and every count is
-    read from that aggregate.
+    of *all* tables share one aggregate: each check reads its own columns and emits one
+    ``(check, key)`` record per row that takes part; the records are counted per
+    ``(check, key)`` with partial aggregation first, so a hot key is combined map-side,
+    and every count is read from that aggregate.
     Relationships checks are grouped by parent: the children's keys are
     pre-aggregated to ``(check, key, rows)`` and anti-joined once with the
     parent's distinct keys. Counts follow the checks' own queries: NULL / bad
@@ -202,16 +211,10 @@ def summary(checks: Sequence[Check], relation) -> DataFrame:
         parts.append(_as_rows(counts, [(c.name, c.table) for c in mine]))
 
     grouped = [(i, c) for i, c in enumerate(checks) if c.kind in ("unique", "accepted_values", "unique_combination")]
-    per_table: dict[str, list[Column]] = {}
-    for i, c in grouped:
-        key = F.array(*[F.col(x).cast("string") for x in _group_columns(c)])
-        per_table.setdefault(c.table, []).append(F.when(_candidate(c), F.struct(F.lit(i).alias("check"), key.alias("key"))))
-    if per_table:
+    if grouped:
         records = None
-        for table_name, recs in per_table.items():
-            stream = (relation(table_name)
-                      .select(F.explode(F.filter(F.array(*recs), lambda r: r.isNotNull())).alias("r"))
-                      .select(F.col("r.check").alias("check"), F.col("r.key").alias("key")))
+        for i, c in grouped:
+            stream = relation(c.table).where(_candidate(c)).select(F.lit(i).alias("check"), _group_key(c).alias("key"))
             records = stream if records is None else records.unionByName(stream)
         groups = records.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
         aggs = []

@@ -54,3 +54,13 @@ def test_freshness(spark):
     df = spark.createDataFrame([("2024-01-01",)], "d string").select(F.col("d").cast("date").alias("d"))
     r = q.freshness(df, "d", "2024-02-15", 30, "t").first()
     assert (r.age_days, r.is_stale) == (45, True)
+
+
+def test_group_checks_read_plain_columns_and_keep_combinations_apart(spark):
+    t = spark.createDataFrame([("a", "b:1"), ("a", "b:1"), ("a:b", "1"), ("1:a", None), (None, "1:a"), (None, None), (None, None), ("", None), (None, "")],
+                              "x string, y string")
+    checks = [q.Check("both", "t", "unique_combination", columns=("x", "y")), q.Check("one", "t", "unique", "x"), q.Check("list", "t", "accepted_values", "y", values=("1",))]
+    out = q.summary(checks, {"t": t}.__getitem__)
+    assert {r.check_name: r.failing_rows for r in out.collect()} == {"both": 2, "one": 1, "list": 3}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_filter" not in plan.lower() and "lambda" not in plan    # no record is built and taken apart again per row
