@@ -101,23 +101,27 @@ def score(m: Model, t: dict[str, np.ndarray], ids: np.ndarray, first: np.ndarray
     return np.bincount(text, weights=ln, minlength=len(first) - 1)
 
 
-def _group(ids: np.ndarray, first: np.ndarray, counts: np.ndarray, alone: int, groups: int, seed: int) -> np.ndarray:
+def _group(ids: np.ndarray, first: np.ndarray, counts: np.ndarray, alone: int, groups: int, seed: int, neighbours=None) -> np.ndarray:
     """Class of every subword: the ``alone`` most frequent ones by themselves,
-    the others by k-means over the frequent neighbours they have in the sample;
-    the last group takes those the sample hardly knows."""
+    the others by k-means over the frequent neighbours they have (in the whole
+    corpus by ``neighbours``, else in ``ids``); the last group takes those that are
+    hardly known."""
     n = len(counts)
     order = np.argsort(-counts, kind="stable")
     classes = np.full(n, alone + groups - 1)
     classes[order[:alone]] = np.arange(alone)
-    near = np.zeros((n, 2 * (alone + 1)), dtype=np.float32)
     code = np.minimum(classes, alone)
-    inside = np.ones(len(ids) - 1, dtype=bool)
-    inside[first[1:-1] - 1] = False
-    left, right = ids[:-1][inside], ids[1:][inside]
-    np.add.at(near, (right, code[left]), 1)
-    np.add.at(near, (left, alone + 1 + code[right]), 1)
-    seen = np.bincount(ids, minlength=n)
-    rest = np.flatnonzero((classes >= alone) & (seen >= 4))
+    if neighbours is None:
+        near = np.zeros((n, 2 * (alone + 1)), dtype=np.float32)
+        inside = np.ones(len(ids) - 1, dtype=bool)
+        inside[first[1:-1] - 1] = False
+        left, right = ids[:-1][inside], ids[1:][inside]
+        np.add.at(near, (right, code[left]), 1)
+        np.add.at(near, (left, alone + 1 + code[right]), 1)
+        seen = np.bincount(ids, minlength=n)
+    else:
+        near, seen = neighbours(code, alone + 1), counts
+    rest = np.flatnonzero((classes >= alone) & (seen >= 4) & (near.sum(axis=1) > 0))
     if len(rest) > groups:
         x = np.sqrt(near[rest] / near[rest].sum(axis=1, keepdims=True))
         centre = x[np.random.default_rng(seed).choice(len(rest), groups - 1, replace=False)]
@@ -133,17 +137,19 @@ def _group(ids: np.ndarray, first: np.ndarray, counts: np.ndarray, alone: int, g
 
 def train(ids: np.ndarray, first: np.ndarray, counts: np.ndarray, begin: int, context: int = 8, stride: int = 24, width: int = 16,
           alone: int = 40, groups: int = 24, own_inputs: int = 4096, steps: int = 300, batch: int = 160, rate: float = 0.02,
-          seed: int = 7, gather=None) -> Model:
+          seed: int = 7, gather=None, neighbours=None) -> Model:
     """Fit by Adam on the sample ``ids`` / ``first``; ``counts`` (per subword
     id, over the whole training corpus) give classes, inputs and shares.
     ``gather(inputs, classes, rows, n_classes)`` counts over the whole training
     corpus how often each class follows each input row; these transitions are then
     the table that the attention's output is added to, and the sample fits the
-    attention alone. Without it the sample fits that table too."""
+    attention alone. Without it the sample fits that table too.
+    ``neighbours(code, n_codes)`` counts over the whole training corpus the codes before
+    and behind every subword, from which the classes come."""
     rng = np.random.default_rng(seed)
     n = len(counts)
-    # without a sample (empty corpus) all subwords share one group and nothing is fitted
-    classes = _group(ids, first, counts, alone, groups, seed) if len(ids) > 1 else np.full(n, alone + groups - 1)
+    # without a sample or neighbours (empty corpus) all subwords share one group and nothing is fitted
+    classes = _group(ids, first, counts, alone, groups, seed, neighbours) if len(ids) > 1 or neighbours else np.full(n, alone + groups - 1)
     n_classes = alone + groups
     smooth = counts + 0.5
     within = np.log(smooth / np.bincount(classes, weights=smooth, minlength=n_classes)[classes])
@@ -168,42 +174,116 @@ def train(ids: np.ndarray, first: np.ndarray, counts: np.ndarray, begin: int, co
     flat, wanted, start, _ = layout(ids, first, context, stride, begin)
     seen = flat[start[:, None] + np.arange(span)]
     goals = wanted[start[:, None] + np.arange(context, span)]
-    mask = m.tables()["mask"]
-    first_moment = {k: np.zeros_like(v) for k, v in p.items()}
-    second_moment = {k: np.zeros_like(v) for k, v in p.items()}
-    scale = 1 / np.sqrt(width)
+    mask, adam = m.tables()["mask"], Adam(p)
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(seen), min(batch, len(seen)))
-        row, goal, ok = inputs[seen[pick]], classes[goals[pick]], goals[pick] >= 0
-        last = row[:, context:]
-        x = p["E"][row] + p["P"]
-        q, k, v = x[:, context:] @ p["Wq"], x @ p["Wk"], x @ p["Wv"]
-        a = np.exp(np.clip(np.matmul(q, k.transpose(0, 2, 1)) * scale, -30, 30)) * mask
-        a /= a.sum(axis=2, keepdims=True)
-        z = np.matmul(a, v)
-        logits = z @ p["U"] + p["T"][last]
-        logits -= logits.max(axis=2, keepdims=True)
-        y = np.exp(logits)
-        y /= y.sum(axis=2, keepdims=True)
-        b, s = np.nonzero(ok)
-        y[b, s, goal[b, s]] -= 1
-        y *= ok[:, :, None] / max(ok.sum(), 1)
-        dz = y @ p["U"].T
-        da = np.matmul(dz, v.transpose(0, 2, 1))
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * scale
-        dq, dk, dv = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dz)
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        dx = dk @ p["Wk"].T + dv @ p["Wv"].T
-        dx[:, context:] += dq @ p["Wq"].T
-        g = {"U": flat(z).T @ flat(y), "Wq": flat(x[:, context:]).T @ flat(dq), "Wk": flat(x).T @ flat(dk), "Wv": flat(x).T @ flat(dv),
-             "P": dx.sum(axis=0), "E": np.zeros_like(p["E"])}
-        np.add.at(g["E"], row.reshape(-1), flat(dx))
-        if gather is None:
-            g["T"] = np.zeros_like(p["T"])
-            np.add.at(g["T"], last.reshape(-1), flat(y))
-        now = rate * min(1, step / 20) * (1 - 0.9 * step / steps)
-        for name, grad in g.items():
-            first_moment[name] += 0.1 * (grad - first_moment[name])
-            second_moment[name] += 0.01 * (grad * grad - second_moment[name])
-            p[name] -= now * (first_moment[name] / (1 - 0.9**step)) / (np.sqrt(second_moment[name] / (1 - 0.99**step)) + 1e-8)
+        g = gradients(p, inputs[seen[pick]], classes[goals[pick]], goals[pick] >= 0, context, mask, gather is None)
+        adam.step(g, rate * min(1, step / 20) * (1 - 0.9 * step / steps))
     return m
+
+
+class Adam:
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.p, self.steps = p, 0
+        self.first = {k: np.zeros_like(v) for k, v in p.items()}
+        self.second = {k: np.zeros_like(v) for k, v in p.items()}
+
+    def step(self, g: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        for name, grad in g.items():
+            self.first[name] += 0.1 * (grad - self.first[name])
+            self.second[name] += 0.01 * (grad * grad - self.second[name])
+            self.p[name] -= rate * (self.first[name] / (1 - 0.9**self.steps)) / (np.sqrt(self.second[name] / (1 - 0.99**self.steps)) + 1e-8)
+
+
+def _added(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """(n, width): ``values`` added up by row."""
+    order = np.argsort(rows, kind="stable")
+    own = rows[order]
+    at = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    out = np.zeros((n, values.shape[1]), dtype=np.float32)
+    out[own[at]] = np.add.reduceat(values[order], at, axis=0)
+    return out
+
+
+def gradients(p: dict[str, np.ndarray], row: np.ndarray, goal: np.ndarray, ok: np.ndarray, context: int, mask: np.ndarray,
+              table: bool) -> dict[str, np.ndarray]:
+    """Gradients of the mean loss over windows: input rows ``row``, classes ``goal``
+    that are to be predicted where ``ok``. The table takes part if asked for."""
+    n, span = row.shape
+    d, stride = p["E"].shape[1], span - context
+    scale = np.float32(1 / np.sqrt(d))
+    flat = lambda t: t.reshape(-1, t.shape[-1])
+    last = row[:, context:]
+    x = p["E"][row]
+    x += p["P"]
+    late = np.ascontiguousarray(x[:, context:])
+    q, k, v = (flat(late) @ p["Wq"]).reshape(n, stride, d), (flat(x) @ p["Wk"]).reshape(n, span, d), (flat(x) @ p["Wv"]).reshape(n, span, d)
+    a = np.matmul(q, k.transpose(0, 2, 1))
+    a *= scale
+    np.clip(a, -30, 30, out=a)
+    np.exp(a, out=a)
+    a *= mask
+    a /= a.sum(axis=2, keepdims=True)
+    z = flat(np.matmul(a, v))
+    y = p["T"][last.reshape(-1)]
+    y += z @ p["U"]
+    np.clip(y, -80, 80, out=y)          # ln shares plus a bounded correction: no overflow
+    np.exp(y, out=y)
+    right = np.flatnonzero(ok)
+    weight = (ok.reshape(-1) / max(len(right), 1)).astype(np.float32)
+    y *= (weight / (y @ np.ones(y.shape[1], dtype=np.float32)))[:, None]
+    y[right, goal.reshape(-1)[right]] -= weight[right]
+    dz = (y @ p["U"].T).reshape(n, stride, d)
+    ds = np.matmul(dz, v.transpose(0, 2, 1))
+    ds -= np.einsum("ijk,ijk->ij", ds, a)[:, :, None]
+    ds *= a
+    ds *= scale
+    across = a.transpose(0, 2, 1)
+    dq, dk, dv = flat(np.matmul(ds, k)), flat(np.matmul(ds.transpose(0, 2, 1), q)), flat(np.matmul(across, dz))
+    dx = dk @ p["Wk"].T
+    dx += dv @ p["Wv"].T
+    dx = dx.reshape(n, span, d)
+    dx[:, context:] += (dq @ p["Wq"].T).reshape(n, stride, d)
+    g = {"U": z.T @ y, "Wq": flat(late).T @ dq, "Wk": flat(x).T @ dk, "Wv": flat(x).T @ dv, "P": dx.sum(axis=0), "E": _added(row.reshape(-1), flat(dx), len(p["E"]))}
+    if table:
+        g["T"] = _added(last.reshape(-1), y, len(p["T"]))
+    return g
+
+
+FITTED = ("E", "P", "Wq", "Wk", "Wv", "U")     # the table T is counted
+
+
+class Fit:
+    """One task's part of the fit over the whole corpus: every window of its texts
+    is in one step of its own copy of the weights. Copies that began alike are
+    averaged by their windows."""
+
+    def __init__(self, m: Model, rate: float = 0.004, batch: int = 160):
+        self.m, self.rate, self.batch, self.windows = m, rate, batch, 0
+        self.p = {k: v if k == "T" else v.copy() for k, v in m.p.items()}
+        self.adam, self.mask = Adam({k: self.p[k] for k in FITTED}), m.tables()["mask"]
+
+    def texts(self, ids: np.ndarray, first: np.ndarray) -> None:
+        m = self.m
+        flat, wanted, start, _ = layout(ids, first, m.context, m.stride, m.begin)
+        span = np.arange(m.context + m.stride)
+        order = np.random.default_rng(len(start)).permutation(start)
+        for own in np.array_split(order, -(-len(order) // self.batch)) if len(order) else []:
+            at = own[:, None] + span
+            goals = wanted[at[:, m.context:]]
+            g = gradients(self.p, m.inputs[flat[at]], m.classes[goals], goals >= 0, m.context, self.mask, False)
+            self.adam.step(g, self.rate * min(1, (self.adam.steps + 1) / 50))
+        self.windows += len(start)
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in FITTED]).astype(np.float64)
+
+
+def with_weights(m: Model, flat: np.ndarray) -> Model:
+    """``m`` with the fitted weights of ``Fit.weights``."""
+    p, at = dict(m.p), 0
+    for k in FITTED:
+        p[k] = flat[at: at + p[k].size].reshape(p[k].shape).astype(np.float32)
+        at += p[k].size
+    return Model(m.context, m.stride, m.begin, m.inputs, m.classes, m.within, p)

@@ -4,10 +4,12 @@ causal self-attention model of ``attention_lm`` over subword ids.
 Counts cover all training documents: one pass adds up words (by 64-bit hash) and
 subword ids in each task before the shuffle. A second one adds up which class of
 subwords follows which subword, again in one bounded array a task: these transitions
-are the model's table, so what is learnt of context grows with the corpus. The
-attention that is added to it for longer context has its weights fitted on a bounded
-sample: the training documents whose hash lies below the bound that
-leaves about ``sample_docs`` (never more than twice that), and at most
+are the model's table, and a pass before it counts the neighbours that put subwords
+into classes. The attention that is added for longer context is fitted in one pass over
+all training documents: each task takes every window of its texts once, from common
+start values, and the tasks' weights are averaged by their windows. Only the start
+values come from a bounded sample: the training documents whose hash lies below the
+bound that leaves about ``sample_docs`` (never more than twice that), and at most
 ``sample_tokens`` of their tokens. Subword shares come from the counts.
 
 The base needs the count of every word of every text. The most frequent words
@@ -140,6 +142,48 @@ def _counter(vocabulary: bytes, end: int):
     return run
 
 
+def _laid(subwords: Subwords, t: Texts, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(subwords of all texts, each behind with the end; where each text begins)."""
+    ids, sizes = subwords.of(t, t.hashes())
+    first = np.r_[0, np.cumsum(np.bincount(t.row, weights=sizes, minlength=t.n).astype(np.int64) + 1)]
+    flat = np.full(first[-1], end, dtype=np.int64)
+    inside = np.ones(len(flat), dtype=bool)
+    inside[first[1:] - 1] = False
+    flat[inside] = ids
+    return flat, first
+
+
+def _neighbour(vocabulary: bytes, end: int, code: np.ndarray, n_codes: int):
+    """(key, n) of one task: how often a code stands before (key = (subword * 2) * codes + code)
+    and behind (key = (subword * 2 + 1) * codes + code) a subword."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords, total = Subwords(vocabulary), np.zeros(len(code) * 2 * n_codes, dtype=np.int64)
+        for batch in batches:
+            for _, t in texts(batch.column(0), lower=True):
+                flat, _ = _laid(subwords, t, end)
+                before = np.r_[end, flat[:-1]]
+                for key in (flat * 2 * n_codes + code[before], (before * 2 + 1) * n_codes + code[flat]):
+                    some, n = np.unique(key, return_counts=True)
+                    total[some] += n
+        some = np.flatnonzero(total)
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["key", "n"])
+    return run
+
+
+def _fitter(vocabulary: bytes, model: attention_lm.Model):
+    """(key, w) of one task: its weights times its windows, the windows as key -1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords, fit = Subwords(vocabulary), attention_lm.Fit(model)
+        for batch in batches:
+            for _, t in texts(batch.column(0), lower=True):
+                fit.texts(*_laid(subwords, t, model.begin))
+        if fit.windows:
+            w = fit.weights() * fit.windows
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(w))), pa.array(np.r_[float(fit.windows), w])], ["key", "w"])
+    return run
+
+
 def _follower(vocabulary: bytes, end: int, inputs: np.ndarray, classes: np.ndarray, n_classes: int, cells: int):
     """(key, n) of one task: how often a class follows an input row (key = row * classes + class)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +286,21 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", vocabula
         out[found["key"].to_numpy()] = found["n"].to_numpy()
         return out
 
-    model = attention_lm.train(ids.astype(np.int64), np.cumsum([0, *map(len, parts)]), subcounts, end, gather=gather)
+    def neighbours(code: np.ndarray, n_codes: int) -> np.ndarray:
+        found = training.select("text").mapInArrow(_neighbour(vocabulary, end, code, n_codes), "key long, n long") \
+            .groupBy("key").agg(F.sum("n").alias("n")).toArrow()      # at most one row a cell
+        out = np.zeros(len(code) * 2 * n_codes, dtype=np.float32)
+        out[found["key"].to_numpy()] = found["n"].to_numpy()
+        return out.reshape(len(code), 2 * n_codes)
+
+    model = attention_lm.train(ids.astype(np.int64), np.cumsum([0, *map(len, parts)]), subcounts, end, gather=gather, neighbours=neighbours)
+    # from there on every training text is in one step of a task's fit; the tasks' weights are averaged
+    fitted = training.select("text").mapInArrow(_fitter(vocabulary, model), "key long, w double") \
+        .groupBy("key").agg(F.sum("w").alias("w")).toArrow()          # one row a weight
+    if len(fitted):
+        order = np.argsort(fitted["key"].to_numpy())
+        w = fitted["w"].to_numpy()[order]
+        model = attention_lm.with_weights(model, w[1:] / w[0])
     id_type = docs.schema[id_column].dataType.simpleString()
     scored = rows.mapInArrow(_scorer(vocabulary, model, (keys, values), id_column),
                              f"{id_column} {id_type}, held_out boolean, n_tokens long, known long, base double, tail array<long>, score double")

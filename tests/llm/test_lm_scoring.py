@@ -156,3 +156,45 @@ def test_transitions_are_counted_over_all_training_rows(spark, monkeypatch):
     encoder, _ = L._encoder(open(L.TOKENIZER, "rb").read())
     tokens = sum(len(encoder.encode_ordinary("".join(" " + w for w in WORD.findall((t or "").translate(A_TO_Z))))) + 1 for i, t, *_ in rows if i in training)
     assert seen["cells"].sum() == tokens and len(got) == len(rows)
+
+
+def test_one_pass_over_a_larger_corpus_improves_the_attention():
+    few, small = toy(1, 4), dict(context=4, stride=8, alone=31, groups=2, own_inputs=31, steps=60)
+    ids, first = toy(1, 1500)
+    held_ids, held_first = toy(9, 60)
+    counts = np.bincount(ids, minlength=31).astype(float)
+    m = attention_lm.train(*few, counts, 30, gather=transitions(ids, first, 30, []), **small)
+    parts = []
+    for a in range(0, 1500, 500):     # three tasks, averaged
+        fit = attention_lm.Fit(m, batch=16)
+        fit.texts(ids[first[a]: first[a + 500]], first[a: a + 501] - first[a])
+        parts.append((fit.windows, fit.weights()))
+    assert sum(n for n, _ in parts) == sum(-(-np.diff(first) // 8))      # every window is in a step
+    fitted = attention_lm.with_weights(m, np.average([w for _, w in parts], axis=0, weights=[n for n, _ in parts]))
+    ln = lambda x: attention_lm.score(x, x.tables(), held_ids, held_first).sum()
+    assert ln(fitted) > ln(m) + 0.01 * len(held_ids)
+    whole = [attention_lm.score(fitted, fitted.tables(), np.append(held_ids[:5], x), np.array([0, 6]))[0] for x in range(31)]
+    assert abs(np.exp(np.array(whole) - attention_lm.score(fitted, fitted.tables(), held_ids[:5], np.array([0, 5]))[0]).sum() - 1) < 1e-3
+
+
+def test_every_training_document_takes_part_in_classes_and_fit(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, rng.randrange(0, 40)), "en", "a") for i in range(60)]
+    seen, train, put = {}, attention_lm.train, attention_lm.with_weights
+
+    def spy(ids, first, counts, begin, **options):
+        inner = options["neighbours"]
+        options["neighbours"] = lambda *a: seen.setdefault("near", inner(*a))
+        seen["counts"] = counts
+        return train(ids, first, counts, begin, **options | {"steps": 3})
+
+    def spy_put(m, flat):
+        seen["before"], seen["after"] = m, put(m, flat)
+        return seen["after"]
+
+    monkeypatch.setattr(attention_lm, "train", spy)
+    monkeypatch.setattr(attention_lm, "with_weights", spy_put)
+    score(frame(spark, rows), held(), sample_docs=2).collect()
+    assert seen["near"].sum() == 2 * seen["counts"].sum()                 # one code before and one behind every token
+    assert not np.array_equal(seen["before"].p["E"], seen["after"].p["E"]) and np.isfinite(seen["after"].p["E"]).all()
+    assert np.array_equal(seen["before"].p["T"], seen["after"].p["T"])
