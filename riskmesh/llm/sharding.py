@@ -19,6 +19,10 @@ the rows of groups that found no room, fill up the shards.
 Exact counts need ranks; a rank is a row number within one written partition
 plus the counts of the partitions before it, so no task holds a whole shard.
 
+While the linked documents are counted to be at most ``BROADCAST_ROWS``, whatever is
+known per linked document (its shard, its request, its move) is broadcast, and a round
+shuffles rows for its votes and its ranks only.
+
 Defined cases: a null text has no links and size 1; an empty table gives no
 rows; rows that repeat a document are placed one by one (and linked, if their
 texts are equal); edges to unknown ids are dropped; a group larger than a shard
@@ -35,12 +39,15 @@ from riskmesh.llm.shared import bounded_broadcast, components, written
 BROADCAST_ROWS = 500_000
 
 
-def _rank(df: DataFrame, *keys: str) -> DataFrame:
-    """Adds ``rank``: gapless from 0 within ``keys``, in the order (part, uid)."""
+def _rank(df: DataFrame, *keys: str, few: bool = False) -> DataFrame:
+    """Adds ``rank``: gapless from 0 within ``keys``, in the order (part, uid).
+    ``few``: the keys are bounded by the shards, so their counts (one row a key and
+    written partition) are broadcast."""
     counts = df.groupBy(*keys, "part").count()
     order = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = F.coalesce(F.sum("count").over(order.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("part").alias("_part"), before.alias("_before"))
+    counts = F.broadcast(counts) if few else counts
     on = (F.col("part") == F.col("_part"))
     for k in keys:
         on = on & (F.col(k) == F.col(f"_{k}"))
@@ -54,36 +61,44 @@ def _coin(round_: int, of: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(round_), "uid"), F.lit(of)).cast("int")
 
 
-def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8, settled: int = 3) -> DataFrame:
+def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8, settled: int = 3, stars: bool = False) -> DataFrame:
     """``nodes`` (uid, part; a written table) with ``shard``, counts even to one.
-    ``edges`` (u, v) are undirected; ``part`` numbers the written partitions."""
-    known = nodes.select("uid")
+    ``edges`` (u, v) are undirected; ``part`` numbers the written partitions.
+    ``stars``: the edges are known to be between nodes and from every member of a
+    component to its least one, so components are read off them."""
     both = edges.select("u", "v").where("u <> v")
+    if stars:
+        both = written(both, "links")
     both = both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = both.join(known.withColumnRenamed("uid", "v"), "v", "left_semi") \
-        .join(known.withColumnRenamed("uid", "u"), "u", "left_semi")
-    both = written(both.select("u", "v"), "links")
-    linked = both.groupBy(F.col("u").alias("uid")).agg(F.lit(True).alias("linked"), (F.min("v") > F.col("u")).alias("leads"))
-    labels = _rank(nodes.join(linked, "uid", "left")).select(
+    if not stars:
+        known = nodes.select("uid")
+        both = written(both.join(known.withColumnRenamed("uid", "v"), "v", "left_semi")
+                       .join(known.withColumnRenamed("uid", "u"), "u", "left_semi").select("u", "v"), "links")
+    linked = written(both.groupBy(F.col("u").alias("uid")).agg(
+        F.lit(True).alias("linked"), (F.min("v") > F.col("u")).alias("leads"), F.least(F.min("v"), F.col("u")).alias("root")), "linked")
+    small = linked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+    def near(df: DataFrame) -> DataFrame:
+        """``df`` (one row a linked document, or two) for the inner side of a join."""
+        return F.broadcast(df) if small else df
+
+    labels = _rank(nodes.join(near(linked.drop("root")), "uid", "left"), few=True).select(
         "uid", "part", F.coalesce("linked", F.lit(False)).alias("linked"), "leads", F.pmod("rank", F.lit(shards)).cast("int").alias("shard"))
     labels = written(labels, "labels")
     if shards < 2 or both.limit(1).count() == 0:
         return labels
-    groups = written(components(both, "u", "v").withColumnRenamed("id", "uid"), "groups")
+    groups = linked.select("uid", "root") if stars else written(components(both, "u", "v").withColumnRenamed("id", "uid"), "groups")
     counts = {r["shard"]: r["count"] for r in labels.groupBy("shard").count().collect()}
     capacity = [counts.get(s, 0) for s in range(shards)]
     large = groups.groupBy("root").count().where(F.col("count") > max(capacity)).limit(1).count() > 0
     round_, cut = 0, None
     while round_ < rounds or large:
         at = labels.where("linked").select(F.col("uid").alias("v"), "shard")
-        votes = both.join(at, "v").groupBy("u", "shard").count()
-        best = votes.groupBy("u").agg(F.max(F.struct("count", (-F.col("shard")).alias("shard"))).alias("best"),
-                                      F.collect_list(F.struct("shard", "count")).alias("all"))  # one entry a shard
+        votes = both.join(near(at), "v").groupBy("u").agg(F.array(*[F.count_if(F.col("shard") == s) for s in range(shards)]).alias("votes"))
+        best = votes.select(F.col("u").alias("uid"), "votes", F.array_max(F.transform("votes", lambda n, s: F.struct(n.alias("count"), (-s).alias("shard")))).alias("best"))
         free = ~F.col("leads") if round_ < settled else _coin(round_, 2) == 0
-        asks = labels.where(F.col("linked") & free).join(best.withColumnRenamed("u", "uid"), "uid") \
-            .withColumn("here", F.aggregate(F.filter("all", lambda x: x["shard"] == F.col("shard")), F.lit(0).cast("long"),
-                                            lambda a, x: a + x["count"])) \
-            .where(F.col("best.count") > F.col("here")) \
+        asks = labels.where(F.col("linked") & free).join(near(best), "uid") \
+            .where(F.col("best.count") > F.element_at("votes", F.col("shard") + 1)) \
             .select("uid", "part", "shard", (-F.col("best.shard")).alias("to"), F.lit(1).alias("asks"))
         fill = labels.where(~F.col("linked")).select(
             "uid", "part", "shard", F.pmod(F.col("shard") + 1 + _coin(round_ + 1000, shards - 1), F.lit(shards)).alias("to"), F.lit(0).alias("asks"))
@@ -104,21 +119,21 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8,
         spark = nodes.sparkSession
         limits = spark.createDataFrame(quota, "q_shard int, q_to int, q_asks int, q long").where("q > 0")
         wanted = wishes.join(F.broadcast(limits), (F.col("shard") == F.col("q_shard")) & (F.col("to") == F.col("q_to")) & (F.col("asks") == F.col("q_asks")))
-        moved = _rank(wanted, "shard", "to", "asks").where(F.col("rank") < F.col("q")).select("uid", "to")
-        labels = written(labels.join(moved, "uid", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"), "labels")
+        moved = _rank(wanted, "shard", "to", "asks", few=True).where(F.col("rank") < F.col("q")).select("uid", "to")
+        labels = written(labels.join(near(moved), "uid", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"), "labels")
         round_ += 1
         if round_ >= rounds and large:
-            before, cut = cut, _cut(labels, both)
+            at = near(labels.where("linked").select(F.col("uid").alias("v"), "shard"))
+            before, cut = cut, _cut(at, both)
             if before is not None and cut >= before:
                 break
-    return _gather(labels, groups, capacity)
+    return _gather(labels, near(groups), capacity)
 
 
-def _cut(labels: DataFrame, both: DataFrame) -> int:
-    """Links (in both directions) between shards."""
-    at = labels.where("linked").select("uid", "shard")
-    return both.join(at.select(F.col("uid").alias("u"), F.col("shard").alias("a")), "u") \
-        .join(at.select(F.col("uid").alias("v"), F.col("shard").alias("b")), "v").where("a <> b").count()
+def _cut(at: DataFrame, both: DataFrame) -> int:
+    """Links (in both directions) between shards. ``at``: (v, shard) of linked documents."""
+    return both.join(at.withColumnRenamed("shard", "b"), "v") \
+        .join(at.select(F.col("v").alias("u"), F.col("shard").alias("a")), "u").where("a <> b").count()
 
 
 def _pack(sizes: dict[int, int], room: list[int]) -> tuple[list[tuple[int, int, int, int]], int]:
@@ -182,7 +197,7 @@ def _gather(labels: DataFrame, groups: DataFrame, capacity: list[int]) -> DataFr
     if not moves:
         return labels
     spans = F.broadcast(spark.createDataFrame(moves, "p_shard int, low long, high long, to int"))
-    fill = _rank(labels.where("filler").select("uid", "part", "shard"), "shard")
+    fill = _rank(labels.where("filler").select("uid", "part", "shard"), "shard", few=True)
     moved = fill.join(spans, (F.col("shard") == F.col("p_shard")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).select("uid", "to")
     return written(labels.join(moved, "uid", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to"), "labels")
 
@@ -211,7 +226,7 @@ def shard(docs: DataFrame, shards: int = 8, rounds: int = 8, id_column: str = "d
         ids = rows.select(F.col(id_column).alias("_id"), "uid")
         links = links.union(edges.join(ids.withColumnRenamed("uid", "_u"), F.col("u") == F.col("_id")).drop("_id")
                             .join(ids.withColumnRenamed("uid", "_v"), F.col("v") == F.col("_id")).select("_u", "_v"))
-    labels = propagate(rows.select("uid", "part"), links, shards, rounds)
-    placed = _rank(labels, "shard").select("uid", "shard", F.col("rank").alias("slot"))
+    labels = propagate(rows.select("uid", "part"), links, shards, rounds, stars=edges is None)
+    placed = _rank(labels, "shard", few=True).select("uid", "shard", F.col("rank").alias("slot"))
     return rows.join(placed, "uid").select(id_column, "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                                            F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

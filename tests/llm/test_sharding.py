@@ -4,6 +4,7 @@ import zlib
 
 import pytest
 
+from riskmesh.llm import sharding
 from riskmesh.llm.sharding import shard
 from tests.llm.conftest import frame, odd_rows, prose
 
@@ -76,3 +77,28 @@ def test_group_larger_than_a_shard_and_empty(spark):
     rows = [(i, "same" if i % 3 == 0 else f"t{i}", "en", "a") for i in range(100)] + [(200, None, "en", "a"), (201, None, "en", "a")]
     check(shard(frame(spark, rows)).collect(), rows, 8)
     assert shard(frame(spark, [])).count() == 0
+
+
+def test_a_round_shuffles_for_votes_and_ranks_only(spark, monkeypatch):
+    rows = [(i, "same" if i % 3 == 0 else f"t{i // 2}", "en", "a") for i in range(200)]
+    plans, write = [], sharding.written
+
+    def spy(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")))
+        return write(df, name)
+
+    monkeypatch.setattr(sharding, "written", spy)
+    place = lambda: sorted((r.doc_id, r.shard, r.slot) for r in shard(frame(spark, rows), 3, rounds=2).collect())
+    got = place()
+    moves = [(n, then) for (name, n), (_, then) in zip(plans, plans[1:]) if name == "wishes"]
+    assert moves and all(n <= 1 and then <= 3 for n, then in moves), plans
+    monkeypatch.setattr(sharding, "BROADCAST_ROWS", 0)     # the same rows by shuffles
+    assert place() == got
+
+
+def test_components_of_stars_are_read_off_the_edges(spark, monkeypatch):
+    rows = [(i, "same" if i % 3 == 0 else f"t{i // 2}", "en", "a") for i in range(200)]
+    calls, find = [], sharding.components
+    monkeypatch.setattr(sharding, "components", lambda *a: calls.append(1) or find(*a))
+    check(shard(frame(spark, rows), 3, rounds=1).collect(), rows, 3)
+    assert not calls
