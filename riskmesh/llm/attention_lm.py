@@ -67,9 +67,9 @@ def forward(m: Model, t: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     """Unnormalised ln class probabilities (B * stride, classes) of input rows (B, context + stride)."""
     d = m.p["U"].shape[0]
     last = rows[:, m.context:]
-    kv = t["kv"][rows]
+    kv = t["kv"].take(rows, axis=0)
     kv += t["kvp"]
-    q = t["q"][last]
+    q = t["q"].take(last, axis=0)
     q += t["qp"]
     a = np.matmul(q, kv[:, :, :d].transpose(0, 2, 1))
     np.clip(a, -30, 30, out=a)
@@ -77,7 +77,7 @@ def forward(m: Model, t: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     a *= t["mask"]
     z = np.matmul(a, kv[:, :, d:])
     z /= a.sum(axis=2, keepdims=True)
-    logits = t["T"][last].reshape(-1, t["T"].shape[1])
+    logits = t["T"].take(last.reshape(-1), axis=0)
     logits += z.reshape(-1, d) @ m.p["U"]
     return logits
 
@@ -215,7 +215,7 @@ def gradients(p: dict[str, np.ndarray], row: np.ndarray, goal: np.ndarray, ok: n
     scale = np.float32(1 / np.sqrt(d))
     flat = lambda t: t.reshape(-1, t.shape[-1])
     last = row[:, context:]
-    x = p["E"][row]
+    x = p["E"].take(row, axis=0)
     x += p["P"]
     late = np.ascontiguousarray(x[:, context:])
     q, k, v = (flat(late) @ p["Wq"]).reshape(n, stride, d), (flat(x) @ p["Wk"]).reshape(n, span, d), (flat(x) @ p["Wv"]).reshape(n, span, d)
@@ -226,7 +226,7 @@ def gradients(p: dict[str, np.ndarray], row: np.ndarray, goal: np.ndarray, ok: n
     a *= mask
     a /= a.sum(axis=2, keepdims=True)
     z = flat(np.matmul(a, v))
-    y = p["T"][last.reshape(-1)]
+    y = p["T"].take(last.reshape(-1), axis=0)
     y += z @ p["U"]
     np.clip(y, -80, 80, out=y)          # ln shares plus a bounded correction: no overflow
     np.exp(y, out=y)

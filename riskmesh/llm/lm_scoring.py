@@ -142,9 +142,9 @@ def _counter(vocabulary: bytes, end: int):
     return run
 
 
-def _laid(subwords: Subwords, t: Texts, end: int) -> tuple[np.ndarray, np.ndarray]:
+def _laid(subwords: Subwords, t: Texts, end: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(subwords of all texts, each behind with the end; where each text begins)."""
-    ids, sizes = subwords.of(t, t.hashes())
+    ids, sizes = subwords.of(t, t.hashes() if hashes is None else hashes)
     first = np.r_[0, np.cumsum(np.bincount(t.row, weights=sizes, minlength=t.n).astype(np.int64) + 1)]
     flat = np.full(first[-1], end, dtype=np.int64)
     inside = np.ones(len(flat), dtype=bool)
@@ -163,8 +163,7 @@ def _neighbour(vocabulary: bytes, end: int, code: np.ndarray, n_codes: int):
                 flat, _ = _laid(subwords, t, end)
                 before = np.r_[end, flat[:-1]]
                 for key in (flat * 2 * n_codes + code[before], (before * 2 + 1) * n_codes + code[flat]):
-                    some, n = np.unique(key, return_counts=True)
-                    total[some] += n
+                    np.add.at(total, key, 1)
         some = np.flatnonzero(total)
         if len(some):
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["key", "n"])
@@ -190,10 +189,7 @@ def _follower(vocabulary: bytes, end: int, inputs: np.ndarray, classes: np.ndarr
         subwords, total = Subwords(vocabulary), np.zeros(cells, dtype=np.int64)
         for batch in batches:
             for _, t in texts(batch.column(0), lower=True):
-                ids, sizes = subwords.of(t, t.hashes())
-                first = np.r_[0, np.cumsum(np.bincount(t.row, weights=sizes, minlength=t.n).astype(np.int64) + 1)]
-                flat = np.full(first[-1], end, dtype=np.int64)          # the end of a text is the begin of the next one
-                flat[np.setdiff1d(np.arange(first[-1]), first[1:] - 1, assume_unique=True)] = ids
+                flat, _ = _laid(subwords, t, end)           # the end of a text is the begin of the next one
                 before = np.r_[end, flat[:-1]]
                 total += np.bincount(inputs[before].astype(np.int64) * n_classes + classes[flat], minlength=cells)
         some = np.flatnonzero(total)
@@ -211,12 +207,7 @@ def _scorer(vocabulary: bytes, model: attention_lm.Model, table: tuple[np.ndarra
         for batch in batches:
             for begin, t in texts(batch.column(2), lower=True, slice_bytes=1 << 20):
                 hashes = t.hashes()
-                ids, sizes = subwords.of(t, hashes)
-                # each text's subwords, then the end
-                per = np.bincount(t.row, weights=sizes, minlength=t.n).astype(np.int64) + 1
-                first = np.r_[0, np.cumsum(per)]
-                flat = np.full(first[-1], model.begin, dtype=np.int32)
-                flat[np.setdiff1d(np.arange(first[-1]), first[1:] - 1, assume_unique=True)] = ids
+                flat, first = _laid(subwords, t, model.begin, hashes)
                 ln = attention_lm.score(model, tables, flat, first)
                 at = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
                 inside = keys[at] == hashes if len(keys) else np.zeros(len(hashes), dtype=bool)
