@@ -76,9 +76,9 @@ def forward(m: Model, t: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     np.exp(a, out=a)
     a *= t["mask"]
     z = np.matmul(a, kv[:, :, d:])
-    z /= a.sum(axis=2, keepdims=True)
-    logits = t["T"].take(last.reshape(-1), axis=0)
-    logits += z.reshape(-1, d) @ m.p["U"]
+    z /= (a.reshape(-1, a.shape[2]) @ np.ones(a.shape[2], dtype=np.float32)).reshape(*z.shape[:2], 1)
+    logits = z.reshape(-1, d) @ m.p["U"]
+    logits += t["T"].take(last.reshape(-1), axis=0)
     return logits
 
 
@@ -90,12 +90,15 @@ def score(m: Model, t: dict[str, np.ndarray], ids: np.ndarray, first: np.ndarray
     rows, goals = m.inputs[inputs], m.classes[targets]
     ln = np.zeros((len(text), m.stride), dtype=np.float32)
     span = np.arange(m.context + m.stride, dtype=np.int64)
+    n_classes = m.p["U"].shape[1]
+    ones = np.ones(n_classes, dtype=np.float32)
     for i in range(0, len(text), batch):
         at = start[i: i + batch, None] + span
-        logits = forward(m, t, rows[at])
-        own = logits[np.arange(len(logits)), goals[at[:, m.context:]].reshape(-1)]
+        logits = forward(m, t, rows.take(at))
+        goal = goals.take(at[:, m.context:]).reshape(-1)
+        own = logits.reshape(-1).take(np.arange(len(logits)) * n_classes + goal)
         np.exp(logits, out=logits)  # ln shares plus a bounded correction: no overflow
-        ln[i: i + batch] = (own - np.log(logits.sum(axis=1))).reshape(-1, m.stride)
+        ln[i: i + batch] = (own - np.log(logits @ ones)).reshape(-1, m.stride)
     goal = targets[(start[:, None] + span[m.context:])]
     ln = np.where(goal >= 0, ln + m.within[goal], 0).sum(axis=1, dtype=np.float64)
     return np.bincount(text, weights=ln, minlength=len(first) - 1)
@@ -187,22 +190,36 @@ class Adam:
         self.p, self.steps = p, 0
         self.first = {k: np.zeros_like(v) for k, v in p.items()}
         self.second = {k: np.zeros_like(v) for k, v in p.items()}
+        self.room = {k: np.empty_like(v) for k, v in p.items()}
 
     def step(self, g: dict[str, np.ndarray], rate: float) -> None:
+        """In place; ``g`` is used up."""
         self.steps += 1
+        near, far = rate / (1 - 0.9**self.steps), 1 / np.sqrt(1 - 0.99**self.steps)
         for name, grad in g.items():
-            self.first[name] += 0.1 * (grad - self.first[name])
-            self.second[name] += 0.01 * (grad * grad - self.second[name])
-            self.p[name] -= rate * (self.first[name] / (1 - 0.9**self.steps)) / (np.sqrt(self.second[name] / (1 - 0.99**self.steps)) + 1e-8)
+            first, second, room = self.first[name], self.second[name], self.room[name]
+            np.multiply(grad, grad, out=room)
+            room *= 0.01
+            second *= 0.99
+            second += room
+            grad *= 0.1
+            first *= 0.9
+            first += grad
+            np.sqrt(second, out=room)
+            room *= far
+            room += 1e-8
+            np.divide(first, room, out=room)
+            room *= near
+            self.p[name] -= room
 
 
 def _added(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """(n, width): ``values`` added up by row."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16) if n <= 1 << 16 else rows, kind="stable")
     own = rows[order]
     at = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
     out = np.zeros((n, values.shape[1]), dtype=np.float32)
-    out[own[at]] = np.add.reduceat(values[order], at, axis=0)
+    out[own[at]] = np.add.reduceat(values.take(order, axis=0), at, axis=0)
     return out
 
 
@@ -214,38 +231,43 @@ def gradients(p: dict[str, np.ndarray], row: np.ndarray, goal: np.ndarray, ok: n
     d, stride = p["E"].shape[1], span - context
     scale = np.float32(1 / np.sqrt(d))
     flat = lambda t: t.reshape(-1, t.shape[-1])
+    ones = lambda k: np.ones(k, dtype=np.float32)
     last = row[:, context:]
     x = p["E"].take(row, axis=0)
     x += p["P"]
     late = np.ascontiguousarray(x[:, context:])
-    q, k, v = (flat(late) @ p["Wq"]).reshape(n, stride, d), (flat(x) @ p["Wk"]).reshape(n, span, d), (flat(x) @ p["Wv"]).reshape(n, span, d)
+    both = np.concatenate([p["Wk"], p["Wv"]], axis=1)       # one product for keys and values
+    q = (flat(late) @ (p["Wq"] * scale)).reshape(n, stride, d)
+    kv = (flat(x) @ both).reshape(n, span, 2 * d)
+    k, v = kv[:, :, :d], kv[:, :, d:]
     a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= scale
     np.clip(a, -30, 30, out=a)
     np.exp(a, out=a)
     a *= mask
-    a /= a.sum(axis=2, keepdims=True)
+    a /= (flat(a) @ ones(span)).reshape(n, stride, 1)
     z = flat(np.matmul(a, v))
-    y = p["T"].take(last.reshape(-1), axis=0)
-    y += z @ p["U"]
+    y = z @ p["U"]
+    y += p["T"].take(last.reshape(-1), axis=0)
     np.clip(y, -80, 80, out=y)          # ln shares plus a bounded correction: no overflow
     np.exp(y, out=y)
     right = np.flatnonzero(ok)
     weight = (ok.reshape(-1) / max(len(right), 1)).astype(np.float32)
-    y *= (weight / (y @ np.ones(y.shape[1], dtype=np.float32)))[:, None]
-    y[right, goal.reshape(-1)[right]] -= weight[right]
-    dz = (y @ p["U"].T).reshape(n, stride, d)
-    ds = np.matmul(dz, v.transpose(0, 2, 1))
-    ds -= np.einsum("ijk,ijk->ij", ds, a)[:, :, None]
+    y *= (weight / (y @ ones(y.shape[1])))[:, None]
+    y.reshape(-1)[right * y.shape[1] + goal.reshape(-1)[right]] -= weight[right]
+    dz = y @ p["U"].T
+    ds = np.matmul(dz.reshape(n, stride, d), v.transpose(0, 2, 1))
+    ds -= ((dz * z) @ ones(d)).reshape(n, stride, 1)        # the same as ds summed up by a, from fewer numbers
     ds *= a
-    ds *= scale
-    across = a.transpose(0, 2, 1)
-    dq, dk, dv = flat(np.matmul(ds, k)), flat(np.matmul(ds.transpose(0, 2, 1), q)), flat(np.matmul(across, dz))
-    dx = dk @ p["Wk"].T
-    dx += dv @ p["Wv"].T
-    dx = dx.reshape(n, span, d)
+    dkv = np.empty_like(kv)
+    dq = flat(np.matmul(ds, k))
+    dq *= scale
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :d])
+    np.matmul(a.transpose(0, 2, 1), dz.reshape(n, stride, d), out=dkv[:, :, d:])
+    dx = (flat(dkv) @ both.T).reshape(n, span, d)
     dx[:, context:] += (dq @ p["Wq"].T).reshape(n, stride, d)
-    g = {"U": z.T @ y, "Wq": flat(late).T @ dq, "Wk": flat(x).T @ dk, "Wv": flat(x).T @ dv, "P": dx.sum(axis=0), "E": _added(row.reshape(-1), flat(dx), len(p["E"]))}
+    dboth = flat(x).T @ flat(dkv)
+    g = {"U": z.T @ y, "Wq": flat(late).T @ dq, "Wk": dboth[:, :d].copy(), "Wv": dboth[:, d:].copy(), "P": (ones(n) @ dx.reshape(n, -1)).reshape(span, d),
+         "E": _added(row.reshape(-1), flat(dx), len(p["E"]))}
     if table:
         g["T"] = _added(last.reshape(-1), y, len(p["T"]))
     return g
@@ -267,12 +289,13 @@ class Fit:
     def texts(self, ids: np.ndarray, first: np.ndarray) -> None:
         m = self.m
         flat, wanted, start, _ = layout(ids, first, m.context, m.stride, m.begin)
+        rows, goals, ok = m.inputs.take(flat), m.classes.take(wanted), wanted >= 0
         span = np.arange(m.context + m.stride)
         order = np.random.default_rng(len(start)).permutation(start)
         for own in np.array_split(order, -(-len(order) // self.batch)) if len(order) else []:
             at = own[:, None] + span
-            goals = wanted[at[:, m.context:]]
-            g = gradients(self.p, m.inputs[flat[at]], m.classes[goals], goals >= 0, m.context, self.mask, False)
+            ahead = at[:, m.context:]
+            g = gradients(self.p, rows.take(at), goals.take(ahead), ok.take(ahead), m.context, self.mask, False)
             self.adam.step(g, self.rate * min(1, (self.adam.steps + 1) / 50))
         self.windows += len(start)
 

@@ -198,3 +198,60 @@ def test_every_training_document_takes_part_in_classes_and_fit(spark, monkeypatc
     assert seen["near"].sum() == 2 * seen["counts"].sum()                 # one code before and one behind every token
     assert not np.array_equal(seen["before"].p["E"], seen["after"].p["E"]) and np.isfinite(seen["after"].p["E"]).all()
     assert np.array_equal(seen["before"].p["T"], seen["after"].p["T"])
+
+
+def test_texts_are_cut_into_subwords_once(spark, monkeypatch):
+    """The passes that learn and score read written numbers, not texts."""
+    from riskmesh.llm import lm_scoring
+    kept, write = {}, lm_scoring.written
+
+    def record(df, name):
+        kept[name] = write(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(lm_scoring, "written", record)
+    rows = [(1, "One two  two"), (2, None), (3, ""), (4, "über zwei"), (5, "one")]
+    out = lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 5)
+    assert out.count() == 5
+    tokens = {r["doc_id"]: r for r in kept["tokens"].collect()}
+    assert {k: len(r["words"]) // 8 for k, r in tokens.items()} == {1: 3, 2: 0, 3: 0, 4: 2, 5: 1}
+    assert tokens[5]["words"] == tokens[1]["words"][:8] and tokens[1]["words"][8:16] == tokens[1]["words"][16:]
+    assert tokens[2]["ids"] == tokens[3]["ids"] == tokens[1]["ids"][-2:]        # the end alone
+    assert tokens[5]["ids"][:-2] == tokens[1]["ids"][: len(tokens[5]["ids"]) - 2]
+
+
+def test_places_of_hashes():
+    from riskmesh.llm.lm_scoring import Places
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 7, 1000):
+        keys = np.unique(np.r_[rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2), np.arange(min(n, 5), dtype=np.uint64)])
+        hashes = np.r_[keys, keys + np.uint64(1), np.array([0, 2**64 - 1], dtype=np.uint64)]
+        at, there = Places(keys).of(hashes)
+        assert (at == np.searchsorted(keys, hashes)).all() and (there == np.isin(hashes, keys)).all()
+
+
+def test_gradients_are_those_of_the_loss():
+    from riskmesh.llm import attention_lm as lm
+    rng = np.random.default_rng(4)
+    n, context, stride, d, rows, classes = 3, 2, 4, 5, 9, 6
+    span = context + stride
+    p = {k: rng.standard_normal(s) * 0.5 for k, s in {"E": (rows, d), "P": (span, d), "Wq": (d, d), "Wk": (d, d), "Wv": (d, d), "U": (d, classes), "T": (rows, classes)}.items()}
+    row, goal, ok = rng.integers(0, rows, (n, span)), rng.integers(0, classes, (n, stride)), rng.random((n, stride)) < 0.8
+    mask = (np.arange(span)[None, :] <= np.arange(stride)[:, None] + context).astype(float)
+
+    def loss():
+        x = p["E"][row] + p["P"]
+        a = np.exp(x[:, context:] @ p["Wq"] @ (x @ p["Wk"]).transpose(0, 2, 1) / np.sqrt(d)) * mask
+        y = p["T"][row[:, context:]] + (a / a.sum(axis=2, keepdims=True)) @ (x @ p["Wv"]) @ p["U"]
+        own = np.take_along_axis(y, goal[:, :, None], axis=2)[:, :, 0]
+        return (np.log(np.exp(y).sum(axis=2)) - own)[ok].mean()
+
+    g = lm.gradients(p, row, goal, ok, context, mask, True)
+    for name, values in p.items():
+        for at in [tuple(rng.integers(0, s) for s in values.shape) for _ in range(6)]:
+            before, sides = values[at], []
+            for step in (1e-4, -1e-4):
+                values[at] = before + step
+                sides.append(loss())
+            values[at] = before
+            assert abs((sides[0] - sides[1]) / 2e-4 - g[name][at]) < 1e-4, (name, at)
