@@ -37,37 +37,47 @@ def smaller_than_successor(s: np.ndarray) -> np.ndarray:
     return smaller[decided]
 
 
-def _mixed(values: np.ndarray, new: np.ndarray) -> np.ndarray:
-    """Mask of the entries whose run (``new`` marks the first of each) holds different values."""
-    first = np.flatnonzero(new)
-    size = np.diff(np.append(first, len(new)))
-    return np.repeat(np.minimum.reduceat(values, first) != np.maximum.reduceat(values, first), size)
+def _mixed(values: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Mask of the entries whose group (numbered from 0, in order) holds different values."""
+    differ = (values[1:] != values[:-1]) & (group[1:] == group[:-1])
+    mixed = np.zeros(int(group[-1]) + 1, dtype=bool)
+    mixed[group[1:][differ]] = True
+    return mixed.take(group)
 
 
 def sort_directly(at: np.ndarray, words: np.ndarray, depth: int, alike: np.ndarray) -> np.ndarray:
     """Positions ``at`` in order of their first ``depth`` bytes. ``alike`` (per
     position of ``at``) is equal for suffixes known to agree on all of these; they
-    need no more rounds once they are apart from the others."""
+    need no more rounds once they are apart from the others. A round sorts the
+    groups whose next bytes differ; the others are in order as they are."""
     if not len(at):
         return at
     key = words[at]
     order = np.argsort(key)
     at, key, alike = at[order], key[order], alike[order]
-    new = np.r_[True, key[1:] != key[:-1]]
-    open_ = np.flatnonzero(_mixed(alike, new))
-    group = np.cumsum(new)[open_]
+    group = np.cumsum(np.r_[False, key[1:] != key[:-1]])
+    open_ = np.flatnonzero(_mixed(alike, group))
+    group = group[open_]
     for step in range(8, depth, 8):
         if not len(open_):
             break
-        key = words[at[open_] + step]
+        group = np.cumsum(np.r_[False, group[1:] != group[:-1]])
+        key = words.take(at.take(open_) + step)
         if depth - step < 8:
-            key = key >> np.uint64(8 * (8 - (depth - step)))
-        order = np.lexsort((key, group))
-        at[open_], alike[open_] = at[open_[order]], alike[open_[order]]
-        key, group = key[order], group[order]
-        new = np.r_[True, (key[1:] != key[:-1]) | (group[1:] != group[:-1])]
-        still = _mixed(alike[open_], new)
-        open_, group = open_[still], np.cumsum(new)[still]
+            key >>= np.uint64(8 * (8 - (depth - step)))
+        some = np.flatnonzero(_mixed(key, group))
+        if not len(some):
+            continue
+        own, ranks, places = key[some], group[some], open_[some]
+        order = np.lexsort((own, ranks))
+        own, at[places], alike[places] = own[order], at[places[order]], alike[places[order]]
+        new = np.cumsum(np.r_[False, (own[1:] != own[:-1]) | (ranks[1:] != ranks[:-1])])
+        still = np.ones(len(open_), dtype=bool)
+        still[some] = _mixed(alike[places], new)
+        # a group that was sorted falls into new ones, all of them different from their neighbours
+        group = 2 * len(open_) * group
+        group[some] += new
+        open_, group = open_[still], group[still]
     return at
 
 
@@ -108,12 +118,17 @@ def suffix_array(s: np.ndarray, words: np.ndarray, depth: int, alike: np.ndarray
 
 def common_prefixes(order: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
     """Bytes, up to ``depth``, that each suffix shares with the next one in ``order``."""
-    out = np.full(max(len(order) - 1, 0), depth, dtype=np.int32)
+    return shared_bytes(order[:-1], order[1:], words, depth)
+
+
+def shared_bytes(a: np.ndarray, b: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+    """Bytes, up to ``depth``, that the suffixes ``a`` and ``b`` share, pair by pair."""
+    out = np.full(len(a), depth, dtype=np.int32)
     open_ = np.arange(len(out))
     for step in range(0, depth, 8):
         if not len(open_):
             break
-        differ = words[order[open_] + step] ^ words[order[open_ + 1] + step]
+        differ = words[a[open_] + step] ^ words[b[open_] + step]
         apart = differ != 0
         x = differ[apart]
         same = np.zeros(len(x), dtype=np.int32)
@@ -122,3 +137,25 @@ def common_prefixes(order: np.ndarray, words: np.ndarray, depth: int) -> np.ndar
         out[open_[apart]] = np.minimum(step + same, depth)
         open_ = open_[~apart]
     return out
+
+
+def agree_with_next(order: np.ndarray, s: np.ndarray, words: np.ndarray, depth: int, alike: np.ndarray) -> np.ndarray:
+    """Mask: the suffix shares ``depth`` bytes with the next one in ``order``. Those
+    whose fingerprints ``alike`` (per position) differ do not; the others are compared
+    byte for byte. Where the two suffixes one byte before are such a pair as well, that
+    leaves the last byte to compare."""
+    prints = alike.take(order)
+    out = prints[1:] == prints[:-1]
+    pairs = np.flatnonzero(out)
+    a, b = order[pairs], order[pairs + 1]
+    to = np.full(len(s) + 1, -2, dtype=np.int64)              # the place before the first one has no pair
+    to[a] = b
+    follows = (to[a - 1] == b - 1) & (a > 0) & (np.maximum(a, b) + depth <= len(s))
+    sure = follows.copy()
+    sure[follows] = s[a[follows] + depth - 1] == s[b[follows] + depth - 1]
+    rest = np.flatnonzero(~follows)
+    sure[rest] = shared_bytes(a[rest], b[rest], words, depth) >= depth
+    if not sure.all():                                       # fingerprints that met by chance: nothing is concluded from pairs
+        sure = shared_bytes(a, b, words, depth) >= depth
+    out[pairs] = sure
+    return out

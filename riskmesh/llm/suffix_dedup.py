@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmesh.llm.shared import bounded_broadcast, written
-from riskmesh.llm.suffix_arrays import common_prefixes, suffix_array, words_at
+from riskmesh.llm.suffix_arrays import agree_with_next, suffix_array, words_at
 from riskmesh.llm.words import _CODES, SLICE_BYTES, _power, mix
 
 BROADCAST_ROWS = 2_000_000
@@ -192,8 +192,9 @@ def repeats_in_block(segments: list[np.ndarray], weights: np.ndarray, window: in
     spans = Spans(s)
     at = np.arange(len(s))
     words = words_at(s, window)
-    order = suffix_array(s, words, window, spans.of(at, np.minimum(at + window, len(s))))
-    shared = common_prefixes(order, words, window) >= window
+    alike = spans.of(at, np.minimum(at + window, len(s)))
+    order = suffix_array(s, words, window, alike)
+    shared = agree_with_next(order, s, words, window, alike)
     weight = np.zeros(len(s), dtype=np.int64)                 # of window starts; the others reach over a segment's end
     starts = np.maximum(size - window + 1, 0)
     weight[np.repeat(begin, starts) + np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)] = np.repeat(weights, starts)

@@ -104,3 +104,37 @@ def test_long_texts_come_in_overlapping_slices():
     starts = [(int(r), int(at[k]) + p) for row, at, offsets, raw in slices(column, 9, 64) for k, r in enumerate(row)
               for p in range(int(offsets[k + 1] - offsets[k]) - 9)]
     assert sorted(starts) == [(2, p) for p in range(991)] + [(4, p) for p in range(11)]
+
+
+def _order(s, words, depth):
+    at = np.arange(len(s))
+    alike = Spans(s).of(at, np.minimum(at + depth, len(s)))
+    return suffix_array(s, words, depth, alike), alike
+
+
+@pytest.mark.parametrize("depth", [1, 8, 13, 40])
+def test_pairs_that_agree_are_those_of_the_common_prefixes(depth):
+    from riskmesh.llm.suffix_arrays import agree_with_next
+    rng = np.random.default_rng(depth)
+    for letters in (1, 2, 5, 200):
+        text = rng.integers(1, letters + 1, 300).astype(np.uint8)
+        s = np.r_[text, np.uint8(0), text[20:250], np.uint8(0), text[:90], text[100:200], np.uint8(0)]
+        words = words_at(s, depth)
+        order, alike = _order(s, words, depth)
+        want = common_prefixes(order, words, depth) >= depth
+        assert (agree_with_next(order, s, words, depth, alike) == want).all()
+        assert (agree_with_next(order, s, words, depth, np.zeros_like(alike)) == want).all()     # fingerprints that meet by chance
+
+
+def test_groups_that_agree_on_a_round_are_not_sorted_in_it(monkeypatch):
+    rng = np.random.default_rng(8)
+    text = rng.integers(1, 200, 4000).astype(np.uint8)
+    other = text.copy()
+    other[::150] += 1                                        # long common prefixes that end somewhere
+    s, depth, sorted_, lexsort = np.r_[text, np.uint8(0), other, np.uint8(0)], 200, [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: (sorted_.append(len(keys[0])), lexsort(keys))[1])
+    words = words_at(s, depth)
+    order, _ = _order(s, words, depth)
+    raw = s.tobytes()
+    assert [raw[i: i + depth] for i in order.tolist()] == sorted(raw[i: i + depth] for i in range(len(raw)))
+    assert 0 < sum(sorted_) <= len(s)
