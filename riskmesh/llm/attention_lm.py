@@ -10,12 +10,14 @@ is added to the logarithm of that share.
 
 A text is scored in overlapping windows: each window carries ``context`` tokens
 of left context and scores the ``stride`` tokens behind them, so every token is
-scored once, by batched masked attention. The layer's projections of an
-embedding are tables, so a window needs two small matrix products.
+scored once, by batched masked attention. Its matrices are multiplied before they
+meet a window (queries with keys, values with the output), so that a window needs
+two small matrix products of the embeddings themselves.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,12 +36,12 @@ class Model:
     p: dict[str, np.ndarray]
 
     def tables(self) -> dict[str, np.ndarray]:
-        p, d = self.p, self.p["E"].shape[1]
+        p = self.p
+        both = p["Wq"] @ p["Wk"].T / np.sqrt(p["E"].shape[1])
         span = self.context + self.stride
         last = np.arange(self.stride)[:, None] + self.context
         return {
-            "q": (p["E"] @ p["Wq"] / np.sqrt(d)).astype(np.float32), "qp": (p["P"] @ p["Wq"] / np.sqrt(d))[self.context:].astype(np.float32),
-            "kv": np.concatenate([p["E"] @ p["Wk"], p["E"] @ p["Wv"]], axis=1), "kvp": np.concatenate([p["P"] @ p["Wk"], p["P"] @ p["Wv"]], axis=1),
+            "q": (p["E"] @ both).astype(np.float32), "qp": (p["P"] @ both)[self.context:].astype(np.float32), "VU": p["Wv"] @ p["U"],
             "T": np.clip(p["T"], -60, 40), "mask": (np.arange(span)[None, :] <= last).astype(np.float32),
         }
 
@@ -65,19 +67,18 @@ def layout(ids: np.ndarray, first: np.ndarray, context: int, stride: int, begin:
 
 def forward(m: Model, t: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     """Unnormalised ln class probabilities (B * stride, classes) of input rows (B, context + stride)."""
-    d = m.p["U"].shape[0]
     last = rows[:, m.context:]
-    kv = t["kv"].take(rows, axis=0)
-    kv += t["kvp"]
+    x = m.p["E"].take(rows, axis=0)
+    x += m.p["P"]
     q = t["q"].take(last, axis=0)
     q += t["qp"]
-    a = np.matmul(q, kv[:, :, :d].transpose(0, 2, 1))
+    a = np.matmul(q, x.transpose(0, 2, 1))
     np.clip(a, -30, 30, out=a)
     np.exp(a, out=a)
     a *= t["mask"]
-    z = np.matmul(a, kv[:, :, d:])
+    z = np.matmul(a, x)
     z /= (a.reshape(-1, a.shape[2]) @ np.ones(a.shape[2], dtype=np.float32)).reshape(*z.shape[:2], 1)
-    logits = z.reshape(-1, d) @ m.p["U"]
+    logits = z.reshape(-1, z.shape[2]) @ t["VU"]
     logits += t["T"].take(last.reshape(-1), axis=0)
     return logits
 
@@ -186,6 +187,8 @@ def train(ids: np.ndarray, first: np.ndarray, counts: np.ndarray, begin: int, co
 
 
 class Adam:
+    """Both moments are kept without their constant factors (0.1 and 0.01), which the rate carries."""
+
     def __init__(self, p: dict[str, np.ndarray]):
         self.p, self.steps = p, 0
         self.first = {k: np.zeros_like(v) for k, v in p.items()}
@@ -195,81 +198,81 @@ class Adam:
     def step(self, g: dict[str, np.ndarray], rate: float) -> None:
         """In place; ``g`` is used up."""
         self.steps += 1
-        near, far = rate / (1 - 0.9**self.steps), 1 / np.sqrt(1 - 0.99**self.steps)
+        far = 10 * math.sqrt(1 - 0.99**self.steps)          # plain numbers: numpy's own would be 64 bits wide
+        near, least = 0.1 * rate / (1 - 0.9**self.steps) * far, 1e-8 * far
         for name, grad in g.items():
             first, second, room = self.first[name], self.second[name], self.room[name]
-            np.multiply(grad, grad, out=room)
-            room *= 0.01
-            second *= 0.99
-            second += room
-            grad *= 0.1
             first *= 0.9
             first += grad
+            grad *= grad
+            second *= 0.99
+            second += grad
             np.sqrt(second, out=room)
-            room *= far
-            room += 1e-8
+            room += least
             np.divide(first, room, out=room)
             room *= near
             self.p[name] -= room
 
 
 def _added(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """(n, width): ``values`` added up by row."""
-    order = np.argsort(rows.astype(np.uint16) if n <= 1 << 16 else rows, kind="stable")
-    own = rows[order]
-    at = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-    out = np.zeros((n, values.shape[1]), dtype=np.float32)
-    out[own[at]] = np.add.reduceat(values.take(order, axis=0), at, axis=0)
-    return out
+    """(n, width): ``values`` added up by row, a column at a time."""
+    rows, columns = rows.astype(np.int64), values.T.astype(np.float64, order="C")
+    out = np.empty((len(columns), n), dtype=np.float32)
+    for own, column in zip(out, columns):
+        own[:] = np.bincount(rows, weights=column, minlength=n)
+    return np.ascontiguousarray(out.T)
 
 
 def gradients(p: dict[str, np.ndarray], row: np.ndarray, goal: np.ndarray, ok: np.ndarray, context: int, mask: np.ndarray,
               table: bool) -> dict[str, np.ndarray]:
     """Gradients of the mean loss over windows: input rows ``row``, classes ``goal``
-    that are to be predicted where ``ok``. The table takes part if asked for."""
+    that are to be predicted where ``ok``. The table takes part if asked for.
+    Queries and keys, values and output enter by their products, so keys and values
+    are never laid out; the factors' gradients follow from those of the products."""
     n, span = row.shape
     d, stride = p["E"].shape[1], span - context
     scale = np.float32(1 / np.sqrt(d))
     flat = lambda t: t.reshape(-1, t.shape[-1])
     ones = lambda k: np.ones(k, dtype=np.float32)
-    last = row[:, context:]
+    last = row[:, context:].reshape(-1)
+    qk, vu = p["Wq"] @ p["Wk"].T * scale, p["Wv"] @ p["U"]
     x = p["E"].take(row, axis=0)
     x += p["P"]
-    late = np.ascontiguousarray(x[:, context:])
-    both = np.concatenate([p["Wk"], p["Wv"]], axis=1)       # one product for keys and values
-    q = (flat(late) @ (p["Wq"] * scale)).reshape(n, stride, d)
-    kv = (flat(x) @ both).reshape(n, span, 2 * d)
-    k, v = kv[:, :, :d], kv[:, :, d:]
-    a = np.matmul(q, k.transpose(0, 2, 1))
+    turned = x.transpose(0, 2, 1)
+    late = flat(np.ascontiguousarray(x[:, context:]))
+    q = (late @ qk).reshape(n, stride, d)
+    a = np.matmul(q, turned)
     np.clip(a, -30, 30, out=a)
     np.exp(a, out=a)
     a *= mask
-    a /= (flat(a) @ ones(span)).reshape(n, stride, 1)
-    z = flat(np.matmul(a, v))
-    y = z @ p["U"]
-    y += p["T"].take(last.reshape(-1), axis=0)
+    part = (1 / (flat(a) @ ones(span)))[:, None]            # a's rows are shares only with it
+    z = flat(np.matmul(a, x))
+    z *= part
+    y = z @ vu
+    y += p["T"].take(last, axis=0)
     np.clip(y, -80, 80, out=y)          # ln shares plus a bounded correction: no overflow
     np.exp(y, out=y)
-    right = np.flatnonzero(ok)
-    weight = (ok.reshape(-1) / max(len(right), 1)).astype(np.float32)
-    y *= (weight / (y @ ones(y.shape[1])))[:, None]
-    y.reshape(-1)[right * y.shape[1] + goal.reshape(-1)[right]] -= weight[right]
-    dz = y @ p["U"].T
-    ds = np.matmul(dz.reshape(n, stride, d), v.transpose(0, 2, 1))
-    ds -= ((dz * z) @ ones(d)).reshape(n, stride, 1)        # the same as ds summed up by a, from fewer numbers
+    total = y @ ones(y.shape[1])
+    at = np.flatnonzero(ok)
+    y.reshape(-1)[at * y.shape[1] + goal.reshape(-1)[at]] -= total[at]
+    weight = (ok.reshape(-1) / (total * max(len(at), 1))).astype(np.float32)[:, None]    # y's rows are gradients only with it
+    dz = y @ vu.T
+    dz *= weight * part
+    dvu = (y.T @ (z * weight)).T
+    by = (dz * z) @ ones(d)             # the same as ds summed up by a, from fewer numbers
+    dz = dz.reshape(n, stride, d)
+    ds = np.matmul(dz, turned)
+    ds -= by.reshape(n, stride, 1)
     ds *= a
-    dkv = np.empty_like(kv)
-    dq = flat(np.matmul(ds, k))
-    dq *= scale
-    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :d])
-    np.matmul(a.transpose(0, 2, 1), dz.reshape(n, stride, d), out=dkv[:, :, d:])
-    dx = (flat(dkv) @ both.T).reshape(n, span, d)
-    dx[:, context:] += (dq @ p["Wq"].T).reshape(n, stride, d)
-    dboth = flat(x).T @ flat(dkv)
-    g = {"U": z.T @ y, "Wq": flat(late).T @ dq, "Wk": dboth[:, :d].copy(), "Wv": dboth[:, d:].copy(), "P": (ones(n) @ dx.reshape(n, -1)).reshape(span, d),
+    dq = flat(np.matmul(ds, x))
+    # both sums over queries that make the gradient of x, in one product
+    dx = np.matmul(np.concatenate([ds, a], axis=1).transpose(0, 2, 1), np.concatenate([q, dz], axis=1))
+    dx[:, context:] += (dq @ qk.T).reshape(n, stride, d)
+    dqk = late.T @ dq * scale
+    g = {"U": p["Wv"].T @ dvu, "Wv": dvu @ p["U"].T, "Wq": dqk @ p["Wk"], "Wk": dqk.T @ p["Wq"], "P": (ones(n) @ dx.reshape(n, -1)).reshape(span, d),
          "E": _added(row.reshape(-1), flat(dx), len(p["E"]))}
     if table:
-        g["T"] = _added(last.reshape(-1), y, len(p["T"]))
+        g["T"] = _added(last, y * weight, len(p["T"]))
     return g
 
 

@@ -297,8 +297,9 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", vocabula
     tokens = written(rows.mapInArrow(_tokenizer(vocabulary, end, id_column), f"{id_column} {id_type}, held_out boolean, n_bytes long, words binary, ids binary"), "tokens")
     training = tokens.where(~F.col("held_out"))
     learnt = training.select("n_bytes", "ids")
+    # tasks have counted, so another aggregate before the shuffle would only pass their rows on
     counts = written(training.select("n_bytes", "words", "ids").mapInArrow(_counter(end), "kind int, key long, n long")
-                     .groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+                     .repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     words = counts.where("kind = 0").select("key", "n")
     whole = words.agg(F.sum("n").alias("N"), F.count("*").alias("V")).first()
     total, distinct = whole["N"] or 0, whole["V"]

@@ -255,3 +255,34 @@ def test_gradients_are_those_of_the_loss():
                 sides.append(loss())
             values[at] = before
             assert abs((sides[0] - sides[1]) / 2e-4 - g[name][at]) < 1e-4, (name, at)
+
+
+def test_words_are_counted_without_a_second_aggregate_in_the_task(spark, monkeypatch):
+    from riskmesh.llm import lm_scoring
+    plans, write = {}, lm_scoring.written
+
+    def record(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(lm_scoring, "written", record)
+    lm_scoring.score(spark.createDataFrame([(1, "one two two"), (2, "two")], "doc_id long, text string"), F.col("doc_id") == 5)
+    assert plans["counts"].count("Exchange") == 1 and plans["counts"].rindex("HashAggregate") < plans["counts"].index("Exchange")
+
+
+def test_windows_meet_products_of_the_matrices():
+    """Keys and values are not laid out; Adam, whose moments lack their factors, steps as by the book."""
+    rng = np.random.default_rng(5)
+    p = {"E": rng.standard_normal((6, 3)).astype(np.float32)}
+    own, first, second = p["E"].astype(float), 0.0, 0.0
+    adam = attention_lm.Adam(p)
+    for step in range(1, 6):
+        g = rng.standard_normal((6, 3)).astype(np.float32)
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g.astype(float)**2
+        own = own - 0.02 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+        adam.step({"E": g.copy()}, 0.02)
+        assert abs(own - p["E"]).max() < 1e-5
+    ids = np.arange(9) % 4
+    m = attention_lm.train(ids, np.array([0, 9]), np.bincount(ids, minlength=6).astype(float), 5, context=2, stride=3, alone=4, groups=2, own_inputs=4, steps=2)
+    t = m.tables()
+    assert set(t) == {"q", "qp", "VU", "T", "mask"} and t["VU"].shape == m.p["U"].shape
